@@ -1,0 +1,394 @@
+"""Registered queries: one callable (spark, sf_dir) -> DataFrame per operator key.
+
+Main ledger: line items of the test tables with planted anomalies and labels
+(fixture A + planting).  Event ledger: the events table (fixture B), long
+tailed amounts, used for the Benford and outlier variants.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ledgerscreen.operators import benford, clean as cl, features as ft, planting, reports, risk as rk
+from ledgerscreen.operators import rules, validate
+from ledgerscreen.params import DEFAULT_PARAMS, PLANT_KINDS
+from ledgerscreen.plans import sqlpack
+from ledgerscreen.plans.pipeline import Pipeline
+from ledgerscreen.sources.ledger import ledger_from_events, ledger_from_lineitem
+
+_PIPELINES: dict = {}
+
+
+def _spark_key(spark: SparkSession):
+    return spark.sparkContext.applicationId
+
+
+def pipeline(spark: SparkSession, sf_dir: str, fixture: str = "main") -> Pipeline:
+    key = (_spark_key(spark), sf_dir, fixture)
+    if key not in _PIPELINES:
+        if fixture == "main":
+            base = ledger_from_lineitem(spark, sf_dir)
+            ledger, _, positives = planting.plant(base, DEFAULT_PARAMS)
+            _PIPELINES[key] = Pipeline(spark, ledger, positives, DEFAULT_PARAMS, view_name="journal_entries")
+        elif fixture == "events":
+            _PIPELINES[key] = Pipeline(spark, ledger_from_events(spark, sf_dir), None, DEFAULT_PARAMS,
+                                       view_name="journal_entries_events")
+        else:
+            raise ValueError(fixture)
+    return _PIPELINES[key]
+
+
+def reset_pipelines() -> None:
+    for pl in _PIPELINES.values():
+        pl.release()
+    _PIPELINES.clear()
+
+
+REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+
+
+def key(name: str):
+    def deco(fn):
+        REGISTRY[name] = fn
+        return fn
+    return deco
+
+
+def _main(spark, sf):
+    return pipeline(spark, sf, "main")
+
+
+def _ev(spark, sf):
+    return pipeline(spark, sf, "events")
+
+
+# ------------------------------------------------------------------ sources
+@key("raw_scan")
+def _raw_scan(spark, sf):
+    return ledger_from_lineitem(spark, sf)
+
+
+@key("events_ledger")
+def _events_ledger(spark, sf):
+    return ledger_from_events(spark, sf)
+
+
+@key("dashboard_export")
+def _export(spark, sf):
+    return _main(spark, sf).export
+
+
+# ------------------------------------------------------------------ clean / profile
+@key("clean_ledger")
+def _clean(spark, sf):
+    return _main(spark, sf).clean
+
+
+@key("clean_counts")
+def _clean_counts(spark, sf):
+    pl = _main(spark, sf)
+    return cl.clean_counts(pl.raw, pl.clean)
+
+
+@key("profile_summary")
+def _profile_summary(spark, sf):
+    return cl.profile_summary(_main(spark, sf).clean)
+
+
+@key("profile_amount")
+def _profile_amount(spark, sf):
+    return cl.profile_amount(_main(spark, sf).clean)
+
+
+@key("profile_nulls")
+def _profile_nulls(spark, sf):
+    return cl.profile_nulls(_main(spark, sf).clean)
+
+
+# ------------------------------------------------------------------ rules
+for _rule in ("duplicate", "round_number", "off_hours_weekend", "vendor_concentration",
+              "statistical_outlier", "month_end_late_hour_posting"):
+    _short = {"off_hours_weekend": "off_hours", "month_end_late_hour_posting": "month_end_late"}.get(_rule, _rule)
+
+    def _mk(rule):
+        return lambda spark, sf: rules.single_rule(_main(spark, sf).ruled, rule)
+    REGISTRY[f"rule_{_short}"] = _mk(_rule)
+
+
+@key("rule_statistical_outlier_events")
+def _rule_outlier_ev(spark, sf):
+    return rules.single_rule(_ev(spark, sf).ruled, "statistical_outlier")
+
+
+@key("rule_flags")
+def _rule_flags(spark, sf):
+    return _main(spark, sf).flags
+
+
+@key("rule_flags_events")
+def _rule_flags_ev(spark, sf):
+    return _ev(spark, sf).flags
+
+
+@key("flags_per_txn_hist")
+def _hist(spark, sf):
+    return rules.flags_per_txn_hist(_main(spark, sf).flags)
+
+
+@key("rule_counts")
+def _rule_counts(spark, sf):
+    return rules.rule_counts(_main(spark, sf).flags)
+
+
+@key("rule_flag_rate")
+def _rule_flag_rate(spark, sf):
+    pl = _main(spark, sf)
+    return rules.rule_flag_rate(pl.clean, pl.flags)
+
+
+# ------------------------------------------------------------------ SQL pack
+for _q in ("duplicates", "round_numbers", "off_hours", "vendor_concentration", "month_end_late",
+           "monthly_summary", "top_vendors"):
+    def _mk_sql(q):
+        def run(spark, sf):
+            pl = _main(spark, sf)
+            pl.clean   # registers the journal_entries view
+            return sqlpack.run(spark, q, pl.view_name)
+        return run
+    REGISTRY[f"sql_{_q}"] = _mk_sql(_q)
+
+
+@key("sql_ntile_outliers")
+def _ntile(spark, sf):
+    return sqlpack.ntile_outliers(_main(spark, sf).clean)
+
+
+@key("sql_ntile_outliers_events")
+def _ntile_ev(spark, sf):
+    return sqlpack.ntile_outliers(_ev(spark, sf).clean)
+
+
+# ------------------------------------------------------------------ Benford
+@key("benford_leading_digit")
+def _bld(spark, sf):
+    return benford.leading_digits(_ev(spark, sf).clean)
+
+
+@key("benford_overall")
+def _bov(spark, sf):
+    return benford.overall(_ev(spark, sf).clean)
+
+
+@key("benford_by_account")
+def _bba(spark, sf):
+    return _main(spark, sf).benford
+
+
+@key("benford_by_account_events")
+def _bba_ev(spark, sf):
+    return _ev(spark, sf).benford
+
+
+@key("benford_summary")
+def _bsum(spark, sf):
+    return benford.summary(_main(spark, sf).benford)
+
+
+@key("benford_all_flagged")
+def _ball(spark, sf):
+    return benford.all_flagged(_main(spark, sf).benford)
+
+
+# ------------------------------------------------------------------ features / model
+@key("features")
+def _features(spark, sf):
+    pl = _main(spark, sf)
+    return ft.long(pl.features_wide, pl.feature_names)
+
+
+@key("vendor_frequency")
+def _vfreq(spark, sf):
+    return ft.vendor_frequency(_main(spark, sf).enriched)
+
+
+@key("iforest_model")
+def _model(spark, sf):
+    return _main(spark, sf).model
+
+
+@key("iforest_score")
+def _iscore(spark, sf):
+    return _main(spark, sf).ml.select("transaction_id", "path_sum", "iso_score")
+
+
+@key("ml_minmax")
+def _minmax(spark, sf):
+    return _main(spark, sf).ml.select("transaction_id", "ml_anomaly_score")
+
+
+@key("ml_flag")
+def _mlflag(spark, sf):
+    return _main(spark, sf).ml.select("transaction_id", "ml_anomaly_score", "ml_flag")
+
+
+@key("ml_rate")
+def _mlrate(spark, sf):
+    ml = _main(spark, sf).ml
+    return ml.agg(F.count(F.lit(1)).alias("n_rows"),
+                  F.count_if(F.col("ml_flag") == "anomaly").alias("n_anomaly")).select(
+        "n_rows", "n_anomaly", (F.col("n_anomaly") * 100.0 / F.col("n_rows")).alias("anomaly_pct"))
+
+
+@key("ml_top10")
+def _mltop(spark, sf):
+    ml = _main(spark, sf).ml
+    return (ml.orderBy(F.desc("ml_anomaly_score"), F.asc("transaction_id")).limit(10)
+            .select("transaction_id", "ml_anomaly_score", "ml_flag"))
+
+
+# ------------------------------------------------------------------ risk
+@key("risk_scores")
+def _risk(spark, sf):
+    return rk.risk_scores(_main(spark, sf).risk)
+
+
+@key("severity_from_string")
+def _sev(spark, sf):
+    return rk.severity_table(_main(spark, sf).flags)
+
+
+@key("risk_top10")
+def _rtop(spark, sf):
+    return rk.top_risk(_main(spark, sf).risk)
+
+
+@key("risk_level_counts")
+def _rlc(spark, sf):
+    return rk.level_counts(_main(spark, sf).risk)
+
+
+# ------------------------------------------------------------------ validation
+@key("validation_metrics")
+def _vm(spark, sf):
+    return validate.metrics(_main(spark, sf).validated)
+
+
+@key("recall_by_type")
+def _rbt(spark, sf):
+    return _main(spark, sf).recall_by_type
+
+
+@key("recall_one_type")
+def _rot(spark, sf):
+    return validate.recall_one_type(_main(spark, sf).validated)
+
+
+@key("weakest_type")
+def _wt(spark, sf):
+    return validate.weakest_type(_main(spark, sf).recall_by_type)
+
+
+@key("recall_macro")
+def _rm(spark, sf):
+    return validate.recall_macro(_main(spark, sf).recall_by_type)
+
+
+# ------------------------------------------------------------------ reports
+@key("scope_metrics")
+def _scope(spark, sf):
+    return reports.scope_metrics(_main(spark, sf).risk)
+
+
+@key("top_vendors_flagged")
+def _tvf(spark, sf):
+    return reports.top_vendors_flagged(_main(spark, sf).risk)
+
+
+@key("top_transactions")
+def _tt(spark, sf):
+    return reports.top_transactions(_main(spark, sf).risk)
+
+
+@key("monthly_value")
+def _mv(spark, sf):
+    return reports.monthly_value(_main(spark, sf).clean)
+
+
+@key("amount_histogram")
+def _ah(spark, sf):
+    return reports.histogram(_main(spark, sf).clean, "amount", 60)
+
+
+@key("score_histogram")
+def _sh(spark, sf):
+    return reports.histogram(_main(spark, sf).risk, "ml_anomaly_score", 50)
+
+
+@key("risk_level_ordered")
+def _rlo(spark, sf):
+    return reports.risk_level_ordered(_main(spark, sf).risk)
+
+
+@key("report_metrics")
+def _rmx(spark, sf):
+    return _main(spark, sf).report_metrics()
+
+
+# ------------------------------------------------------------------ dashboard
+@key("dash_filtered")
+def _dfilt(spark, sf):
+    return _main(spark, sf).export.where(reports.dashboard_filter())
+
+
+@key("dash_kpis")
+def _dk(spark, sf):
+    return reports.dash_kpis(_main(spark, sf).export)
+
+
+@key("dash_rule_counts")
+def _drc(spark, sf):
+    return reports.dash_rule_counts(_main(spark, sf).export)
+
+
+@key("dash_vendor_risk")
+def _dvr(spark, sf):
+    return reports.dash_vendor_risk(_main(spark, sf).export)
+
+
+@key("dash_vendor_scatter")
+def _dvs(spark, sf):
+    return reports.dash_vendor_scatter(_main(spark, sf).risk)
+
+
+@key("dash_dept_spend")
+def _dds(spark, sf):
+    return reports.dash_dept_spend(_main(spark, sf).export)
+
+
+@key("dash_detail")
+def _ddt(spark, sf):
+    return reports.dash_detail(_main(spark, sf).export, reports.dashboard_filter())
+
+
+@key("dash_departments")
+def _ddep(spark, sf):
+    return reports.dash_departments(_main(spark, sf).export)
+
+
+# ------------------------------------------------------------------ planting
+_PLANT_KEYS = {"duplicate": "plant_duplicate", "round_number": "plant_round",
+               "off_hours_weekend": "plant_off_hours", "vendor_concentration": "plant_shell_vendor",
+               "statistical_outlier": "plant_outlier", "month_end_spike": "plant_month_end"}
+for _kind, _ in PLANT_KINDS:
+    def _mk_plant(kind):
+        return lambda spark, sf: planting.plant_kind(ledger_from_lineitem(spark, sf), kind, DEFAULT_PARAMS)
+    REGISTRY[_PLANT_KEYS[_kind]] = _mk_plant(_kind)
+
+
+@key("planted_labels")
+def _pl(spark, sf):
+    _, labels, _ = planting.plant(ledger_from_lineitem(spark, sf), DEFAULT_PARAMS)
+    return labels
