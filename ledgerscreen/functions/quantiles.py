@@ -73,12 +73,22 @@ def _by_selection(data: DataFrame, sizes: DataFrame, keys: list[str],
     return per.groupBy(*keys, "n").pivot("_name", list(probs.keys())).agg(F.first("_q"))
 
 
-def order_statistics(df: DataFrame, value: str, ranks: list[int]) -> dict[int, float]:
-    """Exact k-th smallest values (0-based ranks) of one column over the whole
-    table, by distributed rank selection (never one task holding the column)."""
+def order_statistics(df: DataFrame, value: str, ranks: list[int], n_rows: int | None = None,
+                     p: Params = DEFAULT_PARAMS) -> dict[int, float]:
+    """Exact k-th smallest values (0-based ranks) of one column over the whole table.
+
+    With a measured row count within ``p.exact_percentile_max_group`` the
+    column is ranked by one window (a single task holding at most that many
+    doubles); beyond it, distributed rank selection -- no task ever holds the
+    column."""
     spark = df.sparkSession
     data = df.select(F.lit(0).alias("_g"), F.col(value).cast("double").alias("_x")).where(
         F.col("_x").isNotNull())
+    if n_rows is not None and n_rows <= p.exact_percentile_max_group:
+        r = F.row_number().over(Window.orderBy("_x")) - 1
+        rows = (data.select("_x", r.alias("_k")).where(F.col("_k").isin(*sorted(set(ranks))))
+                .collect())
+        return {int(row["_k"]): row["_x"] for row in rows}
     targets = spark.createDataFrame([(0, "r", int(k)) for k in sorted(set(ranks))],
                                     "_g int, _name string, _k long")
     rows = select_ranks(data, targets, ["_g"]).select("_k", "_v").collect()

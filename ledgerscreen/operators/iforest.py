@@ -116,44 +116,53 @@ def fit(features: DataFrame, names: list[str], n_rows: int, p: Params = DEFAULT_
     # the sample is at most T*psi rows by construction: a bounded broadcast
     rows = features.join(F.broadcast(s), "transaction_id")
     fn = _fit_tree(names, p.seed, max_depth_for(psi_eff))
-    return rows.groupBy("tree").applyInPandas(fn, FOREST_MODEL)
+    # spread the trees over all task slots: an explicit repartition by tree is
+    # not coalesced by AQE, and the grouping reuses its partitioning
+    slots = max(1, min(p.n_trees, rows.sparkSession.sparkContext.defaultParallelism))
+    return rows.repartition(slots, "tree").groupBy("tree").applyInPandas(fn, FOREST_MODEL)
 
 
 class ForestArrays:
-    """Dense per-tree node arrays for vectorized traversal."""
+    """Flat node arrays for vectorized traversal.
+
+    Node ``k`` of tree ``t`` has global id ``t * width + k``.  ``left`` and
+    ``right`` hold global child ids; a leaf points to itself on both sides, so a
+    walk of ``max_depth`` steps needs no per-step leaf mask."""
 
     def __init__(self, model_rows, names: list[str], n_trees: int, max_depth: int):
         width = 2 ** (max_depth + 1)
-        self.feat = np.full((n_trees, width), -1, dtype=np.int64)
-        self.split = np.zeros((n_trees, width), dtype=np.float64)
-        self.leaf = np.zeros((n_trees, width), dtype=np.int64)
+        size = n_trees * width
+        ids = np.arange(size, dtype=np.int32)
+        self.feat = np.zeros(size, dtype=np.int32)
+        self.split = np.zeros(size, dtype=np.float64)
+        self.left = ids.copy()
+        self.right = ids.copy()
+        self.leaf = np.zeros(size, dtype=np.int64)
         pos = {n: i for i, n in enumerate(names)}
         for r in model_rows:
+            g = r["tree"] * width + r["node"]
             if r["feature"] is None:
-                self.leaf[r["tree"], r["node"]] = r["leaf_value"]
+                self.leaf[g] = r["leaf_value"]
             else:
-                self.feat[r["tree"], r["node"]] = pos[r["feature"]]
-                self.split[r["tree"], r["node"]] = r["split"]
+                self.feat[g] = pos[r["feature"]]
+                self.split[g] = r["split"]
+                self.left[g] = r["tree"] * width + 2 * r["node"]
+                self.right[g] = r["tree"] * width + 2 * r["node"] + 1
+        self.roots = (np.arange(n_trees, dtype=np.int32) * width + 1)[None, :]
         self.max_depth = max_depth
         self.n_trees = n_trees
 
 
 def path_sums(arrs: ForestArrays, x: np.ndarray) -> np.ndarray:
     """Sum over trees of fixed-point path lengths, for each row of x."""
-    n = x.shape[0]
-    t = arrs.n_trees
-    tree_idx = np.broadcast_to(np.arange(t), (n, t))
-    row_idx = np.broadcast_to(np.arange(n)[:, None], (n, t))
-    node = np.ones((n, t), dtype=np.int64)
+    n, k = x.shape
+    xf = np.ascontiguousarray(x).ravel()
+    rowoff = (np.arange(n, dtype=np.int64) * k)[:, None]
+    g = np.repeat(arrs.roots, n, axis=0)
     for _ in range(arrs.max_depth):
-        f = arrs.feat[tree_idx, node]
-        internal = f >= 0
-        if not internal.any():
-            break
-        xv = x[row_idx, np.maximum(f, 0)]
-        right = ~(xv < arrs.split[tree_idx, node])
-        node = np.where(internal, 2 * node + right, node)
-    return arrs.leaf[tree_idx, node].sum(axis=1)
+        xv = xf[rowoff + arrs.feat[g]]
+        g = np.where(xv < arrs.split[g], arrs.left[g], arrs.right[g])
+    return arrs.leaf[g].sum(axis=1)
 
 
 def score(frame: DataFrame, feature_cols: list, names: list[str], model: DataFrame,
@@ -202,7 +211,7 @@ def ml_columns(scored: DataFrame, n_rows: int, p: Params = DEFAULT_PARAMS) -> Da
     pos = p.contamination * (n_rows - 1)
     lo = int(math.floor(pos))
     frac = pos - lo
-    stats = order_statistics(scored, "path_sum", [lo, min(lo + 1, n_rows - 1)])
+    stats = order_statistics(scored, "path_sum", [lo, min(lo + 1, n_rows - 1)], n_rows, p)
     v_lo, v_hi = stats[lo], stats[min(lo + 1, n_rows - 1)]
     inclusive = frac > 0 and v_hi > v_lo
     mm = scored.agg(F.min("iso_score").alias("_smin"), F.max("iso_score").alias("_smax"))

@@ -1,11 +1,12 @@
 """Planted-label injection over any ledger.
 
-Each kind picks source rows with a hash test, ``md5('seed:kind:id')`` below a
-rate threshold, and emits an altered copy with id ``PL-<kind>-<source id>``.
-The test is row-local (a filter, no global ranking), so planting is a map-only
-job at any scale, and the expected count scales with the table: the rate is
-``count per 8,000 rows / 8,000`` for each kind.  Labels mark the copies
-positive and every other row ``none``.
+One hash per row, ``md5('seed:plant:id')`` (first 32 bits), is split into
+disjoint ranges, one per kind, whose widths are the kinds' rates
+(``count per 8,000 rows / 8,000``).  A row whose hash falls in a kind's range
+seeds one altered copy with id ``PL-<kind>-<source id>``.  The test is
+row-local (no global ranking), so planting is a map-only job at any scale and
+the expected count scales with the table.  Labels mark the copies positive and
+every other row ``none``.
 """
 
 from __future__ import annotations
@@ -20,12 +21,29 @@ from ledgerscreen.schema import RAW_COLUMNS
 
 
 def rate_threshold(count_per_base: int) -> int:
-    """Integer threshold on the 32-bit hash for a kind's planting rate."""
+    """Width of a kind's range on the 32-bit hash for its planting rate."""
     return int((count_per_base / PLANT_BASE_ROWS) * 4294967296.0)
 
 
+def kind_ranges() -> dict[str, tuple[int, int]]:
+    """Disjoint [lo, hi) ranges of the 32-bit planting hash, one per kind."""
+    out, lo = {}, 0
+    for kind, n in PLANT_KINDS:
+        hi = lo + rate_threshold(n)
+        out[kind] = (lo, hi)
+        lo = hi
+    return out
+
+
+def plant_hash(p: Params):
+    return hash_u32(p.plant_seed, "plant", F.col("transaction_id"))
+
+
 def _pick(df: DataFrame, kind: str, n: int, p: Params) -> DataFrame:
-    return df.where(hash_u32(p.plant_seed, kind, F.col("transaction_id")) < F.lit(rate_threshold(n)))
+    lo, hi = kind_ranges()[kind]
+    # the hash is projected once; the filter then reads the column
+    hashed = df.select("*", plant_hash(p).alias("_ph"))
+    return hashed.where((F.col("_ph") >= F.lit(lo)) & (F.col("_ph") < F.lit(hi))).drop("_ph")
 
 
 def _u(kind: str, tag: str, p: Params):
@@ -44,11 +62,9 @@ def _new_id(kind: str):
     return F.concat(F.lit(f"PL-{kind}-"), F.col("transaction_id"))
 
 
-def plant_kind(df: DataFrame, kind: str, p: Params = DEFAULT_PARAMS) -> DataFrame:
-    """Altered copies for one kind (raw ledger columns, date typed)."""
-    n = dict(PLANT_KINDS)[kind]
-    src = _pick(df, kind, n, p)
-    cols = {c: F.col(c) for c in RAW_COLUMNS}
+def _altered_columns(kind: str, p: Params) -> dict:
+    """Column expressions a kind changes (evaluated on the source row)."""
+    cols: dict = {}
     if kind == "duplicate":
         pass
     elif kind == "round_number":
@@ -72,9 +88,6 @@ def plant_kind(df: DataFrame, kind: str, p: Params = DEFAULT_PARAMS) -> DataFram
         cols["entry_type"] = F.lit("Debit")
         cols["amount"] = F.col("amount") * (F.lit(1.2) + F.lit(1.3) * _u(kind, "factor", p))
     elif kind == "statistical_outlier":
-        # only rows above their account's mean, so x8..x15 clears the upper fence
-        means = df.groupBy("account").agg(F.round(F.avg("amount"), 2).alias("_acct_mean"))
-        src = src.join(means, "account").where(F.col("amount") > F.col("_acct_mean"))
         cols["amount"] = F.col("amount") * (F.lit(8.0) + F.lit(7.0) * _u(kind, "factor", p))
     elif kind == "month_end_spike":
         months = F.array(*[F.lit(m) for m in MONTH_END_MONTHS])
@@ -91,11 +104,24 @@ def plant_kind(df: DataFrame, kind: str, p: Params = DEFAULT_PARAMS) -> DataFram
     else:
         raise ValueError(f"unknown kind {kind!r}")
     cols["transaction_id"] = _new_id(kind)
+    return cols
+
+
+def plant_kind(df: DataFrame, kind: str, p: Params = DEFAULT_PARAMS) -> DataFrame:
+    """Altered copies for one kind (raw ledger columns, date typed)."""
+    n = dict(PLANT_KINDS)[kind]
+    src = _pick(df, kind, n, p)
+    if kind == "statistical_outlier":
+        # only rows above their account's mean, so x8..x15 clears the upper fence
+        means = df.groupBy("account").agg(F.round(F.avg("amount"), 2).alias("_acct_mean"))
+        src = src.join(means, "account").where(F.col("amount") > F.col("_acct_mean"))
+    cols = {c: F.col(c) for c in RAW_COLUMNS}
+    cols.update(_altered_columns(kind, p))
     return src.select(*[cols[c].alias(c) for c in RAW_COLUMNS])
 
 
 def planted_rows(df: DataFrame, p: Params = DEFAULT_PARAMS) -> DataFrame:
-    """All planted copies with an ``anomaly_type`` column."""
+    """All planted copies with an ``anomaly_type`` column (one kind at a time)."""
     out = None
     for kind, _ in PLANT_KINDS:
         part = plant_kind(df, kind, p).withColumn("anomaly_type", F.lit(kind))
@@ -103,6 +129,43 @@ def planted_rows(df: DataFrame, p: Params = DEFAULT_PARAMS) -> DataFrame:
     return out
 
 
+def plant_copies(df: DataFrame, p: Params = DEFAULT_PARAMS) -> DataFrame:
+    """Every planted copy (raw columns + ``anomaly_type``) in ONE pass over the
+    base ledger: the planting hash picks at most one kind per row, and each
+    column takes the picked kind's altered expression.  Only the outlier kind
+    needs an extra aggregate (account means: one row per account)."""
+    kinds = [k for k, _ in PLANT_KINDS]
+    h = F.col("_ph")
+    pick = None
+    for k, (lo, hi) in kind_ranges().items():
+        pick = (F.when(h < F.lit(hi), F.lit(k)) if pick is None else pick.when(h < F.lit(hi), F.lit(k)))
+    means = df.groupBy("account").agg(F.round(F.avg("amount"), 2).alias("_acct_mean"))
+    # The kind ranges are contiguous from 0, so "picked by some kind" is one
+    # comparison; filtering on it (rather than on the CASE) keeps the md5 from
+    # being inlined once per CASE branch when Catalyst pushes the filter down.
+    total = max(hi for _, hi in kind_ranges().values())
+    hashed = df.select("*", plant_hash(p).alias("_ph")).where(F.col("_ph") < F.lit(total))
+    tagged = (hashed.select("*", pick.alias("anomaly_type"))
+              .join(means, "account", "left")
+              .where((F.col("anomaly_type") != "statistical_outlier") | (F.col("amount") > F.col("_acct_mean"))))
+    per_kind = {k: _altered_columns(k, p) for k in kinds}
+    kind = F.col("anomaly_type")
+    cols = []
+    for c in RAW_COLUMNS:
+        expr = F.col(c)
+        for k in kinds:
+            if c in per_kind[k]:
+                expr = F.when(kind == k, per_kind[k][c]).otherwise(expr)
+        cols.append(expr.alias(c))
+    return tagged.select(*cols, "anomaly_type")
+
+
+def plant_all(df: DataFrame, p: Params = DEFAULT_PARAMS) -> DataFrame:
+    """Base rows (``anomaly_type`` = 'none') plus all planted copies."""
+    return (df.select(*RAW_COLUMNS, F.lit("none").alias("anomaly_type"))
+            .unionByName(plant_copies(df, p)))
+
+
 def plant(df: DataFrame, p: Params = DEFAULT_PARAMS) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(ledger with planted rows, all labels, positive labels only)."""
     rows = planted_rows(df, p)
@@ -111,3 +174,9 @@ def plant(df: DataFrame, p: Params = DEFAULT_PARAMS) -> tuple[DataFrame, DataFra
     labels = df.select("transaction_id", F.lit(0).alias("is_anomaly"),
                        F.lit("none").alias("anomaly_type")).unionByName(positives)
     return ledger, labels, positives
+
+
+def labels_of(planted: DataFrame) -> DataFrame:
+    """Label table from a ``plant_all`` frame: 1 + kind for copies, 0 + none else."""
+    return planted.select("transaction_id",
+                          (F.col("anomaly_type") != "none").cast("int").alias("is_anomaly"), "anomaly_type")

@@ -30,12 +30,11 @@ def pipeline(spark: SparkSession, sf_dir: str, fixture: str = "main") -> Pipelin
     key = (_spark_key(spark), sf_dir, fixture)
     if key not in _PIPELINES:
         if fixture == "main":
-            base = ledger_from_lineitem(spark, sf_dir)
-            ledger, _, positives = planting.plant(base, DEFAULT_PARAMS)
-            _PIPELINES[key] = Pipeline(spark, ledger, positives, DEFAULT_PARAMS, view_name="journal_entries")
+            _PIPELINES[key] = Pipeline(spark, ledger_from_lineitem(spark, sf_dir), None, DEFAULT_PARAMS,
+                                       view_name="journal_entries", name="main", plant=True)
         elif fixture == "events":
             _PIPELINES[key] = Pipeline(spark, ledger_from_events(spark, sf_dir), None, DEFAULT_PARAMS,
-                                       view_name="journal_entries_events")
+                                       view_name="journal_entries_events", name="events")
         else:
             raise ValueError(fixture)
     return _PIPELINES[key]
@@ -390,5 +389,4 @@ for _kind, _ in PLANT_KINDS:
 
 @key("planted_labels")
 def _pl(spark, sf):
-    _, labels, _ = planting.plant(ledger_from_lineitem(spark, sf), DEFAULT_PARAMS)
-    return labels
+    return planting.labels_of(_main(spark, sf).raw_tagged)

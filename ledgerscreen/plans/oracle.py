@@ -12,7 +12,7 @@ from __future__ import annotations
 import math
 
 from ledgerscreen.operators.iforest import EULER_GAMMA, FIXED
-from ledgerscreen.operators.planting import rate_threshold
+from ledgerscreen.operators.planting import kind_ranges
 from ledgerscreen.params import (DEFAULT_PARAMS, MONTH_END_MONTHS, OFF_HOURS_NIGHT, PLANT_KINDS,
                                  REASON_DUPLICATE, REASON_MONTH_END, REASON_OFF_HOURS, REASON_ROUND,
                                  ROUND_AMOUNTS, RULE_NAMES, SEVERITY, Params)
@@ -101,8 +101,9 @@ def _pu(kind: str, tag: str) -> str:
 
 
 def plant_kind_sql(kind: str, src: str = "base") -> str:
-    n = dict(PLANT_KINDS)[kind]
-    pick = f"{h32(q(str(P.plant_seed)), q(kind), 'transaction_id')} < {rate_threshold(n)}"
+    lo, hi = kind_ranges()[kind]
+    ph = h32(q(str(P.plant_seed)), "'plant'", "transaction_id")
+    pick = f"{ph} >= {lo} AND {ph} < {hi}"
     cols = {c: c for c in RAW.split(", ")}
     frm = f"FROM {src} WHERE {pick}"
     if kind == "round_number":

@@ -7,11 +7,18 @@
     -> ML columns -> risk score and level (persisted) -> reports.
 
 Stages are built on first use and shared by every query on the same
-pipeline, so a run of all report queries computes each stage once.
+pipeline, so a run of all report queries computes each stage once.  Each
+heavy stage is written as a Parquet table under the shared checkpoint folder
+(``spark.checkpoint.dir``) and read back: that cuts the lineage (later plans
+start at a scan, with column pruning), and a lost executor costs a re-read,
+not a recomputation of the joins and the forest.
 """
 
 from __future__ import annotations
 
+import hashlib
+import os
+import time
 from functools import cached_property
 
 from pyspark import StorageLevel
@@ -22,7 +29,7 @@ from ledgerscreen.operators import benford, clean as cl, features as ft, iforest
 from ledgerscreen.operators import rules, validate
 from ledgerscreen.params import DEFAULT_PARAMS, Params
 from ledgerscreen.schema import CLEAN_COLUMNS
-from ledgerscreen.session import checkpoint_dir
+from ledgerscreen.session import checkpoint_dir, scratch_path
 
 PASS_THROUGH = (*CLEAN_COLUMNS, "vendor_n", "n_tests_triggered", "tests_triggered", "reasons",
                 "rule_severity")
@@ -30,14 +37,66 @@ PASS_THROUGH = (*CLEAN_COLUMNS, "vendor_n", "n_tests_triggered", "tests_triggere
 
 class Pipeline:
     def __init__(self, spark: SparkSession, raw: DataFrame, labels: DataFrame | None = None,
-                 p: Params = DEFAULT_PARAMS, view_name: str | None = None):
+                 p: Params = DEFAULT_PARAMS, view_name: str | None = None, name: str = "ledger",
+                 materialize: bool = True, plant: bool = False):
+        """``raw``: raw ledger columns; ``plant``: add planted anomaly copies
+        (labels then come from them); ``labels``: an explicit label table."""
+        self.plant = plant
         self.spark = spark
-        self.raw = raw
-        self.labels = labels
         self.p = p
         self.view_name = view_name
+        self.materialize = materialize
         self._persisted: list[DataFrame] = []
         checkpoint_dir(spark)
+        run = hashlib.md5(f"{spark.sparkContext.applicationId}:{name}:{id(self)}".encode()).hexdigest()[:12]
+        self.base_dir = scratch_path(spark, f"pipeline-{name}-{run}")
+        self._raw_in = raw
+        self._labels_in = labels
+        self.timings: dict[str, float] = {}
+
+    def _table(self, df: DataFrame, stage: str) -> DataFrame:
+        """Write a stage as Parquet in the shared folder and read it back."""
+        if not self.materialize:
+            return self._keep(df)
+        path = os.path.join(self.base_dir, stage)
+        t0 = time.time()
+        df.write.mode("overwrite").parquet(path)
+        self.timings[stage] = round(time.time() - t0, 3)
+        return self.spark.read.parquet(path)
+
+    @cached_property
+    def raw_tagged(self) -> DataFrame:
+        """Raw ledger + ``anomaly_type``.  With planting, the base rows are
+        written first and the copies are derived from that table and appended,
+        so the source joins run once."""
+        from ledgerscreen.operators import planting
+        from ledgerscreen.schema import RAW_COLUMNS
+        src = self._raw_in.select(*RAW_COLUMNS, F.lit("none").alias("anomaly_type"))
+        if not self.plant:
+            return self._table(src, "raw")
+        if not self.materialize:
+            return self._keep(planting.plant_all(self._raw_in, self.p))
+        base = self._table(src, "raw")
+        copies = planting.plant_copies(base.select(*RAW_COLUMNS), self.p)
+        path = os.path.join(self.base_dir, "raw")
+        t0 = time.time()
+        copies.write.mode("append").parquet(path)
+        self.timings["raw_planted"] = round(time.time() - t0, 3)
+        return self.spark.read.parquet(path)
+
+    @cached_property
+    def raw(self) -> DataFrame:
+        from ledgerscreen.schema import RAW_COLUMNS
+        return self.raw_tagged.select(*RAW_COLUMNS)
+
+    @cached_property
+    def labels(self) -> DataFrame | None:
+        if self._labels_in is not None:
+            return self._labels_in
+        if "anomaly_type" in self.raw_tagged.columns:
+            return (self.raw_tagged.where(F.col("anomaly_type") != "none")
+                    .select("transaction_id", F.lit(1).alias("is_anomaly"), "anomaly_type"))
+        return None
 
     def _keep(self, df: DataFrame) -> DataFrame:
         df = df.persist(StorageLevel.MEMORY_AND_DISK)
@@ -52,7 +111,7 @@ class Pipeline:
     # ------------------------------------------------------------ clean
     @cached_property
     def clean(self) -> DataFrame:
-        je = self._keep(cl.clean(self.raw))
+        je = self._table(cl.clean(self.raw), "journal_entries")
         if self.view_name:
             je.createOrReplaceTempView(self.view_name)
         return je
@@ -69,7 +128,7 @@ class Pipeline:
     @cached_property
     def ruled(self) -> DataFrame:
         r = rules.with_flag_summary(rules.rule_columns(self.enriched, self.p))
-        return self._keep(r.withColumn("rule_severity", rk.rule_severity()))
+        return self._table(r.withColumn("rule_severity", rk.rule_severity()), "rules")
 
     @cached_property
     def flags(self) -> DataFrame:
@@ -91,7 +150,7 @@ class Pipeline:
     @cached_property
     def model(self) -> DataFrame:
         m = iforest.fit(self.features_wide, self.feature_names, self.n_rows, self.p)
-        return m.checkpoint(eager=True)        # reliable copy in the shared checkpoint dir
+        return self._table(m, "forest_model")
 
     @cached_property
     def scored(self) -> DataFrame:
@@ -101,7 +160,7 @@ class Pipeline:
 
     @cached_property
     def ml(self) -> DataFrame:
-        return iforest.ml_columns(self._keep(self.scored), self.n_rows, self.p)
+        return iforest.ml_columns(self._table(self.scored, "scored"), self.n_rows, self.p)
 
     # ------------------------------------------------------------ risk
     @cached_property
@@ -109,7 +168,7 @@ class Pipeline:
         """Row-aligned: ledger columns + rule summary + ML + risk (the export)."""
         r = rk.with_risk(self.ml, self.p)
         r = r.withColumnRenamed("vendor_n", "vendor_frequency")
-        return self._keep(r)
+        return self._table(r, "risk")
 
     @cached_property
     def export(self) -> DataFrame:

@@ -32,6 +32,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         b = b.config(k, v)
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if master and master.startswith("local"):
+        # local mode: the driver JVM is the only executor; give it real memory
+        b = b.config("spark.driver.memory", os.environ.get("LEDGERSCREEN_DRIVER_MEMORY", "16g"))
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_dir(spark)
