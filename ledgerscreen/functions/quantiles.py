@@ -5,14 +5,15 @@ is fine while every group is small, but a ledger with ten accounts at 100 TB
 puts ~10^11 distinct amounts into each map.  So the size of the largest group
 is measured first (one cheap aggregate with partial aggregation) and:
 
-* groups all below ``Params.exact_percentile_max_group`` -> ``percentile``;
+* groups all below ``Params.exact_percentile_max_group`` -> one sort per group
+  (a window ordered by value; each group provably fits one task);
 * otherwise -> order statistics by rank selection: every pass scans the data
   once and counts values per (group, target rank, value bucket) -- a tiny
   aggregate -- then narrows each target's value bracket to the one bucket that
   holds its rank.  When a bracket holds few rows it is finished with a window
   over just those rows.  No pass ever moves more than the bucket counts.
 
-Interpolation follows Spark's ``percentile``: pos = p*(n-1),
+Interpolation is the one Spark's ``percentile`` uses: pos = p*(n-1),
 ``(hi-pos)*v_lo + (pos-lo)*v_hi``, and ``v_lo`` when the two order
 statistics are equal.
 """
@@ -48,11 +49,31 @@ def group_quantiles(df: DataFrame, keys: list[str], value: str, probs: dict[str,
     if not force_selection:
         largest = sizes.agg(F.max("n")).first()[0]
         if largest is None or largest <= p.exact_percentile_max_group:
-            aggs = [F.percentile("_x", F.lit(q)).alias(name) for name, q in probs.items()]
-            return data.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), *aggs)
+            return _by_window(data, keys, probs)
     return _by_selection(data, sizes, keys, probs)
 
 
+def _by_window(data: DataFrame, keys: list[str], probs: dict[str, float]) -> DataFrame:
+    """Rank every value inside its (size-checked) group, keep only the rows at
+    the needed ranks, interpolate."""
+    w = Window.partitionBy(*keys).orderBy("_x")
+    ranked = data.select(*keys, "_x", (F.row_number().over(w) - 1).alias("_r"),
+                         F.count(F.lit(1)).over(Window.partitionBy(*keys)).alias("n"))
+    pos = {name: (F.col("n") - 1).cast("double") * F.lit(float(q)) for name, q in probs.items()}
+    needed = None
+    for ps in pos.values():
+        c = (F.col("_r") == F.floor(ps)) | (F.col("_r") == F.ceil(ps))
+        needed = c if needed is None else needed | c
+    aggs = []
+    for name, ps in pos.items():
+        aggs.append(F.max(F.when(F.col("_r") == F.floor(ps), F.col("_x"))).alias(f"_{name}_lo"))
+        aggs.append(F.max(F.when(F.col("_r") == F.ceil(ps), F.col("_x"))).alias(f"_{name}_hi"))
+    g = ranked.where(needed).groupBy(*keys, "n").agg(*aggs)
+    return g.select(*keys, "n", *[interpolate((F.col("n") - 1).cast("double") * F.lit(float(q)),
+                                              F.col(f"_{name}_lo"), F.col(f"_{name}_hi")).alias(name)
+                                  for name, q in probs.items()])
+
+
 def _by_selection(data: DataFrame, sizes: DataFrame, keys: list[str],
                   probs: dict[str, float]) -> DataFrame:
     targets = None

@@ -381,9 +381,15 @@ def _ddep(spark, sf):
 _PLANT_KEYS = {"duplicate": "plant_duplicate", "round_number": "plant_round",
                "off_hours_weekend": "plant_off_hours", "vendor_concentration": "plant_shell_vendor",
                "statistical_outlier": "plant_outlier", "month_end_spike": "plant_month_end"}
+def _base_rows(spark, sf):
+    """The line-item ledger as materialized by the main pipeline (base rows only)."""
+    t = _main(spark, sf).raw_tagged
+    return t.where(F.col("anomaly_type") == "none").drop("anomaly_type")
+
+
 for _kind, _ in PLANT_KINDS:
     def _mk_plant(kind):
-        return lambda spark, sf: planting.plant_kind(ledger_from_lineitem(spark, sf), kind, DEFAULT_PARAMS)
+        return lambda spark, sf: planting.plant_kind(_base_rows(spark, sf), kind, DEFAULT_PARAMS)
     REGISTRY[_PLANT_KEYS[_kind]] = _mk_plant(_kind)
 
 
