@@ -68,8 +68,21 @@ def sample(features: DataFrame, n_rows: int, p: Params = DEFAULT_PARAMS) -> Data
     t, psi = p.n_trees, p.max_samples
     ids = features.select("transaction_id")
     if n_rows >= t * psi:
+        need = t * psi
         h = F.md5(F.concat_ws(":", F.lit(str(p.seed)), F.lit("pool"), F.col("transaction_id")))
-        pool = ids.select("transaction_id", h.alias("_h")).orderBy("_h", "transaction_id").limit(t * psi)
+        hashed = ids.select("transaction_id", h.alias("_h"))
+        # Map-only pre-filter on the hash's first 32 bits: keeps ~3x the needed
+        # rows, always a superset of the `need` smallest hashes once at least
+        # `need` rows pass, so the bounded top-k below is exact.  A global
+        # top-k alone would merge every partition's top-`need` in one task.
+        frac = min(1.0, 3.0 * need / n_rows)
+        while True:
+            tau = int(frac * 4294967296.0)
+            cand = hashed.where(F.conv(F.substring("_h", 1, 8), 16, 10).cast("bigint") < F.lit(tau))
+            if frac >= 1.0 or cand.count() >= need:
+                break
+            frac = min(1.0, frac * 2)
+        pool = cand.orderBy("_h", "transaction_id").limit(need)
         # <= T*psi rows: a single ordered window over the pool is bounded
         r = F.row_number().over(Window.orderBy("_h", "transaction_id")) - 1
         return pool.select((r % t).cast("int").alias("tree"), "transaction_id")
@@ -200,8 +213,9 @@ def score(frame: DataFrame, feature_cols: list, names: list[str], model: DataFra
     return inp.mapInPandas(run, out_schema)
 
 
-def ml_columns(scored: DataFrame, n_rows: int, p: Params = DEFAULT_PARAMS) -> DataFrame:
-    """H3 + H4: inverted min-max score (4 dp) and the contamination flag.
+def ml_stats(scored: DataFrame, n_rows: int, p: Params = DEFAULT_PARAMS) -> dict:
+    """Reference statistics of a scored table: min / max score and the
+    contamination threshold on the exact path sums.
 
     The flag marks the rows whose -s is below the 5th percentile of -s
     (linear interpolation).  Because -s increases with the exact fixed-point
@@ -211,15 +225,23 @@ def ml_columns(scored: DataFrame, n_rows: int, p: Params = DEFAULT_PARAMS) -> Da
     pos = p.contamination * (n_rows - 1)
     lo = int(math.floor(pos))
     frac = pos - lo
-    stats = order_statistics(scored, "path_sum", [lo, min(lo + 1, n_rows - 1)], n_rows, p)
-    v_lo, v_hi = stats[lo], stats[min(lo + 1, n_rows - 1)]
-    inclusive = frac > 0 and v_hi > v_lo
-    mm = scored.agg(F.min("iso_score").alias("_smin"), F.max("iso_score").alias("_smax"))
+    hi_rank = min(lo + 1, n_rows - 1)
+    stats = order_statistics(scored, "path_sum", [lo, hi_rank], n_rows, p)
+    v_lo, v_hi = stats[lo], stats[hi_rank]
+    mm = scored.agg(F.min("iso_score").alias("smin"), F.max("iso_score").alias("smax")).first()
+    return {"smin": mm["smin"], "smax": mm["smax"], "path_threshold": float(v_lo),
+            "inclusive": bool(frac > 0 and v_hi > v_lo)}
+
+
+def ml_columns(scored: DataFrame, n_rows: int, p: Params = DEFAULT_PARAMS, stats: dict | None = None) -> DataFrame:
+    """H3 + H4: inverted min-max score (4 dp) and the contamination flag,
+    relative to ``stats`` (default: the statistics of ``scored`` itself)."""
+    st = stats or ml_stats(scored, n_rows, p)
     ps = F.col("path_sum").cast("double")
-    is_anom = (ps <= F.lit(v_lo)) if inclusive else (ps < F.lit(v_lo))
-    return (scored.crossJoin(F.broadcast(mm))        # one row
-            .withColumn("ml_anomaly_score", F.round(F.coalesce(
-                F.try_divide(F.col("iso_score") - F.col("_smin"), F.col("_smax") - F.col("_smin")),
-                F.lit(0.0)), 4))
-            .withColumn("ml_flag", F.when(is_anom, "anomaly").otherwise("normal"))
-            .drop("_smin", "_smax"))
+    thr = F.lit(st["path_threshold"])
+    is_anom = (ps <= thr) if st["inclusive"] else (ps < thr)
+    span = st["smax"] - st["smin"]
+    score = (F.lit(0.0) if not span else
+             F.round((F.col("iso_score") - F.lit(st["smin"])) / F.lit(span), 4))
+    return (scored.withColumn("ml_anomaly_score", score)
+            .withColumn("ml_flag", F.when(is_anom, "anomaly").otherwise("normal")))

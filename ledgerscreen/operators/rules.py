@@ -61,28 +61,40 @@ def enrich(df: DataFrame, p: Params = DEFAULT_PARAMS) -> DataFrame:
     return e.crossJoin(F.broadcast(total))   # one row: bounded broadcast
 
 
-def rule_columns(e: DataFrame, p: Params = DEFAULT_PARAMS) -> DataFrame:
-    """Adds one nullable reason column per rule (null = not flagged)."""
+def row_local_reasons(p: Params = DEFAULT_PARAMS) -> dict:
+    """Reason columns of the rules that need only the row itself (no aggregate):
+    round number, off-hours/weekend and month-end late posting."""
     amt = F.col("amount")
     hour = F.col("hour")
-    is_dup = F.col("dup_n").isNotNull()
     is_round = false_if_null((amt % F.lit(p.round_base) == 0) & (amt >= F.lit(p.round_min)))
     is_off = (false_if_null(F.col("is_weekend")) | false_if_null(hour < p.business_start_hour)
               | false_if_null(hour > p.business_end_hour))
+    is_me = false_if_null((F.col("day") >= p.month_end_day) & (hour >= p.late_hour))
+    return {
+        "round_number": F.when(is_round, F.lit(REASON_ROUND)),
+        "off_hours_weekend": F.when(is_off, F.lit(REASON_OFF_HOURS)),
+        "month_end_late_hour_posting": F.when(is_me, F.lit(REASON_MONTH_END)),
+    }
+
+
+def rule_columns(e: DataFrame, p: Params = DEFAULT_PARAMS) -> DataFrame:
+    """Adds one nullable reason column per rule (null = not flagged)."""
+    amt = F.col("amount")
+    local = row_local_reasons(p)
+    is_dup = F.col("dup_n").isNotNull()
     share_pct = F.try_divide(F.col("vendor_sum"), F.col("total_amount")) * F.lit(100.0)
     is_conc = false_if_null(F.col("vendor").isNotNull() & (share_pct > F.lit(p.concentration_pct)))
     upper = F.col("acct_q3") + F.lit(p.iqr_mult) * (F.col("acct_q3") - F.col("acct_q1"))
     is_out = false_if_null(F.col("account").isNotNull() & (amt > upper))
-    is_me = false_if_null((F.col("day") >= p.month_end_day) & (hour >= p.late_hour))
     return e.select(
         "*",
         F.when(is_dup, F.lit(REASON_DUPLICATE)).alias("r_duplicate"),
-        F.when(is_round, F.lit(REASON_ROUND)).alias("r_round_number"),
-        F.when(is_off, F.lit(REASON_OFF_HOURS)).alias("r_off_hours_weekend"),
+        local["round_number"].alias("r_round_number"),
+        local["off_hours_weekend"].alias("r_off_hours_weekend"),
         F.when(is_conc, F.lit(p.concentration_reason)).alias("r_vendor_concentration"),
         F.when(is_out, F.format_string(REASON_OUTLIER.replace("{account}", "%s"), F.col("account")))
          .alias("r_statistical_outlier"),
-        F.when(is_me, F.lit(REASON_MONTH_END)).alias("r_month_end_late_hour_posting"),
+        local["month_end_late_hour_posting"].alias("r_month_end_late_hour_posting"),
     )
 
 

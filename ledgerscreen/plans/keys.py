@@ -210,7 +210,7 @@ def _features(spark, sf):
 
 @key("vendor_frequency")
 def _vfreq(spark, sf):
-    return ft.vendor_frequency(_main(spark, sf).enriched)
+    return ft.vendor_frequency(_main(spark, sf).ruled)
 
 
 @key("iforest_model")

@@ -158,9 +158,18 @@ class Pipeline:
         return iforest.score(self.ruled, cols, self.feature_names, self.model, self.n_rows, self.p,
                              keep=list(PASS_THROUGH))
 
+    @cached_property
+    def scored_table(self) -> DataFrame:
+        return self._table(self.scored, "scored")
+
+    @cached_property
+    def ml_stats(self) -> dict:
+        """Stored reference statistics (score range, contamination threshold)."""
+        return iforest.ml_stats(self.scored_table, self.n_rows, self.p)
+
     @cached_property
     def ml(self) -> DataFrame:
-        return iforest.ml_columns(self._table(self.scored, "scored"), self.n_rows, self.p)
+        return iforest.ml_columns(self.scored_table, self.n_rows, self.p, self.ml_stats)
 
     # ------------------------------------------------------------ risk
     @cached_property
