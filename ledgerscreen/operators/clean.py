@@ -12,6 +12,12 @@ from ledgerscreen.schema import CLEAN_COLUMNS, RAW_COLUMNS
 
 REQUIRED = ("transaction_id", "date", "amount")
 
+# FIXED VALUES -- English day names, Monday first (weekday() numbering).
+DAY_NAMES = ("Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday")
+
+# A strict HH:MM:SS time of day (hour 00-23, minutes and seconds 00-59).
+TIME_PATTERN = r"^([01][0-9]|2[0-3]):[0-5][0-9]:[0-5][0-9]$"
+
 
 def _typed_date(df: DataFrame, name: str):
     dt = df.schema[name].dataType
@@ -44,10 +50,13 @@ def typed(raw: DataFrame) -> DataFrame:
         else:
             cols.append(F.col(c).cast("string").alias(c))
     df = raw.select(*cols)
-    hour = F.hour(F.try_to_timestamp(F.col("time"), F.lit("HH:mm:ss")))
+    # strict parse of HH:MM:SS (bad -> null) and the day name, both without a
+    # per-row date formatter: a pattern test + substring, an array lookup
+    hour = F.when(F.col("time").rlike(TIME_PATTERN), F.substring("time", 1, 2).cast("int"))
+    names = F.array(*[F.lit(d) for d in DAY_NAMES])
     return df.select(
         *RAW_COLUMNS,
-        F.date_format("date", "EEEE").alias("day_of_week"),
+        F.element_at(names, F.weekday("date") + 1).alias("day_of_week"),
         (F.weekday("date") >= 5).alias("is_weekend"),
         hour.cast("int").alias("hour"),
         F.month("date").alias("month"),

@@ -73,7 +73,7 @@ class Pipeline:
         from ledgerscreen.schema import RAW_COLUMNS
         src = self._raw_in.select(*RAW_COLUMNS, F.lit("none").alias("anomaly_type"))
         if not self.plant:
-            return self._table(src, "raw")
+            return src          # read once by clean(); nothing else needs a copy
         if not self.materialize:
             return self._keep(planting.plant_all(self._raw_in, self.p))
         base = self._table(src, "raw")
