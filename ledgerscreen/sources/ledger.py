@@ -46,12 +46,15 @@ def ledger_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_name")
     supp = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    supp_vendor = supp.join(nation, supp.s_nationkey == nation.n_nationkey).select("s_suppkey", "n_name")
 
+    # Each dimension is joined to the fact stream directly, so the planner
+    # sizes every join from that table's own statistics (a pre-joined
+    # supplier x nation gets a product-of-sizes estimate and loses broadcast).
     j = (li.join(orders, li.l_orderkey == orders.o_orderkey)
          .join(cust, F.col("o_custkey") == cust.c_custkey)
          .join(part, li.l_partkey == part.p_partkey)
-         .join(supp_vendor, li.l_suppkey == supp_vendor.s_suppkey))
+         .join(supp, li.l_suppkey == supp.s_suppkey)
+         .join(nation, F.col("s_nationkey") == nation.n_nationkey))
     tid = F.concat_ws("-", F.lit("JE"), F.col("l_orderkey").cast("string"),
                       F.col("l_linenumber").cast("string"), F.col("l_partkey").cast("string"),
                       F.col("l_suppkey").cast("string"), F.col("l_quantity").cast("bigint").cast("string"))
