@@ -29,7 +29,7 @@ from ledgerscreen.operators import benford, clean as cl, features as ft, iforest
 from ledgerscreen.operators import rules, validate
 from ledgerscreen.params import DEFAULT_PARAMS, Params
 from ledgerscreen.schema import CLEAN_COLUMNS
-from ledgerscreen.session import checkpoint_dir, scratch_path
+from ledgerscreen.session import prepare, scratch_path
 
 PASS_THROUGH = (*CLEAN_COLUMNS, "vendor_n", "n_tests_triggered", "tests_triggered", "reasons",
                 "rule_severity")
@@ -47,7 +47,7 @@ class Pipeline:
         self.view_name = view_name
         self.materialize = materialize
         self._persisted: list[DataFrame] = []
-        checkpoint_dir(spark)
+        prepare(spark)
         run = hashlib.md5(f"{spark.sparkContext.applicationId}:{name}:{id(self)}".encode()).hexdigest()[:12]
         self.base_dir = scratch_path(spark, f"pipeline-{name}-{run}")
         self._raw_in = raw

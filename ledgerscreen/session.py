@@ -37,7 +37,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         b = b.config("spark.driver.memory", os.environ.get("LEDGERSCREEN_DRIVER_MEMORY", "16g"))
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    checkpoint_dir(spark)
+    prepare(spark)
     return spark
 
 
@@ -58,6 +58,40 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``ledgerscreen`` importable in every Python worker (the forest fit
+    and the scoring pass run package code there), like ``--py-files``.
+
+    The zip is built on the driver and handed to ``addPyFile``; Spark serves
+    it to the executors.  Done once per application."""
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    import zipfile
+    import ledgerscreen
+    root = os.path.dirname(os.path.dirname(os.path.abspath(ledgerscreen.__file__)))
+    path = os.path.join(tempfile.mkdtemp(prefix="ledgerscreen-pkg-"), "ledgerscreen.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for dirpath, _, files in os.walk(os.path.join(root, "ledgerscreen")):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(path)
+    _SHIPPED.add(app)
+
+
+def prepare(spark: SparkSession) -> str:
+    """Everything a session needs before running the screen: the package on
+    the workers and the shared checkpoint folder.  Returns the folder."""
+    ship_package(spark)
+    return checkpoint_dir(spark)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A folder under the shared checkpoint dir for written intermediate tables."""
     base = checkpoint_dir(spark)
