@@ -62,3 +62,15 @@ FOREST_MODEL = T.StructType([
     T.StructField("split", T.DoubleType(), True),
     T.StructField("leaf_value", T.LongType(), True),
 ])
+
+# Flat export: the risk columns followed by the cleaned ledger columns (22).
+EXPORT_SCHEMA = T.StructType(
+    [T.StructField("transaction_id", T.StringType(), True),
+     T.StructField("n_tests_triggered", T.IntegerType(), True),
+     T.StructField("tests_triggered", T.StringType(), True),
+     T.StructField("reasons", T.StringType(), True),
+     T.StructField("ml_anomaly_score", T.DoubleType(), True),
+     T.StructField("ml_flag", T.StringType(), True),
+     T.StructField("risk_score", T.DoubleType(), True),
+     T.StructField("risk_level", T.StringType(), True)]
+    + [T.StructField(f.name, f.dataType, True) for f in CLEAN_LEDGER.fields if f.name != "transaction_id"])

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerscreen.functions.exprs import hash_u32, hhmmss
-from ledgerscreen.schema import RAW_COLUMNS, RAW_LEDGER
+from ledgerscreen.schema import EXPORT_SCHEMA, RAW_COLUMNS, RAW_LEDGER
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +33,14 @@ def load_raw_csv(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RAW_LEDGER).option("header", True).csv(path)
 
 
+def load_export(spark: SparkSession, path: str) -> DataFrame:
+    """The flat CSV export read back for the dashboard queries: typed columns,
+    ``date`` parsed, and ``risk_rank`` (Low < Medium < High) for ordering."""
+    from ledgerscreen.functions.exprs import risk_rank
+    df = spark.read.schema(EXPORT_SCHEMA).option("header", True).csv(path)
+    return df.withColumn("risk_rank", risk_rank(F.col("risk_level")))
+
+
 def load_raw_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).select(*RAW_COLUMNS)
 
