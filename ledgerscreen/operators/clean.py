@@ -114,3 +114,10 @@ def profile_nulls(df: DataFrame) -> DataFrame:
     """Null count per column as a long table (column_name, null_count)."""
     counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns])
     return counts.unpivot([], list(df.columns), "column_name", "null_count")
+
+
+def id_repeats(df: DataFrame) -> DataFrame:
+    """Transaction ids that occur more than once after cleaning (rows that differ
+    in some other column).  The id is a declared key; this reports violations."""
+    return (df.groupBy("transaction_id").agg(F.count(F.lit(1)).alias("n_rows"))
+            .where(F.col("n_rows") > 1))

@@ -92,6 +92,11 @@ def _clean_counts(spark, sf):
     return cl.clean_counts(pl.raw, pl.clean)
 
 
+@key("id_repeats")
+def _id_repeats(spark, sf):
+    return cl.id_repeats(_main(spark, sf).clean)
+
+
 @key("profile_summary")
 def _profile_summary(spark, sf):
     return cl.profile_summary(_main(spark, sf).clean)
