@@ -27,6 +27,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def spread_if_few_files(df: DataFrame) -> DataFrame:
+    """Round-robin the rows over every task slot when the input has fewer files
+    than slots.  A small file with one row group is read by one task; without
+    this the joins and per-row hashing that follow would run single-threaded.
+    A large table (many files) is returned unchanged: no extra shuffle."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if len(df.inputFiles()) < slots:
+        return df.repartition(slots)
+    return df
+
+
 def load_raw_csv(spark: SparkSession, path: str) -> DataFrame:
     """Raw ledger CSV with a header; every column read as a string (typing is
     done by ``clean`` so a bad value becomes null instead of changing a type)."""
@@ -46,9 +57,9 @@ def load_raw_parquet(spark: SparkSession, path: str) -> DataFrame:
 
 
 def ledger_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem").select(
+    li = spread_if_few_files(table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        "l_extendedprice", "l_linestatus", "l_shipdate")
+        "l_extendedprice", "l_linestatus", "l_shipdate"))
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_name")
@@ -82,7 +93,7 @@ def ledger_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ledger_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = table(spark, sf_dir, "events")
+    ev = spread_if_few_files(table(spark, sf_dir, "events"))
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
     j = ev.join(cust, ev.user_id == cust.c_custkey)
     return j.select(
