@@ -138,18 +138,18 @@ def fit(features: DataFrame, names: list[str], n_rows: int, p: Params = DEFAULT_
 class ForestArrays:
     """Flat node arrays for vectorized traversal.
 
-    Node ``k`` of tree ``t`` has global id ``t * width + k``.  ``left`` and
-    ``right`` hold global child ids; a leaf points to itself on both sides, so a
-    walk of ``max_depth`` steps needs no per-step leaf mask."""
+    Node ``k`` of tree ``t`` has global id ``t * width + k``; ``left`` holds the
+    global id of the left child, and the right child is ``left + 1``.  A leaf
+    points to itself with split ``+inf``: every (finite) feature value is below
+    it, so a walk of ``max_depth`` steps needs neither a leaf mask nor a
+    right-child lookup: ``g = left[g] + (not x < split[g])``."""
 
     def __init__(self, model_rows, names: list[str], n_trees: int, max_depth: int):
         width = 2 ** (max_depth + 1)
         size = n_trees * width
-        ids = np.arange(size, dtype=np.int32)
         self.feat = np.zeros(size, dtype=np.int32)
-        self.split = np.zeros(size, dtype=np.float64)
-        self.left = ids.copy()
-        self.right = ids.copy()
+        self.split = np.full(size, np.inf, dtype=np.float64)
+        self.left = np.arange(size, dtype=np.int32)
         self.leaf = np.zeros(size, dtype=np.int64)
         pos = {n: i for i, n in enumerate(names)}
         for r in model_rows:
@@ -160,21 +160,20 @@ class ForestArrays:
                 self.feat[g] = pos[r["feature"]]
                 self.split[g] = r["split"]
                 self.left[g] = r["tree"] * width + 2 * r["node"]
-                self.right[g] = r["tree"] * width + 2 * r["node"] + 1
         self.roots = (np.arange(n_trees, dtype=np.int32) * width + 1)[None, :]
         self.max_depth = max_depth
         self.n_trees = n_trees
 
 
 def path_sums(arrs: ForestArrays, x: np.ndarray) -> np.ndarray:
-    """Sum over trees of fixed-point path lengths, for each row of x."""
+    """Sum over trees of fixed-point path lengths, for each row of x (finite values)."""
     n, k = x.shape
     xf = np.ascontiguousarray(x).ravel()
-    rowoff = (np.arange(n, dtype=np.int64) * k)[:, None]
+    rowoff = (np.arange(n, dtype=np.int32) * k)[:, None]
     g = np.repeat(arrs.roots, n, axis=0)
     for _ in range(arrs.max_depth):
         xv = xf[rowoff + arrs.feat[g]]
-        g = np.where(xv < arrs.split[g], arrs.left[g], arrs.right[g])
+        g = arrs.left[g] + ~(xv < arrs.split[g])
     return arrs.leaf[g].sum(axis=1)
 
 
