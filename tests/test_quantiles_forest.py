@@ -103,3 +103,24 @@ def test_forest_independent_of_partitioning_and_finds_outliers(spark):
     flagged = a.risk.where(F.col("ml_flag") == "anomaly").count()
     n = a.risk.count()
     assert abs(flagged - 0.05 * n) <= 0.01 * n + 2
+
+
+def test_ntile_selection_path_equals_window_form(spark):
+    from ledgerscreen.operators import clean as cl
+    from ledgerscreen.plans import sqlpack
+    from ledgerscreen.sources.ledger import ledger_from_events
+    je = cl.clean(ledger_from_events(spark, SF_SMALL))
+    fast = sorted(map(tuple, sqlpack.ntile_outliers(je).collect()))
+    dist = sorted(map(tuple, sqlpack.ntile_outliers(je, max_window_group=1).collect()))
+    assert fast and fast == dist
+
+
+def test_ml_threshold_selection_path_equals_window_path(spark):
+    from ledgerscreen.operators import iforest
+    from ledgerscreen.plans.pipeline import Pipeline
+    from ledgerscreen.sources.ledger import ledger_from_events
+    pl = Pipeline(spark, ledger_from_events(spark, SF_SMALL), p=Params(n_trees=10), name="thr")
+    scored = pl.scored_table
+    a = iforest.ml_stats(scored, pl.n_rows, Params(n_trees=10))
+    b = iforest.ml_stats(scored, pl.n_rows, Params(n_trees=10, exact_percentile_max_group=10))
+    assert a == b
