@@ -53,6 +53,9 @@ def main() -> None:
     total = round(time.time() - t_all, 3)
 
     n_rows = pl.n_rows
+    timings = dict(pl.timings)
+    for p in (pl, ev):
+        p.drop_tables()          # leave no stage tables behind in the shared folder
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({
         "metric": "ledger_screen_total_sec",
@@ -63,7 +66,7 @@ def main() -> None:
         "cpus": cpus,
         "ledger_rows": n_rows,
         "rows_per_sec_end_to_end": round(n_rows / total, 1) if total else None,
-        "stage_write_sec": pl.timings,
+        "stage_write_sec": timings,
     }))
 
 

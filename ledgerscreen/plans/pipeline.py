@@ -108,6 +108,17 @@ class Pipeline:
             df.unpersist()
         self._persisted.clear()
 
+    def drop_tables(self) -> None:
+        """Delete this pipeline's stage tables from the shared folder (through
+        the Hadoop FileSystem of that folder, so it works on any cluster store)."""
+        self.release()
+        sc = self.spark.sparkContext
+        jvm = sc._jvm
+        path = jvm.org.apache.hadoop.fs.Path(self.base_dir)
+        fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
+        if fs.exists(path):
+            fs.delete(path, True)
+
     # ------------------------------------------------------------ clean
     @cached_property
     def clean(self) -> DataFrame:

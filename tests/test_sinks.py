@@ -50,3 +50,16 @@ def test_pipeline_run_and_export_roundtrip(spark):
     assert kpi.n_transactions == pl.clean.count()
     ranks = {r.risk_level: r.risk_rank for r in exp.select("risk_level", "risk_rank").distinct().collect()}
     assert all(ranks[k] == v for k, v in {"Low": 0, "Medium": 1, "High": 2}.items() if k in ranks)
+
+
+def test_drop_tables(spark):
+    from conftest import SF_SMALL
+    from ledgerscreen.params import Params
+    from ledgerscreen.plans.pipeline import Pipeline
+    from ledgerscreen.sources.ledger import ledger_from_events
+    pl = Pipeline(spark, ledger_from_events(spark, SF_SMALL), p=Params(n_trees=5), name="drop-test")
+    pl.ruled.count()
+    base = pl.base_dir.replace("file:", "")
+    assert os.path.exists(base)
+    pl.drop_tables()
+    assert not os.path.exists(base)
