@@ -36,19 +36,27 @@ def numeric_columns(e: DataFrame) -> dict:
 
 
 def categories(df: DataFrame, p: Params = DEFAULT_PARAMS) -> dict[str, list[str]]:
-    """Sorted distinct values of each categorical column.
+    """Sorted distinct values of each categorical column, found in one job.
 
     Collected to the driver, so guarded: more than ``p.max_categories`` values
-    is refused (a one-hot block that wide is the wrong encoding)."""
-    out = {}
-    for c in p.categorical_cols:
-        vals = (df.where(F.col(c).isNotNull()).select(c).distinct()
-                .limit(p.max_categories + 1).collect())
-        vals = sorted(r[0] for r in vals)
-        if len(vals) > p.max_categories:
-            raise ValueError(f"{c} has more than {p.max_categories} values; refusing to one-hot encode")
-        out[c] = vals
-    return out
+    in a column is refused (a one-hot block that wide is the wrong encoding).
+    The collect is capped at columns x (max_categories + 1) rows: if it comes
+    back full, some column must exceed the limit; otherwise it is complete."""
+    cols = list(p.categorical_cols)
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v"))
+                                for c in cols])).alias("cv")
+    distinct = (df.select(pairs).select("cv.c", "cv.v").where(F.col("v").isNotNull())
+                .distinct())
+    cap = len(cols) * (p.max_categories + 1)
+    rows = distinct.limit(cap).collect()
+    out: dict[str, list[str]] = {c: [] for c in cols}
+    for r in rows:
+        out[r["c"]].append(r["v"])
+    too_wide = [c for c, v in out.items() if len(v) > p.max_categories]
+    if too_wide or len(rows) >= cap:
+        raise ValueError(f"a categorical column has more than {p.max_categories} values; "
+                         "refusing to one-hot encode")
+    return {c: sorted(v) for c, v in out.items()}
 
 
 def feature_names(cats: dict[str, list[str]]) -> list[str]:

@@ -53,3 +53,15 @@ def test_benford_arithmetic(spark):
         assert abs(max(devs) - r.max_deviation) <= 0.0011
         assert (r.flag == "REVIEW") == (r.max_deviation > 0.08) or abs(r.max_deviation - 0.08) < 0.001
         assert abs(sum(r[f"digit_{d}_expected"] for d in range(1, 10)) - 1.0) < 0.01
+
+
+def test_categories_sorted_and_guarded(spark):
+    import pytest
+    from ledgerscreen.operators.features import categories
+    from ledgerscreen.params import Params
+    df = spark.createDataFrame([("b", "x", "Debit"), ("a", "y", None), ("b", "x", "Credit"), (None, "z", "Debit")],
+                               "department string, account string, entry_type string")
+    cats = categories(df)
+    assert cats == {"department": ["a", "b"], "account": ["x", "y", "z"], "entry_type": ["Credit", "Debit"]}
+    with pytest.raises(ValueError):
+        categories(df, Params(max_categories=2))
