@@ -10,7 +10,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerscreen.llm import records, repetition
+from ledgerscreen.llm import lines, records, repetition
 from ledgerscreen.llm.common import fresh_path
 
 QUERIES: dict = {}
@@ -79,3 +79,29 @@ def op2_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "records")
     records.write(table(spark, sf_dir, "documents"), path, vocabulary("byte_bpe_50k.json"), end_id=0)
     return records.read_index(spark, path).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+@query
+def op4_cuckoo_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    index = lines.insert(lines.empty_index(docs), docs)
+    out = lines.dedup(docs, index, refs=index.refs)
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+ORACLE["op4_cuckoo_lines"] = """
+WITH l AS (
+  SELECT doc_id, i, line,
+         translate(trim(line, concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13))),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+               unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS i FROM documents)),
+common AS (
+  SELECT key, max(doc_id) AS last FROM l WHERE length(key) >= 40
+  GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
+m AS (
+  SELECT l.*, common.key IS NOT NULL AND doc_id <> last AS lost FROM l LEFT JOIN common USING (key))
+SELECT doc_id, count(*) AS n_lines, CAST(count(*) FILTER (lost) AS BIGINT) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT lost), '')) AS kept_sha256
+FROM m GROUP BY doc_id
+"""
