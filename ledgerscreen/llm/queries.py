@@ -10,7 +10,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerscreen.llm import lines, records, repetition
+from ledgerscreen.llm import lines, minhash, records, repetition
 from ledgerscreen.llm.common import fresh_path
 
 QUERIES: dict = {}
@@ -105,3 +105,35 @@ SELECT doc_id, count(*) AS n_lines, CAST(count(*) FILTER (lost) AS BIGINT) AS n_
        sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT lost), '')) AS kept_sha256
 FROM m GROUP BY doc_id
 """
+
+
+@query
+def op7_bayes_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+# links between distinct shingle sets, then the smallest doc_id that they reach
+ORACLE["op7_bayes_minhash"] = """
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
+sh AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(w) < 5 THEN array_to_string(w, ' ')
+                          ELSE array_to_string(w[p:p + 4], ' ') END AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS p FROM d WHERE len(w) > 0)),
+sets AS (SELECT doc_id, count(*) AS n, md5(string_agg(g, chr(10) ORDER BY g)) AS f FROM sh GROUP BY doc_id),
+class AS (SELECT f, min(doc_id) AS r, any_value(n) AS n FROM sets GROUP BY f),
+rs AS (SELECT doc_id AS r, g FROM sh JOIN class ON doc_id = r),
+pairs AS (
+  SELECT x.r AS a, y.r AS b, count(*) AS c FROM rs x JOIN rs y ON x.g = y.g AND x.r < y.r GROUP BY x.r, y.r),
+link AS (
+  SELECT a, b FROM pairs JOIN class p ON p.r = a JOIN class q ON q.r = b WHERE 100 * c >= 75 * (p.n + q.n - c)),
+edge AS (SELECT a, b FROM link UNION SELECT b, a FROM link),
+reach(r, t) AS (
+  SELECT r, r FROM class UNION SELECT reach.r, edge.b FROM reach JOIN edge ON reach.t = edge.a),
+least AS (SELECT r, min(t) AS component FROM reach GROUP BY r)
+SELECT d.doc_id, coalesce(sets.n, 0) AS n_shingles, coalesce(component, d.doc_id) AS component_id,
+       coalesce(component, d.doc_id) = d.doc_id AS kept
+FROM d LEFT JOIN sets USING (doc_id) LEFT JOIN class USING (f) LEFT JOIN least USING (r)
+"""
