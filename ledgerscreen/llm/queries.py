@@ -10,7 +10,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerscreen.llm import lines, minhash, records, repetition
+from ledgerscreen.llm import lines, minhash, records, repetition, templates
 from ledgerscreen.llm.common import fresh_path
 
 QUERIES: dict = {}
@@ -137,3 +137,52 @@ SELECT d.doc_id, coalesce(sets.n, 0) AS n_shingles, coalesce(component, d.doc_id
        coalesce(component, d.doc_id) = d.doc_id AS kept
 FROM d LEFT JOIN sets USING (doc_id) LEFT JOIN class USING (f) LEFT JOIN least USING (r)
 """
+
+
+@query
+def op8_template_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return templates.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def _plain_sql(text: str) -> str:
+    return (f"regexp_split_to_array(trim(regexp_replace({text}, '{templates.MARKS}', '', 'g'), "
+            "concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13))), '[\\x20\\x09-\\x0D]+')")
+
+
+def _template_sql(text: str) -> str:
+    low = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    t = f"regexp_replace({text}, '{templates.NUMBER}', '<num>', 'g')"
+    for _ in range(2):
+        t = f"regexp_replace({t}, '{templates.NAME}', '\\1<name>', 'g')"
+    return _plain_sql(f"regexp_replace({low.format(t)}, '{templates.UNIT}', '\\1<unit>\\3', 'g')")
+
+
+_BARE = "translate(coalesce(text, ''), '<>', '  ')"
+_LOW = f"translate({_BARE}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+ORACLE["op8_template_leaks"] = f"""
+WITH d AS (SELECT doc_id, {_template_sql(_BARE)} AS t, {_plain_sql(_LOW)} AS r FROM documents WHERE doc_id IS NOT NULL),
+i AS (
+  SELECT *, least({templates.WIDTH}, len(t)) AS k
+  FROM (SELECT item_id, {_template_sql(_BARE)} AS t, {_plain_sql(_LOW)} AS r FROM benchmark WHERE item_id IS NOT NULL)
+  WHERE len(t) >= {templates.SHORTEST}),
+iw AS (
+  SELECT DISTINCT item_id, k, p, n, array_to_string(g, ' ') AS g FROM (
+    SELECT item_id, k, p, n, t[p:p + k - 1] AS g FROM (
+      SELECT item_id, t, k, len(t) - k + 1 AS n, unnest(range(1, len(t) - k + 2)) AS p FROM i))
+  WHERE 2 * len(list_filter(g, lambda x: NOT contains(x, '<'))) >= len(g)),
+dw AS (
+  SELECT doc_id, k, q, array_to_string(t[q:q + k - 1], ' ') AS g FROM (
+    SELECT doc_id, t, k, unnest(range(1, len(t) - k + 2)) AS q FROM d, (SELECT DISTINCT k FROM iw))),
+diag AS (
+  SELECT doc_id, item_id, q - p AS shift, count(DISTINCT p) AS hit FROM dw JOIN iw USING (k, g)
+  GROUP BY doc_id, item_id, q - p, n, k
+  HAVING count(DISTINCT p) >= least(n, greatest({templates.LEAST_WORDS} - k + 1, 1))),
+slot AS (
+  SELECT diag.*, list_filter(list_transform(range(1, len(i.t) + 1),
+           lambda p: CASE WHEN contains(i.t[p], '<') AND p + shift >= 1 AND i.t[p] = d.t[p + shift]
+                     THEN [i.r[p], d.r[p + shift]] END), lambda s: s IS NOT NULL) AS s
+  FROM diag JOIN d USING (doc_id) JOIN i USING (item_id))
+SELECT doc_id, item_id, max(hit) AS n_windows, bool_or(len(list_filter(s, lambda x: x[1] <> x[2])) = 0) AS verbatim
+FROM slot WHERE len(list_distinct(s)) = len(list_distinct(list_transform(s, lambda x: x[1])))
+GROUP BY doc_id, item_id
+"""
