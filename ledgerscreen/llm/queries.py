@@ -10,7 +10,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerscreen.llm import lines, minhash, records, repetition, templates
+from ledgerscreen.llm import lines, minhash, packing, records, repetition, templates
 from ledgerscreen.llm.common import fresh_path
 
 QUERIES: dict = {}
@@ -186,3 +186,10 @@ SELECT doc_id, item_id, max(hit) AS n_windows, bool_or(len(list_filter(s, lambda
 FROM slot WHERE len(list_distinct(s)) = len(list_distinct(list_transform(s, lambda x: x[1])))
 GROUP BY doc_id, item_id
 """
+
+
+@query
+def op5_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id",
+                         "offset")
