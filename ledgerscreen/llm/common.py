@@ -78,3 +78,8 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most 2,000 rows (and Spark's byte limit): texts are long."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")

@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from ledgerscreen.llm.common import starts_of
 
 #: Distinct pieces remembered per Python process.
-MEMORY = 600_000
+MEMORY = 200_000
 
 _OTHER, _SPACE, _WORD, _MARK, _HIGH = range(5)
 _KIND = np.full(256, _OTHER, np.uint8)

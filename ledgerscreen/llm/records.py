@@ -22,7 +22,7 @@ the shards, made by scanning what was written: one row per record with its
 shard, byte offset, id, token count and the tokens before it in the shard.
 
 Defined cases: null text is an empty sequence (the end id alone); null ids come
-first; rows with one id are ordered by their text; an empty table gives no
+first; rows with one id are ordered by a hash of their text; an empty table gives no
 record; other columns are ignored.
 """
 
@@ -90,11 +90,12 @@ def sequence_ids(payload) -> tuple[int | None, np.ndarray]:
 
 
 def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, id_col: str = "doc_id",
-          text_col: str = "text", shards: int | None = None, slice_bytes: int = 8_000_000) -> None:
+          text_col: str = "text", shards: int | None = None, slice_bytes: int = 4_000_000) -> None:
     """Encode every text, close it with ``end_id`` and write shards and index below ``path``."""
     src = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].cast("string").alias("text"))
     n = shards or max(partitions(docs.sparkSession), src.rdd.getNumPartitions())
-    order = [F.col("id").asc_nulls_first(), F.col("text").asc_nulls_first()]
+    place = [F.col("id").asc_nulls_first(), F.xxhash64("text")]       # the sampled keys stay small
+    order = [*place, F.col("text").asc_nulls_first()]
 
     def run(batches):
         e = encoder(tokenizer)
@@ -108,7 +109,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, id_col: s
                    for doc, lo, hi in zip(b.column("id").to_pylist(), ends - counts - 1, ends)]
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["record"])
 
-    (src.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    (src.repartitionByRange(n, *place).sortWithinPartitions(*order)
         .mapInArrow(run, "record binary").select(F.col("record").cast("string").alias("value"))
         .write.text(f"{path}/shards", lineSep="\n"))
     scanned(docs.sparkSession, path).write.parquet(f"{path}/index")
