@@ -5,21 +5,27 @@ table and derives the columns of its contract from the operator's output."""
 
 from __future__ import annotations
 
+import functools
 import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerscreen.llm import lines, minhash, packing, records, repetition, templates
-from ledgerscreen.llm.common import fresh_path
+from ledgerscreen.llm import langid, lines, minhash, packing, records, repetition, styletree, templates, transcripts
+from ledgerscreen.llm.common import fresh_path, small_batches
 
 QUERIES: dict = {}
 ORACLE: dict = {}
 
 
 def query(fn):
-    QUERIES[fn.__name__] = fn
-    return fn
+    @functools.wraps(fn)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        small_batches(spark)
+        return fn(spark, sf_dir)
+
+    QUERIES[fn.__name__] = run
+    return run
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -193,3 +199,50 @@ def op5_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id",
                          "offset")
+
+
+@query
+def op3_ftrl_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held = langid.in_fold(F.col("doc_id"), 4, 2)
+    model = langid.train(docs.where(~held))
+    return langid.predict(docs, model).select("doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op9_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = styletree.main_text(table(spark, sf_dir, "pages"))
+    return out.withColumn("n_chars", F.length("text").cast("long"))
+
+
+#: Spellings of the speaker markers of raw transcripts: system, user, assistant.
+MARKERS = (("System: ", "User: ", "Assistant: "), ("Context: ", "Human: ", "AI: "),
+           ("### System\n", "### Instruction\n", "### Response\n"), ("<|system|>\n", "<|user|>\n", "<|assistant|>\n"),
+           ("Note: ", "Q: ", "A: "), ("[SYS] ", "[USER] ", "[BOT] "), ("Speaker 0: ", "Speaker 1: ", "Speaker 2: "))
+TURNS_PER_PART = 64
+
+
+def raw_turns(conversations: DataFrame) -> DataFrame:
+    """(id, seq, role, text): turns as a raw transcript shows them.  The spelling
+    of the markers hangs on the conversation; a fifth of the turns has none and
+    follows a blank line."""
+    style = F.pmod(F.xxhash64("conv_id"), F.lit(len(MARKERS)))
+    spelled = F.array(*(F.array(*map(F.lit, m)) for m in MARKERS))
+    number = F.array_position(F.array(*map(F.lit, transcripts.ROLES)), F.col("role")) - 1
+    marker = F.get(F.get(spelled, style), number.cast("int"))
+    bare = F.pmod(F.xxhash64(F.lit("bare"), "conv_id", "turn"), F.lit(5)) == 0
+    text = F.concat(F.when(bare, F.lit("\n")).otherwise(F.coalesce(marker, F.lit("\n"))), F.coalesce("text", F.lit("")))
+    return conversations.where(F.col("conv_id").isNotNull()).select(
+        F.col("conv_id").alias("id"), F.coalesce("turn", F.lit(0)).cast("long").alias("seq"), "role", text.alias("text"))
+
+
+@query
+def op10_hmm_transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = raw_turns(table(spark, sf_dir, "conversations"))
+    model = transcripts.learn(raw.where(~langid.in_fold(F.col("id"), 4, 2)))
+    lines_in = F.array_sort(F.collect_list(F.struct("seq", "role", "text")))
+    parts = raw.groupBy("id", F.floor(F.col("seq") / TURNS_PER_PART).cast("long").alias("part")).agg(
+        F.array_join(F.transform(lines_in, lambda x: x["text"]), "\n").alias("text"))
+    out = transcripts.turns(parts, model)
+    return out.select(F.col("id").alias("conv_id"), "turn", "role", "n_lines", "text",
+                      transcripts.canonical(F.col("role"), F.col("text")).alias("rendered"))
