@@ -42,9 +42,9 @@ def starts_of(counts: np.ndarray) -> np.ndarray:
     return np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
 
 
-def sliced(batches: Iterator[pa.RecordBatch], column: str, most: int) -> Iterator[pa.RecordBatch]:
+def sliced(batches: Iterator[pa.RecordBatch], column: str, most: int, rows: int = 50_000) -> Iterator[pa.RecordBatch]:
     """The rows again in slices of at most ``most`` bytes of ``column`` (one row
-    at least), so that the arrays made from a slice stay bounded."""
+    at least) and ``rows`` rows, so that the arrays made from a slice stay bounded."""
     for b in batches:
         if b.num_rows == 0:
             continue
@@ -53,6 +53,7 @@ def sliced(batches: Iterator[pa.RecordBatch], column: str, most: int) -> Iterato
         while lo < b.num_rows:
             base = size[lo - 1] if lo else 0
             hi = max(lo + 1, int(np.searchsorted(size, base + most, side="right")))
+            hi = min(hi, lo + rows)
             yield b.slice(lo, hi - lo)
             lo = hi
 

@@ -11,7 +11,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerscreen.llm import langid, lines, minhash, packing, records, repetition, styletree, templates, transcripts
+from ledgerscreen.llm import hpylm, langid, lines, minhash, packing, records, repetition, styletree, templates, transcripts
 from ledgerscreen.llm.common import fresh_path, small_batches
 
 QUERIES: dict = {}
@@ -246,3 +246,9 @@ def op10_hmm_transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = transcripts.turns(parts, model)
     return out.select(F.col("id").alias("conv_id"), "turn", "role", "n_lines", "text",
                       transcripts.canonical(F.col("role"), F.col("text")).alias("rendered"))
+
+
+@query
+def op6_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return hpylm.score(docs, langid.in_fold(F.col("doc_id"), 7, 2))
