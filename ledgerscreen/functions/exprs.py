@@ -81,19 +81,15 @@ def risk_rank(level: Column) -> Column:
             .when(level == "High", F.lit(2)))
 
 
-def blend_score(severity: Column, ml_score: Column, p: Params = DEFAULT_PARAMS) -> Column:
-    """``round(w_r * severity + w_m * ml, 4)`` computed in exact basis points, half up.
+def round_half_even(x: Column, digits: int) -> Column:
+    """Rounding of a double as numpy and pandas do it: scale, nearest even, unscale."""
+    scale = F.lit(float(10 ** digits))
+    return F.rint(x * scale) / scale
 
-    Both inputs carry at most 4 decimals, so with 0.5/0.5 weights the sum has at
-    most 5 and is often an exact tie; integer arithmetic keeps the rounding exact.
-    """
-    sev_bp = F.round(severity * 10000).cast("bigint")
-    ml_bp = F.round(F.coalesce(ml_score, F.lit(0.0)) * 10000).cast("bigint")
-    if p.rule_weight == 0.5 and p.ml_weight == 0.5:
-        return F.floor((sev_bp + ml_bp + F.lit(1)) / F.lit(2)).cast("bigint") / F.lit(10000.0)
-    dec = (severity.cast("decimal(20,10)") * F.lit(p.rule_weight).cast("decimal(20,10)")
-           + F.coalesce(ml_score, F.lit(0.0)).cast("decimal(20,10)") * F.lit(p.ml_weight).cast("decimal(20,10)"))
-    return F.round(dec, 4).cast("double")
+
+def blend_score(severity: Column, ml_score: Column, p: Params = DEFAULT_PARAMS) -> Column:
+    """``w_r * severity + w_m * ml`` in doubles, rounded half-even to 4 decimals."""
+    return round_half_even(F.lit(p.rule_weight) * severity + F.lit(p.ml_weight) * F.coalesce(ml_score, F.lit(0.0)), 4)
 
 
 def hhmmss(seconds: Column) -> Column:

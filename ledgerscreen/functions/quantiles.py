@@ -1,21 +1,18 @@
-"""Exact, linearly interpolated quantiles per group, safe for huge groups.
-
-``percentile`` in Spark keeps a value->count map per group in one task.  That
-is fine while every group is small, but a ledger with ten accounts at 100 TB
-puts ~10^11 distinct amounts into each map.  So the size of the largest group
-is measured first (one cheap aggregate with partial aggregation) and:
-
-* groups all below ``Params.exact_percentile_max_group`` -> one sort per group
-  (a window ordered by value; each group provably fits one task);
-* otherwise -> order statistics by rank selection: every pass scans the data
-  once and counts values per (group, target rank, value bucket) -- a tiny
-  aggregate -- then narrows each target's value bracket to the one bucket that
-  holds its rank.  When a bracket holds few rows it is finished with a window
-  over just those rows.  No pass ever moves more than the bucket counts.
-
-Interpolation is the one Spark's ``percentile`` uses: pos = p*(n-1),
-``(hi-pos)*v_lo + (pos-lo)*v_hi``, and ``v_lo`` when the two order
-statistics are equal.
+"""Exact, linearly interpolated quantiles per group, for groups of any size.
+
+Order statistics are found by distributed rank selection, the only path there
+is.  Each pass scans the values once and counts them per (group, target rank,
+value bucket), with map-side partial sums, and narrows each target to the one
+bucket that holds its rank and to that bucket's own smallest and largest value.
+A bracket of few rows is finished with a window over just those rows.  Every pass
+takes rows out of a bracket whose ends differ, so the loop runs until all targets
+are closed; it has no pass limit.  A rank that the group does not have is null.
+
+A row meets one joined row per group (its open targets as an array), not one per
+target, and no task ever holds a group.
+
+Interpolation: pos = p*(n-1), ``(hi-pos)*v_lo + (pos-lo)*v_hi``, and ``v_lo``
+when the two order statistics are equal.
 """
 
 from __future__ import annotations
@@ -27,7 +24,6 @@ from ledgerscreen.params import DEFAULT_PARAMS, Params
 
 _BUCKETS = 4096
 _FINISH_ROWS = 20000
-_MAX_PASSES = 24
 _BROADCAST_TARGETS = 100_000
 
 
@@ -39,41 +35,16 @@ def interpolate(pos, v_lo, v_hi):
 
 
 def group_quantiles(df: DataFrame, keys: list[str], value: str, probs: dict[str, float],
-                    p: Params = DEFAULT_PARAMS, force_selection: bool = False) -> DataFrame:
+                    p: Params = DEFAULT_PARAMS) -> DataFrame:
     """keys + ``n`` + one column per entry of ``probs``.  Null values and rows
     with a null key are ignored (pandas ``groupby`` semantics)."""
     data = df.select(*keys, F.col(value).cast("double").alias("_x")).where(F.col("_x").isNotNull())
     for k in keys:
         data = data.where(F.col(k).isNotNull())
     sizes = data.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    if not force_selection:
-        largest = sizes.agg(F.max("n")).first()[0]
-        if largest is None or largest <= p.exact_percentile_max_group:
-            return _by_window(data, keys, probs)
     return _by_selection(data, sizes, keys, probs)
 
 
-def _by_window(data: DataFrame, keys: list[str], probs: dict[str, float]) -> DataFrame:
-    """Rank every value inside its (size-checked) group, keep only the rows at
-    the needed ranks, interpolate."""
-    w = Window.partitionBy(*keys).orderBy("_x")
-    ranked = data.select(*keys, "_x", (F.row_number().over(w) - 1).alias("_r"),
-                         F.count(F.lit(1)).over(Window.partitionBy(*keys)).alias("n"))
-    pos = {name: (F.col("n") - 1).cast("double") * F.lit(float(q)) for name, q in probs.items()}
-    needed = None
-    for ps in pos.values():
-        c = (F.col("_r") == F.floor(ps)) | (F.col("_r") == F.ceil(ps))
-        needed = c if needed is None else needed | c
-    aggs = []
-    for name, ps in pos.items():
-        aggs.append(F.max(F.when(F.col("_r") == F.floor(ps), F.col("_x"))).alias(f"_{name}_lo"))
-        aggs.append(F.max(F.when(F.col("_r") == F.ceil(ps), F.col("_x"))).alias(f"_{name}_hi"))
-    g = ranked.where(needed).groupBy(*keys, "n").agg(*aggs)
-    return g.select(*keys, "n", *[interpolate((F.col("n") - 1).cast("double") * F.lit(float(q)),
-                                              F.col(f"_{name}_lo"), F.col(f"_{name}_hi")).alias(name)
-                                  for name, q in probs.items()])
-
-
 def _by_selection(data: DataFrame, sizes: DataFrame, keys: list[str],
                   probs: dict[str, float]) -> DataFrame:
     targets = None
@@ -94,22 +65,11 @@ def _by_selection(data: DataFrame, sizes: DataFrame, keys: list[str],
     return per.groupBy(*keys, "n").pivot("_name", list(probs.keys())).agg(F.first("_q"))
 
 
-def order_statistics(df: DataFrame, value: str, ranks: list[int], n_rows: int | None = None,
-                     p: Params = DEFAULT_PARAMS) -> dict[int, float]:
-    """Exact k-th smallest values (0-based ranks) of one column over the whole table.
-
-    With a measured row count within ``p.exact_percentile_max_group`` the
-    column is ranked by one window (a single task holding at most that many
-    doubles); beyond it, distributed rank selection -- no task ever holds the
-    column."""
+def order_statistics(df: DataFrame, value: str, ranks: list[int]) -> dict[int, float | None]:
+    """Exact k-th smallest values (0-based ranks) of one column over the whole table."""
     spark = df.sparkSession
     data = df.select(F.lit(0).alias("_g"), F.col(value).cast("double").alias("_x")).where(
         F.col("_x").isNotNull())
-    if n_rows is not None and n_rows <= p.exact_percentile_max_group:
-        r = F.row_number().over(Window.orderBy("_x")) - 1
-        rows = (data.select("_x", r.alias("_k")).where(F.col("_k").isin(*sorted(set(ranks))))
-                .collect())
-        return {int(row["_k"]): row["_x"] for row in rows}
     targets = spark.createDataFrame([(0, "r", int(k)) for k in sorted(set(ranks))],
                                     "_g int, _name string, _k long")
     rows = select_ranks(data, targets, ["_g"]).select("_k", "_v").collect()
@@ -120,52 +80,59 @@ def select_ranks(data: DataFrame, targets: DataFrame, keys: list[str]) -> DataFr
     """Order statistics by histogram narrowing.
 
     ``data``: keys + ``_x``; ``targets``: keys + ``_name`` + ``_k`` (0-based).
-    Returns targets + ``_v``.  Each pass is one scan + a bounded aggregate
-    (targets x ``_BUCKETS`` rows); state is checkpointed to the shared
-    checkpoint folder so the loop's lineage stays short.
+    Returns targets + ``_v`` (null where the group has no such rank).  Each pass is
+    one scan + a bounded aggregate (targets x ``_BUCKETS`` rows); state is
+    checkpointed to the shared checkpoint folder so the loop's lineage stays short.
     """
-    bounds = data.groupBy(*keys).agg(F.min("_x").alias("_mn"), F.max("_x").alias("_mx"))
+    bounds = data.groupBy(*keys).agg(F.min("_x").alias("_mn"), F.max("_x").alias("_mx"),
+                                     F.count("_x").alias("_n"))
+    inside = (F.col("_k") >= 0) & (F.col("_k") < F.col("_n"))
     state = (targets.join(bounds, keys, "left")
              .select(*keys, "_name", "_k", F.col("_mn").alias("_lo"), F.col("_mx").alias("_hi"),
                      F.lit(0).cast("long").alias("_below"),
-                     F.when(F.col("_mn") == F.col("_mx"), F.col("_mn")).alias("_v")))
+                     F.when(inside & (F.col("_mn") == F.col("_mx")), F.col("_mn")).alias("_v"),
+                     (~F.coalesce(inside, F.lit(False)) | (F.col("_mn") == F.col("_mx"))).alias("_closed")))
     state = state.checkpoint(eager=True)
     tk = [*keys, "_name", "_k"]
-    # the per-target state is broadcast only while its measured size is small
-    small_state = state.count() <= _BROADCAST_TARGETS
-    bc = F.broadcast if small_state else (lambda d: d)
-    for _ in range(_MAX_PASSES):
-        open_ = state.where(F.col("_v").isNull())
-        if open_.limit(1).count() == 0:
-            break
+    # the per-group state is broadcast only while its measured size is small
+    bc = F.broadcast if state.count() <= _BROADCAST_TARGETS else (lambda d: d)
+
+    def rows_in(brackets: DataFrame, lo: str, hi: str) -> DataFrame:
+        """(keys, _x, target, bracket) for every open target whose bracket holds the row."""
+        rest = [c for c in brackets.columns if c not in keys]
+        per_key = brackets.groupBy(*keys).agg(F.collect_list(F.struct(*rest)).alias("_t"))   # one per target
+        held = F.filter("_t", lambda t: (F.col("_x") >= t[lo]) & (F.col("_x") <= t[hi]))
+        return (data.join(bc(per_key), keys).select(*keys, "_x", F.explode(held).alias("_t"))
+                .select(*keys, "_x", "_t.*"))
+
+    while not state.where(~F.col("_closed")).isEmpty():
+        open_ = state.where(~F.col("_closed")).select(*tk, "_lo", "_hi", "_below")
         width = (F.col("_hi") - F.col("_lo")) / F.lit(float(_BUCKETS))
-        bucket = F.least(F.floor((F.col("_x") - F.col("_lo")) / width).cast("long"), F.lit(_BUCKETS - 1))
-        # rows inside each open bracket, counted per bucket (bounded output)
-        hist = (data.join(bc(open_.select(*tk, "_lo", "_hi")), keys)
-                .where((F.col("_x") >= F.col("_lo")) & (F.col("_x") <= F.col("_hi")))
-                .groupBy(*tk, bucket.alias("_b"))
+        place = F.floor((F.col("_x") - F.col("_lo")) / width).cast("long")
+        # the ends have buckets of their own, so they part in every pass
+        bucket = F.when(F.col("_x") == F.col("_hi"), F.lit(_BUCKETS)).when(
+            F.col("_x") == F.col("_lo"), F.lit(-1)).otherwise(
+            F.least(F.greatest(F.coalesce(place, F.lit(0)), F.lit(0)), F.lit(_BUCKETS - 1)))
+        hist = (rows_in(open_, "_lo", "_hi").groupBy(*tk, "_below", bucket.alias("_b"))
                 .agg(F.count(F.lit(1)).alias("_c"), F.min("_x").alias("_bmn"), F.max("_x").alias("_bmx")))
         w = Window.partitionBy(*tk).orderBy("_b")
-        hist = hist.withColumn("_cum", F.sum("_c").over(w) - F.col("_c"))
-        hit = (hist.join(open_.select(*tk, "_below"), tk)
-               .where((F.col("_below") + F.col("_cum") <= F.col("_k"))
-                      & (F.col("_k") < F.col("_below") + F.col("_cum") + F.col("_c")))
-               .select(*tk, F.col("_bmn").alias("_nlo"), F.col("_bmx").alias("_nhi"),
-                       (F.col("_below") + F.col("_cum")).alias("_nbelow"), F.col("_c").alias("_nc")))
+        before = F.col("_below") + F.sum("_c").over(w) - F.col("_c")
+        hit = (hist.withColumn("_nbelow", before)
+               .where((F.col("_nbelow") <= F.col("_k")) & (F.col("_k") < F.col("_nbelow") + F.col("_c")))
+               .select(*tk, F.col("_bmn").alias("_nlo"), F.col("_bmx").alias("_nhi"), "_nbelow",
+                       F.col("_c").alias("_nc")))
         hit = hit.checkpoint(eager=True)
-        small = hit.where(F.col("_nc") <= _FINISH_ROWS)
+        small = hit.where((F.col("_nc") <= _FINISH_ROWS) & (F.col("_nlo") < F.col("_nhi")))
         # brackets with few rows are finished exactly with a window over only those rows
-        fin = (data.join(bc(small), keys)
-               .where((F.col("_x") >= F.col("_nlo")) & (F.col("_x") <= F.col("_nhi")))
+        fin = (rows_in(small, "_nlo", "_nhi")
                .withColumn("_r", F.row_number().over(Window.partitionBy(*tk).orderBy("_x"))
                            - 1 + F.col("_nbelow"))
                .where(F.col("_r") == F.col("_k"))
                .select(*tk, F.col("_x").alias("_fv")))
+        found = F.coalesce("_v", "_fv", F.when(F.col("_nlo") == F.col("_nhi"), F.col("_nlo")))
         state = (state.join(hit, tk, "left").join(fin, tk, "left")
-                 .select(*tk,
-                         F.coalesce("_nlo", "_lo").alias("_lo"), F.coalesce("_nhi", "_hi").alias("_hi"),
-                         F.coalesce("_nbelow", "_below").alias("_below"),
-                         F.coalesce("_v", "_fv", F.when(F.col("_nlo") == F.col("_nhi"), F.col("_nlo")))
-                         .alias("_v"))
+                 .select(*tk, F.coalesce("_nlo", "_lo").alias("_lo"), F.coalesce("_nhi", "_hi").alias("_hi"),
+                         F.coalesce("_nbelow", "_below").alias("_below"), found.alias("_v"),
+                         (F.col("_closed") | found.isNotNull()).alias("_closed"))
                  .checkpoint(eager=True))
     return state.select(*tk, "_v")

@@ -16,12 +16,22 @@ def expected_share(d: int):
     return F.log10(F.lit(1.0) + F.lit(1.0) / F.lit(float(d)))
 
 
-def round_ratio(num, den, digits: int):
-    """Half-up rounding of num/den (both integers) to ``digits`` decimals, exact:
-    floor((2*10^k*num + den) / (2*den)) / 10^k, all in integer arithmetic."""
+def tie_table(digits: int) -> list[float]:
+    """Python's ``round`` of every odd multiple of half a unit in [0, 1]: only there
+    does the last bit of the double decide."""
+    halves = 2 * 10 ** digits
+    return [round(k / halves, digits) for k in range(1, halves, 2)]
+
+
+def round_ratio(num: str, den: str, digits: int):
+    """``round(num / den, digits)`` of Python for integer columns with
+    0 <= num <= den: exact in integers, ties from ``tie_table``."""
     scale = 10 ** digits
-    k = F.floor((F.lit(2 * scale) * num + den) / (F.lit(2) * den))
-    return (k / F.lit(float(scale))).cast("double")
+    twice = f"(2L * {scale} * {num})"
+    nearest = F.expr(f"({twice} + {den}) div (2L * {den})") / F.lit(float(scale))
+    tie = F.expr(f"{twice} % {den} = 0 AND ({twice} div {den}) % 2 = 1")
+    table = F.array(*[F.lit(v) for v in tie_table(digits)])
+    return F.when(tie, F.element_at(table, F.expr(f"CAST(({twice} div {den}) div 2 + 1 AS INT)"))).otherwise(nearest)
 
 
 def with_leading_digit(df: DataFrame) -> DataFrame:
@@ -47,11 +57,11 @@ def by_account(df: DataFrame, p: Params = DEFAULT_PARAMS) -> DataFrame:
     maxdev = F.greatest(*devs)
     cols = [F.col("account"), F.col("n_transactions")]
     for k in DIGITS:
-        cols.append(round_ratio(F.col(f"_c{k}"), F.col("n_transactions"), 3).alias(f"digit_{k}_actual"))
+        cols.append(round_ratio(f"_c{k}", "n_transactions", 3).alias(f"digit_{k}_actual"))
         cols.append(F.round(expected_share(k), 3).alias(f"digit_{k}_expected"))
     cols.append(F.round(maxdev, 3).alias("max_deviation"))
     cols.append(F.when(maxdev > F.lit(p.benford_threshold), "REVIEW").otherwise("OK").alias("flag"))
-    return counts.select(*cols)
+    return counts.select(*cols).orderBy(F.desc("max_deviation"), "account")
 
 
 def overall(df: DataFrame) -> DataFrame:
@@ -69,8 +79,9 @@ def overall(df: DataFrame) -> DataFrame:
 
 
 def summary(bench: DataFrame) -> DataFrame:
-    """E5: account, n_transactions, max_deviation, flag."""
-    return bench.select("account", "n_transactions", "max_deviation", "flag")
+    """E5: account, n_transactions, max_deviation, flag, largest deviation first."""
+    return (bench.select("account", "n_transactions", "max_deviation", "flag")
+            .orderBy(F.desc("max_deviation"), "account"))
 
 
 def all_flagged(bench: DataFrame) -> DataFrame:

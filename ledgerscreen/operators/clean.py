@@ -15,8 +15,15 @@ REQUIRED = ("transaction_id", "date", "amount")
 # FIXED VALUES -- English day names, Monday first (weekday() numbering).
 DAY_NAMES = ("Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday")
 
-# A strict HH:MM:SS time of day (hour 00-23, minutes and seconds 00-59).
-TIME_PATTERN = r"^([01][0-9]|2[0-3]):[0-5][0-9]:[0-5][0-9]$"
+# FIXED VALUES -- texts that count as typed values, as the usual dataframe parsers
+# take them: year-month-day with one- or two-digit month and day; H:M:S with one-
+# or two-digit parts and seconds to 61 (they roll over); plain decimal numbers.
+DATE_PATTERN = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"
+TIME_PATTERN = r"^([01]?[0-9]|2[0-3]):([0-5]?[0-9]):([0-5]?[0-9]|6[01])$"
+NUMBER_PATTERN = r"^[ \t\r\n]*[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?[ \t\r\n]*$"
+INFINITE_PATTERN = r"^[ \t\r\n]*[+-]?(?i:inf|infinity)[ \t\r\n]*$"
+# Dates outside the range of nanosecond timestamps are no dates.
+DATE_RANGE = ("1677-09-22", "2262-04-11")
 
 
 def _typed_date(df: DataFrame, name: str):
@@ -26,7 +33,9 @@ def _typed_date(df: DataFrame, name: str):
         return c
     if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
         return F.to_date(c)
-    return F.to_date(F.try_to_timestamp(c.cast("string")))
+    text = c.cast("string")
+    parsed = F.when(text.rlike(DATE_PATTERN), text.try_cast("date"))
+    return F.when(parsed.between(*(F.lit(d).cast("date") for d in DATE_RANGE)), parsed)
 
 
 def _typed_amount(df: DataFrame, name: str):
@@ -36,7 +45,11 @@ def _typed_amount(df: DataFrame, name: str):
         return c
     if isinstance(dt, T.NumericType):
         return c.cast("double")
-    return c.cast("string").try_cast("double")
+    text = c.cast("string")
+    number = F.when(text.rlike(NUMBER_PATTERN), F.btrim(text, F.lit(" \t\r\n")).try_cast("double"))
+    infinite = F.when(text.contains("-"), F.lit(float("-inf"))).otherwise(F.lit(float("inf")))
+    return (F.when(text.rlike(INFINITE_PATTERN), infinite)
+            .when(F.abs(number) < F.lit(float("inf")), number))        # too large for a double is no number
 
 
 def typed(raw: DataFrame) -> DataFrame:
@@ -50,9 +63,11 @@ def typed(raw: DataFrame) -> DataFrame:
         else:
             cols.append(F.col(c).cast("string").alias(c))
     df = raw.select(*cols)
-    # strict parse of HH:MM:SS (bad -> null) and the day name, both without a
-    # per-row date formatter: a pattern test + substring, an array lookup
-    hour = F.when(F.col("time").rlike(TIME_PATTERN), F.substring("time", 1, 2).cast("int"))
+    # the time of day (bad -> null) and the day name, both without a per-row date
+    # formatter: a pattern test + parts, an array lookup
+    part = lambda k: F.split_part("time", F.lit(":"), F.lit(k)).try_cast("int")
+    hour = F.when(F.col("time").rlike(TIME_PATTERN),
+                  F.floor((part(1) * 3600 + part(2) * 60 + part(3)) / 3600) % 24)
     names = F.array(*[F.lit(d) for d in DAY_NAMES])
     return df.select(
         *RAW_COLUMNS,

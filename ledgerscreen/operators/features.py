@@ -1,8 +1,9 @@
 """Feature engineering for the anomaly model.
 
 Numeric block (hour, is_weekend, day, vendor frequency, vendor spend share,
-amount / account median) + one-hot dummies of department, account and
-entry_type.  Raw amount and vendor dummies are deliberately left out.  The
+amount / account median) + one-hot indicators of department, account and
+entry_type.  An indicator is a pair (column, value); it is never a column of its
+own, so any number of values and any text in them will do.  Raw amount and vendor dummies are deliberately left out.  The
 vendor and account statistics come from the shared ``rules.enrich`` frame,
 so no aggregate is computed twice.
 
@@ -35,54 +36,22 @@ def numeric_columns(e: DataFrame) -> dict:
     }
 
 
-def categories(df: DataFrame, p: Params = DEFAULT_PARAMS) -> dict[str, list[str]]:
-    """Sorted distinct values of each categorical column, found in one job.
-
-    Collected to the driver, so guarded: more than ``p.max_categories`` values
-    in a column is refused (a one-hot block that wide is the wrong encoding).
-    The collect is capped at columns x (max_categories + 1) rows: if it comes
-    back full, some column must exceed the limit; otherwise it is complete."""
-    cols = list(p.categorical_cols)
-    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v"))
-                                for c in cols])).alias("cv")
-    distinct = (df.select(pairs).select("cv.c", "cv.v").where(F.col("v").isNotNull())
-                .distinct())
-    cap = len(cols) * (p.max_categories + 1)
-    rows = distinct.limit(cap).collect()
-    out: dict[str, list[str]] = {c: [] for c in cols}
-    for r in rows:
-        out[r["c"]].append(r["v"])
-    too_wide = [c for c, v in out.items() if len(v) > p.max_categories]
-    if too_wide or len(rows) >= cap:
-        raise ValueError(f"a categorical column has more than {p.max_categories} values; "
-                         "refusing to one-hot encode")
-    return {c: sorted(v) for c, v in out.items()}
-
-
-def feature_names(cats: dict[str, list[str]]) -> list[str]:
-    names = list(NUMERIC)
-    for c, vals in cats.items():
-        names += [f"{c}_{v}" for v in vals]
-    return names
-
-
-def feature_columns(e: DataFrame, cats: dict[str, list[str]]) -> list:
-    """Columns (aliased by feature name) for the wide feature matrix."""
+def model_frame(e: DataFrame, p: Params = DEFAULT_PARAMS, keep: list[str] | None = None) -> DataFrame:
+    """``keep`` (default: the id) + the six numeric features as ``x_<name>`` + the
+    categorical columns as texts ``c_<name>``."""
     num = numeric_columns(e)
-    cols = [num[n].alias(n) for n in NUMERIC]
-    for c, vals in cats.items():
-        for v in vals:
-            cols.append(F.when(F.col(c) == F.lit(v), F.lit(1.0)).otherwise(F.lit(0.0)).alias(f"{c}_{v}"))
-    return cols
-
+    return e.select(*(keep or ["transaction_id"]), *[num[n].alias(f"x_{n}") for n in NUMERIC],
+                    *[F.col(c).cast("string").alias(f"c_{c}") for c in p.categorical_cols])
 
-def wide(e: DataFrame, cats: dict[str, list[str]]) -> DataFrame:
-    return e.select("transaction_id", *feature_columns(e, cats))
 
-
-def long(features_wide: DataFrame, names: list[str]) -> DataFrame:
-    """(transaction_id, feature, value) -- the matrix in long form."""
-    return features_wide.unpivot(["transaction_id"], names, "feature", "value")
+def entries(e: DataFrame, p: Params = DEFAULT_PARAMS) -> DataFrame:
+    """(transaction_id, feature, value): the non-zero entries of the feature matrix."""
+    num = numeric_columns(e)
+    cells = [F.struct(F.lit(n).alias("feature"), num[n].alias("value")) for n in NUMERIC]
+    cells += [F.struct(F.concat(F.lit(f"{c}_"), F.col(c).cast("string")).alias("feature"), F.lit(1.0).alias("value"))
+              for c in p.categorical_cols]
+    return (e.select("transaction_id", F.explode(F.array(*cells)).alias("f")).select("transaction_id", "f.*")
+            .where("feature IS NOT NULL AND value <> 0"))
 
 
 def vendor_frequency(e: DataFrame) -> DataFrame:

@@ -3,18 +3,21 @@
 * Randomness is hashed, never drawn from seeded state: every decision is a
   function of md5('seed:tree:node:...'), so the forest is independent of
   partitioning and reproducible by any engine with md5.
-* Sampling: when N >= T*psi, the T*psi rows with the smallest md5('seed:pool:id')
-  form one pool (a bounded top-k), dealt to trees by rank mod T.  Otherwise
-  every tree ranks all N (< T*psi) rows by md5('seed:tree:id') and keeps psi.
+* Sampling: the M = min(N, T*psi) rows with the smallest md5('seed:pool:id') form
+  the pool, in that order, and are dealt circularly: tree t takes the places
+  t*psi' .. (t+1)*psi'-1 modulo M, with psi' = min(psi, N).  One law for every N.
 * Fit: ``groupBy(tree).applyInPandas`` -- each group is one tree's sample
   (<= psi rows), so a task never holds more than psi rows whatever the data
-  size or skew.  A node splits on the candidate feature (max > min in the
-  node) with the smallest md5('seed:tree:node:feature'); the threshold is
-  min + u*(max - min) with u from md5('seed:tree:node:split'); x < split goes
-  left (node 2k), else right (2k+1).  Leaves: size <= 1, no candidate, or
-  depth = ceil(log2(psi)).
+  size or skew.  Candidates at a node are the numeric features that vary in it and
+  the (column, value) pairs that some of its rows have and some have not -- the
+  one-hot indicators of the node's own values, no list of categories.  A node
+  splits on the candidate with the smallest md5('seed:tree:node:feature'); the
+  threshold is min + u*(max - min) with u from md5('seed:tree:node:split'); x <
+  split goes left (node 2k), else right (2k+1): for a pair, rows with the value go
+  right.  Leaves: size <= 1, no candidate, or depth = ceil(log2(psi)).
 * Score: the model (<= T * 2^(depth+1) nodes, bounded) is broadcast as dense
-  arrays and ``mapInPandas`` walks all trees for a batch of rows at once.
+  arrays and a pandas UDF over the feature columns alone walks all trees for a
+  batch of rows at once; every other column stays in the JVM.
   Path lengths are summed in fixed point (1e-9 units) so the sum is exact and
   order-independent; s = 2^(-E[h]/c(psi)).
 """
@@ -23,14 +26,16 @@ from __future__ import annotations
 
 import hashlib
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from ledgerscreen.functions.exprs import round_half_even
 from ledgerscreen.functions.quantiles import order_statistics
+from ledgerscreen.operators.features import NUMERIC, model_frame
 from ledgerscreen.params import DEFAULT_PARAMS, Params
 from ledgerscreen.schema import FOREST_MODEL
 
@@ -63,72 +68,74 @@ def _unit(text: str) -> float:
     return (int(_md5(text)[:8], 16) + 0.5) / 4294967296.0
 
 
-def sample(features: DataFrame, n_rows: int, p: Params = DEFAULT_PARAMS) -> DataFrame:
-    """(tree, transaction_id) pairs: each tree's subsample (see module doc)."""
-    t, psi = p.n_trees, p.max_samples
-    ids = features.select("transaction_id")
-    if n_rows >= t * psi:
-        need = t * psi
-        h = F.md5(F.concat_ws(":", F.lit(str(p.seed)), F.lit("pool"), F.col("transaction_id")))
-        hashed = ids.select("transaction_id", h.alias("_h"))
-        # Map-only pre-filter on the hash's first 32 bits: keeps ~3x the needed
-        # rows, always a superset of the `need` smallest hashes once at least
-        # `need` rows pass, so the bounded top-k below is exact.  A global
-        # top-k alone would merge every partition's top-`need` in one task.
-        frac = min(1.0, 3.0 * need / n_rows)
-        while True:
-            tau = int(frac * 4294967296.0)
-            cand = hashed.where(F.conv(F.substring("_h", 1, 8), 16, 10).cast("bigint") < F.lit(tau))
-            if frac >= 1.0 or cand.count() >= need:
-                break
-            frac = min(1.0, frac * 2)
-        pool = cand.orderBy("_h", "transaction_id").limit(need)
-        # <= T*psi rows: a single ordered window over the pool is bounded
-        r = F.row_number().over(Window.orderBy("_h", "transaction_id")) - 1
-        return pool.select((r % t).cast("int").alias("tree"), "transaction_id")
-    trees = ids.select(F.explode(F.sequence(F.lit(0), F.lit(t - 1))).alias("tree"), "transaction_id")
-    h = F.md5(F.concat_ws(":", F.lit(str(p.seed)), F.col("tree").cast("string"), F.col("transaction_id")))
-    r = F.row_number().over(Window.partitionBy("tree").orderBy(h, F.col("transaction_id")))
-    return trees.withColumn("_r", r).where(F.col("_r") <= psi).select(F.col("tree").cast("int"), "transaction_id")
-
-
-def _fit_tree(names: list[str], seed: int, max_depth: int):
+def sample(frame: DataFrame, n_rows: int, p: Params = DEFAULT_PARAMS) -> DataFrame:
+    """``frame`` rows with their ``tree``: each tree's subsample (see module doc).
+    The features travel with the rows, so nothing is joined back on the id."""
+    t, psi = p.n_trees, min(p.max_samples, n_rows)
+    need = min(n_rows, t * p.max_samples)
+    if not need:
+        return frame.where(F.lit(False)).withColumn("tree", F.lit(0))
+    h = F.md5(F.concat_ws(":", F.lit(str(p.seed)), F.lit("pool"), F.col("transaction_id")))
+    hashed = frame.withColumn("_h", h)
+    order = ["_h", "transaction_id", *[c for c in frame.columns if c != "transaction_id"]]
+    # A filter on the hash's first 32 bits keeps ~3x the needed rows before the
+    # bounded top-k; it is widened if fewer than needed pass, so the pool is exact.
+    frac = min(1.0, 3.0 * need / n_rows)
+    while True:
+        cand = hashed.where(F.conv(F.substring("_h", 1, 8), 16, 10).cast("bigint") < F.lit(int(frac * 4294967296.0)))
+        pool = cand.orderBy(*order).limit(need).checkpoint(eager=True)
+        if frac >= 1.0 or pool.count() >= need:
+            break
+        frac = min(1.0, frac * 2)
+    # <= T*psi rows: a single ordered window over the pool is bounded
+    r = F.row_number().over(Window.orderBy(*order)).cast("long") - 1
+    slots = t * psi
+    dealt = pool.withColumn("_r", r).where(F.col("_r") < slots).withColumn(
+        "_slot", F.explode(F.sequence(F.col("_r"), F.lit(slots - 1).cast("long"), F.lit(need).cast("long"))))
+    return dealt.withColumn("tree", F.floor(F.col("_slot") / psi).cast("int")).drop("_h", "_r", "_slot")
+
+
+def _fit_tree(numeric: list[str], cats: list[str], seed: int, max_depth: int):
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         tree = int(pdf["tree"].iloc[0])
-        x = pdf[names].to_numpy(dtype=np.float64)
+        x = pdf[[f"x_{n}" for n in numeric]].to_numpy(dtype=np.float64)
+        values = [pdf[f"c_{c}"].to_numpy(dtype=object) for c in cats]
         out = []
         stack = [(1, 0, np.arange(len(x)))]
         while stack:
             node, depth, idx = stack.pop()
             n = len(idx)
-            feat = None
+            found = []          # (hash, label, feature, value or None)
             if n > 1 and depth < max_depth:
                 sub = x[idx]
                 mn, mx = sub.min(axis=0), sub.max(axis=0)
-                cand = np.nonzero(mx > mn)[0]
-                if len(cand):
-                    keyed = sorted((_md5(f"{seed}:{tree}:{node}:{names[j]}"), names[j], j) for j in cand)
-                    feat = keyed[0][2]
-            if feat is None:
-                out.append((tree, node, depth, n, None, None, leaf_value(depth, n)))
+                found = [(numeric[j], numeric[j], None, j) for j in np.nonzero(mx > mn)[0]]
+                for c, v in zip(cats, values):
+                    own, count = np.unique([w for w in v[idx] if w is not None], return_counts=True)
+                    found += [(f"{c}_{w}", c, str(w), None) for w, k in zip(own, count) if k < n]
+            if not found:
+                out.append((tree, node, depth, n, None, None, None, leaf_value(depth, n)))
                 continue
+            _, label, feature, value, j = min((_md5(f"{seed}:{tree}:{node}:{f[0]}"), *f) for f in found)
             u = _unit(f"{seed}:{tree}:{node}:split")
-            split = mn[feat] + u * (mx[feat] - mn[feat])
-            out.append((tree, node, depth, n, names[feat], float(split), None))
-            left = x[idx, feat] < split
+            if value is None:
+                split = mn[j] + u * (mx[j] - mn[j])
+                left = x[idx, j] < split
+            else:
+                split = u           # the indicator is 0 or 1, u lies between
+                left = values[cats.index(feature)][idx] != value
+            out.append((tree, node, depth, n, feature, value, float(split), None))
             stack.append((2 * node, depth + 1, idx[left]))
             stack.append((2 * node + 1, depth + 1, idx[~left]))
         return pd.DataFrame(out, columns=[f.name for f in FOREST_MODEL.fields])
     return fit
 
 
-def fit(features: DataFrame, names: list[str], n_rows: int, p: Params = DEFAULT_PARAMS) -> DataFrame:
-    """The forest as a node table (tree, node, depth, size, feature, split, leaf_value)."""
-    psi_eff = min(p.max_samples, n_rows)
-    s = sample(features, n_rows, p)
-    # the sample is at most T*psi rows by construction: a bounded broadcast
-    rows = features.join(F.broadcast(s), "transaction_id")
-    fn = _fit_tree(names, p.seed, max_depth_for(psi_eff))
+def fit(frame: DataFrame, n_rows: int, p: Params = DEFAULT_PARAMS) -> DataFrame:
+    """The forest as a node table (tree, node, depth, size, feature, category, split,
+    leaf_value) from the rows of ``features.model_frame``."""
+    rows = sample(frame, n_rows, p)
+    fn = _fit_tree(list(NUMERIC), list(p.categorical_cols), p.seed, max_depth_for(min(p.max_samples, n_rows)))
     # spread the trees over all task slots: an explicit repartition by tree is
     # not coalesced by AQE, and the grouping reuses its partitioning
     slots = max(1, min(p.n_trees, rows.sparkSession.sparkContext.defaultParallelism))
@@ -139,30 +146,46 @@ class ForestArrays:
     """Flat node arrays for vectorized traversal.
 
     Node ``k`` of tree ``t`` has global id ``t * width + k``; ``left`` holds the
-    global id of the left child, and the right child is ``left + 1``.  A leaf
-    points to itself with split ``+inf``: every (finite) feature value is below
-    it, so a walk of ``max_depth`` steps needs neither a leaf mask nor a
-    right-child lookup: ``g = left[g] + (not x < split[g])``."""
+    global id of the left child, and the right child is ``left + 1``.  A numeric
+    node sends x >= split right; a category node holds the code of its value as
+    split and sends an equal code right.  A leaf points to itself with split
+    ``+inf``: every (finite) feature value is below it, so a walk of ``max_depth``
+    steps needs no leaf mask."""
 
-    def __init__(self, model_rows, names: list[str], n_trees: int, max_depth: int):
+    def __init__(self, model_rows, numeric: list[str], cats: list[str], n_trees: int, max_depth: int):
         width = 2 ** (max_depth + 1)
         size = n_trees * width
         self.feat = np.zeros(size, dtype=np.int32)
         self.split = np.full(size, np.inf, dtype=np.float64)
+        self.equal = np.zeros(size, dtype=bool)
         self.left = np.arange(size, dtype=np.int32)
         self.leaf = np.zeros(size, dtype=np.int64)
-        pos = {n: i for i, n in enumerate(names)}
+        self.codes: list[dict[str, int]] = [{} for _ in cats]      # values that the model tests
+        pos = {n: i for i, n in enumerate([*numeric, *cats])}
         for r in model_rows:
             g = r["tree"] * width + r["node"]
             if r["feature"] is None:
                 self.leaf[g] = r["leaf_value"]
-            else:
-                self.feat[g] = pos[r["feature"]]
+                continue
+            self.feat[g] = pos[r["feature"]]
+            self.left[g] = r["tree"] * width + 2 * r["node"]
+            if r["category"] is None:
                 self.split[g] = r["split"]
-                self.left[g] = r["tree"] * width + 2 * r["node"]
+            else:
+                own = self.codes[pos[r["feature"]] - len(numeric)]
+                self.equal[g] = True
+                self.split[g] = own.setdefault(r["category"], len(own))
         self.roots = (np.arange(n_trees, dtype=np.int32) * width + 1)[None, :]
         self.max_depth = max_depth
         self.n_trees = n_trees
+        self.n_numeric = len(numeric)
+
+    def matrix(self, columns: list[pd.Series]) -> np.ndarray:
+        """Feature values of a batch: numbers, then category codes (-1: no tested value)."""
+        parts = [c.to_numpy(dtype=np.float64) for c in columns[:self.n_numeric]]
+        parts += [c.map(own).fillna(-1).to_numpy(dtype=np.float64)
+                  for c, own in zip(columns[self.n_numeric:], self.codes)]
+        return np.column_stack(parts)
 
 
 def path_sums(arrs: ForestArrays, x: np.ndarray) -> np.ndarray:
@@ -173,43 +196,37 @@ def path_sums(arrs: ForestArrays, x: np.ndarray) -> np.ndarray:
     g = np.repeat(arrs.roots, n, axis=0)
     for _ in range(arrs.max_depth):
         xv = xf[rowoff + arrs.feat[g]]
-        g = arrs.left[g] + ~(xv < arrs.split[g])
+        right = np.where(arrs.equal[g], xv == arrs.split[g], ~(xv < arrs.split[g]))
+        g = arrs.left[g] + right
     return arrs.leaf[g].sum(axis=1)
 
 
-def score(frame: DataFrame, feature_cols: list, names: list[str], model: DataFrame,
-          n_rows: int, p: Params = DEFAULT_PARAMS, keep: list[str] | None = None) -> DataFrame:
-    """``keep`` columns of ``frame`` + path_sum (BIGINT) + iso_score (s in (0,1]).
+def score(e: DataFrame, model: DataFrame, n_rows: int, p: Params = DEFAULT_PARAMS,
+          keep: list[str] | None = None) -> DataFrame:
+    """``keep`` columns of ``e`` + path_sum (BIGINT) + iso_score (s in (0,1]).
 
-    The rows pass through Python once (Arrow batches); the kept columns travel
-    with them so no join back on transaction_id is needed."""
+    Only the feature columns pass through Python (Arrow batches)."""
     keep = keep or ["transaction_id"]
-    psi_eff = min(p.max_samples, n_rows)
-    depth = max_depth_for(psi_eff)
+    psi = min(p.max_samples, n_rows)
+    cats = list(p.categorical_cols)
     rows = model.collect()          # bounded: <= n_trees * 2^(depth+1) rows
-    arrs = ForestArrays(rows, names, p.n_trees, depth)
-    bc = frame.sparkSession.sparkContext.broadcast(arrs)
-    c_psi = c_factor(psi_eff)
-    n_trees = p.n_trees
-    fcols = [f"__f{i}" for i in range(len(feature_cols))]
-    inp = frame.select(*keep, *[c.alias(a) for c, a in zip(feature_cols, fcols)])
-    keep_schema = [inp.schema[k] for k in keep]
-    out_schema = T.StructType(keep_schema + [T.StructField("path_sum", T.LongType()),
-                                             T.StructField("iso_score", T.DoubleType())])
-
-    def run(batches):
+    arrs = ForestArrays(rows, list(NUMERIC), cats, p.n_trees, max_depth_for(psi))
+    bc = e.sparkSession.sparkContext.broadcast(arrs)
+
+    c_psi, n_trees = c_factor(psi), p.n_trees
+
+    @F.pandas_udf("path_sum long, iso_score double")
+    def walk(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
         a = bc.value
-        for pdf in batches:
-            x = pdf[fcols].to_numpy(dtype=np.float64)
-            tot = path_sums(a, x) if len(pdf) else np.zeros(0, dtype=np.int64)
-            mean_path = (tot / float(FIXED)) / float(n_trees)
-            s = np.power(2.0, -mean_path / c_psi)
-            res = pdf[keep].copy()
-            res["path_sum"] = tot.astype(np.int64)
-            res["iso_score"] = s
-            yield res
+        for columns in batches:
+            total = path_sums(a, a.matrix(list(columns))) if len(columns[0]) else np.zeros(0, np.int64)
+            mean_path = (total / float(FIXED)) / float(n_trees)
+            yield pd.DataFrame({"path_sum": total.astype(np.int64), "iso_score": np.power(2.0, -mean_path / c_psi)})
 
-    return inp.mapInPandas(run, out_schema)
+    features = [f"x_{n}" for n in NUMERIC] + [f"c_{c}" for c in cats]
+    rest = [c for c in keep if c not in features]
+    frame = model_frame(e, p, keep=rest)
+    return frame.select(*rest, walk(*features).alias("_w")).select(*rest, "_w.path_sum", "_w.iso_score")
 
 
 def ml_stats(scored: DataFrame, n_rows: int, p: Params = DEFAULT_PARAMS) -> dict:
@@ -225,7 +242,7 @@ def ml_stats(scored: DataFrame, n_rows: int, p: Params = DEFAULT_PARAMS) -> dict
     lo = int(math.floor(pos))
     frac = pos - lo
     hi_rank = min(lo + 1, n_rows - 1)
-    stats = order_statistics(scored, "path_sum", [lo, hi_rank], n_rows, p)
+    stats = order_statistics(scored, "path_sum", [lo, hi_rank])
     v_lo, v_hi = stats[lo], stats[hi_rank]
     mm = scored.agg(F.min("iso_score").alias("smin"), F.max("iso_score").alias("smax")).first()
     return {"smin": mm["smin"], "smax": mm["smax"], "path_threshold": float(v_lo),
@@ -241,6 +258,6 @@ def ml_columns(scored: DataFrame, n_rows: int, p: Params = DEFAULT_PARAMS, stats
     is_anom = (ps <= thr) if st["inclusive"] else (ps < thr)
     span = st["smax"] - st["smin"]
     score = (F.lit(0.0) if not span else
-             F.round((F.col("iso_score") - F.lit(st["smin"])) / F.lit(span), 4))
+             round_half_even((F.col("iso_score") - F.lit(st["smin"])) / F.lit(span), 4))
     return (scored.withColumn("ml_anomaly_score", score)
             .withColumn("ml_flag", F.when(is_anom, "anomaly").otherwise("normal")))

@@ -9,6 +9,7 @@ from ledgerscreen.functions.exprs import risk_rank
 from ledgerscreen.params import RISK_LEVELS
 
 REVIEW = ("High", "Medium")
+# FIXED VALUES -- the display columns.
 DISPLAY = ("transaction_id", "date", "vendor", "account", "amount", "risk_score", "risk_level", "reasons")
 
 
@@ -119,7 +120,7 @@ def dash_rule_counts(export: DataFrame) -> DataFrame:
     names = export.where(t.isNotNull() & (t != "")).select(F.explode(F.split(t, ", ")).alias("test_name"))
     return (names.groupBy("test_name").agg(F.count(F.lit(1)).alias("n_flagged"))
             .select("test_name", F.initcap(F.replace(F.col("test_name"), F.lit("_"), F.lit(" "))).alias("label"),
-                    "n_flagged"))
+                    "n_flagged").orderBy("n_flagged", "test_name"))
 
 
 def dash_vendor_risk(export: DataFrame, k: int = 10) -> DataFrame:
@@ -137,7 +138,7 @@ def dash_vendor_scatter(export: DataFrame) -> DataFrame:
 def dash_dept_spend(export: DataFrame) -> DataFrame:
     """M6: spend by department."""
     return (export.where(F.col("department").isNotNull()).groupBy("department")
-            .agg(F.round(F.sum("amount"), 2).alias("total_spend")))
+            .agg(F.round(F.sum("amount"), 2).alias("total_spend")).orderBy(F.desc("total_spend"), "department"))
 
 
 def fmt_score3(score: Column) -> Column:
@@ -162,6 +163,3 @@ def dash_departments(export: DataFrame) -> DataFrame:
     """M8: sorted distinct departments."""
     return export.where(F.col("department").isNotNull()).select("department").distinct().orderBy("department")
 
-
-def with_rank(df: DataFrame) -> DataFrame:
-    return df.withColumn("risk_rank", risk_rank(F.col("risk_level")))

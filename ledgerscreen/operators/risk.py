@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerscreen.functions.exprs import blend_score, risk_bucket, severity_from_string
@@ -44,6 +44,17 @@ def top_risk(risk: DataFrame, k: int = 10) -> DataFrame:
                     "risk_score", "risk_level"))
 
 
+def ranked(risk: DataFrame) -> DataFrame:
+    """Every row with its rank, highest score first; equal scores share a rank
+    (one more than the rows above them).  A score has four decimals, so the ranks
+    are looked up in a table of at most 10,001 scores."""
+    scores = risk.groupBy("risk_score").agg(F.count(F.lit(1)).alias("_n"))
+    above = F.sum("_n").over(Window.orderBy(F.desc("risk_score")).rowsBetween(Window.unboundedPreceding, -1))
+    places = scores.select(F.col("risk_score").alias("_s"), (F.coalesce(above, F.lit(0)) + 1).alias("risk_place"))
+    return (risk.join(F.broadcast(places), F.col("risk_score") == F.col("_s"))
+            .select("risk_place", *RISK_COLUMNS).orderBy(F.desc("risk_score"), "transaction_id"))
+
+
 def level_counts(risk: DataFrame) -> DataFrame:
     """Rows per risk level."""
     return risk.groupBy("risk_level").agg(F.count(F.lit(1)).alias("n_transactions"))

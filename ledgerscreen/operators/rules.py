@@ -127,7 +127,8 @@ def single_rule(r: DataFrame, name: str) -> DataFrame:
 
 def flags_per_txn_hist(flags: DataFrame) -> DataFrame:
     """Flagged rows per number of rules triggered."""
-    return flags.groupBy("n_tests_triggered").agg(F.count(F.lit(1)).alias("n_transactions"))
+    return (flags.groupBy("n_tests_triggered").agg(F.count(F.lit(1)).alias("n_transactions"))
+            .orderBy("n_tests_triggered"))
 
 
 def rule_counts(flags: DataFrame) -> DataFrame:

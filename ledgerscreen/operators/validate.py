@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerscreen.functions.exprs import round_half_even
+
 REVIEW = ("High", "Medium")
 
 
@@ -35,11 +37,10 @@ def metrics(v: DataFrame) -> DataFrame:
 
 def recall_by_type(v: DataFrame) -> DataFrame:
     """K3: per anomaly type, share of positives flagged, in percent (1 dp)."""
-    from ledgerscreen.operators.benford import round_ratio
     g = (v.where(F.col("is_anomaly") == 1).groupBy("anomaly_type")
          .agg(F.count(F.lit(1)).alias("n_planted"), F.count_if(F.col("is_flagged")).alias("n_caught")))
     return g.select("anomaly_type", "n_planted", "n_caught",
-                    round_ratio(F.col("n_caught") * 100, F.col("n_planted"), 1).alias("recall_pct"))
+                    round_half_even(F.col("n_caught") / F.col("n_planted") * 100, 1).alias("recall_pct"))
 
 
 def recall_one_type(v: DataFrame, kind: str = "vendor_concentration") -> DataFrame:

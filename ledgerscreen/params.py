@@ -82,11 +82,6 @@ class Params:
     ml_weight: float = 0.5
     high_cut: float = 0.7
     medium_cut: float = 0.4
-    # one-hot guard: refuse to expand a categorical with more values than this
-    max_categories: int = 100
-    # per-group size above which exact quantiles switch from Spark's in-memory
-    # `percentile` to the distributed rank-selection path
-    exact_percentile_max_group: int = 5_000_000
     # planting
     plant_seed: int = 42
     shell_vendor: str = "SHELL TRADING LTD"

@@ -7,17 +7,22 @@ tailed amounts, used for the Benford and outlier variants.
 
 from __future__ import annotations
 
+import os
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerscreen.operators import benford, clean as cl, features as ft, planting, reports, risk as rk
+from ledgerscreen.operators import benford, clean as cl, features as ft, reports, risk as rk
 from ledgerscreen.operators import rules, validate
-from ledgerscreen.params import DEFAULT_PARAMS, PLANT_KINDS
+from ledgerscreen.params import DEFAULT_PARAMS
 from ledgerscreen.plans import sqlpack
 from ledgerscreen.plans.pipeline import Pipeline
-from ledgerscreen.sources.ledger import ledger_from_events, ledger_from_lineitem
+from ledgerscreen.session import scratch_path
+from ledgerscreen.sources.ledger import (dirty_ledger_from_orders, ledger_from_events, ledger_from_lineitem,
+                                         load_raw_csv)
+from ledgerscreen.sources.sinks import write_export_csv
 
 _PIPELINES: dict = {}
 
@@ -42,7 +47,7 @@ def pipeline(spark: SparkSession, sf_dir: str, fixture: str = "main") -> Pipelin
 
 def reset_pipelines() -> None:
     for pl in _PIPELINES.values():
-        pl.release()
+        pl.drop_tables()
     _PIPELINES.clear()
 
 
@@ -92,6 +97,28 @@ def _clean_counts(spark, sf):
     return cl.clean_counts(pl.raw, pl.clean)
 
 
+@key("dirty_clean")
+def _dirty_clean(spark, sf):
+    return cl.clean(dirty_ledger_from_orders(spark, sf))
+
+
+@key("dirty_counts")
+def _dirty_counts(spark, sf):
+    raw = dirty_ledger_from_orders(spark, sf)
+    return cl.clean_counts(raw, cl.clean(raw))
+
+
+@key("csv_ledger")
+def _csv_ledger(spark, sf):
+    """The event ledger written as CSV (columns in another order, texts with quotes,
+    commas and blanks at their ends), scanned and cleaned."""
+    raw = ledger_from_events(spark, sf)
+    text = F.concat(F.lit(' "'), F.col("vendor"), F.lit('", Ltd '))
+    path = os.path.join(scratch_path(spark, f"csv-{uuid.uuid4().hex}"), "events")
+    write_export_csv(raw.withColumn("vendor", text).select(*reversed(raw.columns)), path)
+    return cl.clean(load_raw_csv(spark, path))
+
+
 @key("id_repeats")
 def _id_repeats(spark, sf):
     return cl.id_repeats(_main(spark, sf).clean)
@@ -154,8 +181,7 @@ def _rule_flag_rate(spark, sf):
 
 
 # ------------------------------------------------------------------ SQL pack
-for _q in ("duplicates", "round_numbers", "off_hours", "vendor_concentration", "month_end_late",
-           "monthly_summary", "top_vendors"):
+for _q in ("round_numbers", "off_hours", "month_end_late", "monthly_summary", "top_vendors"):
     def _mk_sql(q):
         def run(spark, sf):
             pl = _main(spark, sf)
@@ -165,6 +191,16 @@ for _q in ("duplicates", "round_numbers", "off_hours", "vendor_concentration", "
     REGISTRY[f"sql_{_q}"] = _mk_sql(_q)
 
 
+@key("sql_duplicates")
+def _sql_dup(spark, sf):
+    return sqlpack.duplicates(_main(spark, sf).clean)
+
+
+@key("sql_vendor_concentration")
+def _sql_conc(spark, sf):
+    return sqlpack.vendor_concentration(_main(spark, sf).clean)
+
+
 @key("sql_ntile_outliers")
 def _ntile(spark, sf):
     return sqlpack.ntile_outliers(_main(spark, sf).clean)
@@ -209,8 +245,7 @@ def _ball(spark, sf):
 # ------------------------------------------------------------------ features / model
 @key("features")
 def _features(spark, sf):
-    pl = _main(spark, sf)
-    return ft.long(pl.features_wide, pl.feature_names)
+    return ft.entries(_main(spark, sf).ruled)
 
 
 @key("vendor_frequency")
@@ -269,6 +304,11 @@ def _rtop(spark, sf):
     return rk.top_risk(_main(spark, sf).risk)
 
 
+@key("risk_ranked")
+def _ranked(spark, sf):
+    return rk.ranked(_main(spark, sf).risk)
+
+
 @key("risk_level_counts")
 def _rlc(spark, sf):
     return rk.level_counts(_main(spark, sf).risk)
@@ -380,24 +420,3 @@ def _ddt(spark, sf):
 @key("dash_departments")
 def _ddep(spark, sf):
     return reports.dash_departments(_main(spark, sf).export)
-
-
-# ------------------------------------------------------------------ planting
-_PLANT_KEYS = {"duplicate": "plant_duplicate", "round_number": "plant_round",
-               "off_hours_weekend": "plant_off_hours", "vendor_concentration": "plant_shell_vendor",
-               "statistical_outlier": "plant_outlier", "month_end_spike": "plant_month_end"}
-def _base_rows(spark, sf):
-    """The line-item ledger as materialized by the main pipeline (base rows only)."""
-    t = _main(spark, sf).raw_tagged
-    return t.where(F.col("anomaly_type") == "none").drop("anomaly_type")
-
-
-for _kind, _ in PLANT_KINDS:
-    def _mk_plant(kind):
-        return lambda spark, sf: planting.plant_kind(_base_rows(spark, sf), kind, DEFAULT_PARAMS)
-    REGISTRY[_PLANT_KEYS[_kind]] = _mk_plant(_kind)
-
-
-@key("planted_labels")
-def _pl(spark, sf):
-    return planting.labels_of(_main(spark, sf).raw_tagged)

@@ -11,13 +11,13 @@ from __future__ import annotations
 
 import math
 
-from ledgerscreen.operators.iforest import EULER_GAMMA, FIXED
-from ledgerscreen.operators.planting import kind_ranges
-from ledgerscreen.params import (DEFAULT_PARAMS, MONTH_END_MONTHS, OFF_HOURS_NIGHT, PLANT_KINDS,
+from ledgerscreen.params import (DEFAULT_PARAMS, MONTH_END_MONTHS, OFF_HOURS_NIGHT, PLANT_BASE_ROWS, PLANT_KINDS,
                                  REASON_DUPLICATE, REASON_MONTH_END, REASON_OFF_HOURS, REASON_ROUND,
                                  ROUND_AMOUNTS, RULE_NAMES, SEVERITY, Params)
 
 P = DEFAULT_PARAMS
+EULER_GAMMA = 0.5772156649015329
+FIXED = 1_000_000_000        # unit of a path length
 D = "::DOUBLE"
 
 
@@ -33,6 +33,13 @@ def hunit(*parts: str) -> str:
     return f"((CAST({h32(*parts)} AS DOUBLE) + 0.5{D}) / 4294967296.0{D})"
 
 
+def half_even(x: str, digits: int) -> str:
+    """numpy's rounding: scale, nearest (even on a tie), unscale."""
+    y = f"(({x}) * {10 ** digits}.0{D})"
+    up = f"({y} - floor({y}) > 0.5{D} OR ({y} - floor({y}) = 0.5{D} AND CAST(floor({y}) AS BIGINT) % 2 <> 0))"
+    return f"((floor({y}) + CASE WHEN {up} THEN 1 ELSE 0 END) / {10 ** digits}.0{D})"
+
+
 def lp2(x: str) -> str:
     return f"lpad(CAST({x} AS VARCHAR), 2, '0')"
 
@@ -101,7 +108,10 @@ def _pu(kind: str, tag: str) -> str:
 
 
 def plant_kind_sql(kind: str, src: str = "base") -> str:
-    lo, hi = kind_ranges()[kind]
+    # one hash per row, cut in consecutive ranges of count / base rows each
+    widths = [int(n / PLANT_BASE_ROWS * 4294967296.0) for _, n in PLANT_KINDS]
+    at = [k for k, _ in PLANT_KINDS].index(kind)
+    lo, hi = sum(widths[:at]), sum(widths[:at + 1])
     ph = h32(q(str(P.plant_seed)), "'plant'", "transaction_id")
     pick = f"{ph} >= {lo} AND {ph} < {hi}"
     cols = {c: c for c in RAW.split(", ")}
@@ -156,15 +166,46 @@ def planted(c: Chain, src: str = "base") -> None:
 # ---------------------------------------------------------------- clean + rules
 
 def clean(c: Chain, src: str, pre: str) -> None:
+    part = "CAST(split_part(time, ':', {}) AS INTEGER)"
+    hour = f"(({part.format(1)} * 3600 + {part.format(2)} * 60 + {part.format(3)}) // 3600) % 24"
     c.add(f"{pre}je0", f"""
 SELECT {RAW}, dayname(date) AS day_of_week, isodow(date) >= 6 AS is_weekend,
-       CAST(hour(try_strptime(time, '%H:%M:%S')) AS INTEGER) AS hour,
+       CASE WHEN regexp_full_match(time, '([01]?[0-9]|2[0-3]):[0-5]?[0-9]:([0-5]?[0-9]|6[01])')
+            THEN CAST({hour} AS INTEGER) END AS hour,
        CAST(month(date) AS INTEGER) AS month, CAST(day(date) AS INTEGER) AS day
 FROM {src}""")
     c.add(f"{pre}je", f"SELECT DISTINCT {CLEAN} FROM {pre}je0 "
                       "WHERE transaction_id IS NOT NULL AND date IS NOT NULL AND amount IS NOT NULL")
 
 
+def dirty_ledger(c: Chain) -> None:
+    """The all-text ledger made of ``orders``, then its typed form: one day format
+    (year-month-day), plain decimal numbers, anything else is null."""
+    day = "strftime(o_orderdate, '%Y-%m-%d')"
+    clock = "(CAST(k % 24 AS VARCHAR) || ':' || lpad(CAST(k % 60 AS VARCHAR), 2, '0') || ':05')"
+    price = "CAST(CAST(o_totalprice AS DECIMAL(18, 2)) AS VARCHAR)"
+    c.add("dirty_text", f"""
+SELECT CASE WHEN k % 29 = 1 THEN NULL ELSE 'OR' || k END AS transaction_id,
+       CASE k % 23 WHEN 1 THEN o_orderpriority WHEN 2 THEN NULL WHEN 3 THEN strftime(o_orderdate, '%Y')
+            WHEN 4 THEN '10:30:00'
+            WHEN 5 THEN year(o_orderdate) || '-' || month(o_orderdate) || '-' || day(o_orderdate)
+            WHEN 6 THEN {day} || ' 00:00:00' ELSE {day} END AS date,
+       CASE k % 19 WHEN 1 THEN o_orderstatus WHEN 2 THEN NULL WHEN 3 THEN '23:59:60' WHEN 4 THEN '24:00:00'
+            WHEN 5 THEN {clock} || ' ' ELSE {clock} END AS time,
+       o_orderpriority AS department, o_orderstatus AS account, 'C' || o_custkey AS vendor,
+       CASE k % 17 WHEN 1 THEN o_orderpriority WHEN 2 THEN NULL WHEN 3 THEN {price} || 'd'
+            WHEN 4 THEN ' ' || {price} || ' ' WHEN 5 THEN '1,000.00' WHEN 6 THEN '1e3' ELSE {price} END AS amount,
+       'Debit' AS entry_type, CAST(NULL AS VARCHAR) AS posted_by, o_orderpriority AS description
+FROM (SELECT *, o_orderkey AS k, unnest(range(CASE WHEN o_orderkey % 40 = 0 THEN 2 ELSE 1 END)) AS copy FROM orders)""")
+    c.add("dirty", f"""
+SELECT * REPLACE (
+  CASE WHEN regexp_full_match(date, '[0-9]{{4}}-[0-9]{{1,2}}-[0-9]{{1,2}}')
+       THEN TRY_CAST(split_part(date, '-', 1) || '-' || lpad(split_part(date, '-', 2), 2, '0') || '-'
+                     || lpad(split_part(date, '-', 3), 2, '0') AS DATE) END AS date,
+  CASE WHEN regexp_full_match(trim(amount), '[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?')
+       THEN TRY_CAST(trim(amount) AS DOUBLE) END AS amount) FROM dirty_text""")
+
+
 def quantile_expr(pos: str, vlo: str, vhi: str) -> str:
     return (f"CASE WHEN floor({pos}) = ceil({pos}) OR {vlo} = {vhi} THEN {vlo} "
             f"ELSE (ceil({pos}) - {pos}) * {vlo} + ({pos} - floor({pos})) * {vhi} END")
@@ -245,18 +286,12 @@ CATEGORICAL = ("department", "account", "entry_type")
 
 
 def features(c: Chain, pre: str) -> None:
+    """The non-zero entries of the matrix: numbers, then one entry per category value."""
     fl = f"{pre}fl"
-    c.add(f"{pre}cats", "\nUNION ALL\n".join(
-        f"SELECT DISTINCT {q(col)} AS c, {col} AS v FROM {pre}je WHERE {col} IS NOT NULL" for col in CATEGORICAL))
-    num = "\nUNION ALL\n".join(f"SELECT transaction_id, {q(k)} AS feature, {v} AS value FROM {fl}"
-                               for k, v in NUMERIC.items())
-    pick = " ".join(f"WHEN {q(col)} THEN f.{col}" for col in CATEGORICAL)
-    c.add(f"{pre}feat_long", f"""
-{num}
-UNION ALL
-SELECT f.transaction_id, k.c || '_' || k.v AS feature,
-       CASE WHEN coalesce((CASE k.c {pick} END) = k.v, false) THEN 1.0{D} ELSE 0.0{D} END AS value
-FROM {fl} f CROSS JOIN {pre}cats k""")
+    parts = [f"SELECT transaction_id, {q(k)} AS feature, {v} AS value FROM {fl}" for k, v in NUMERIC.items()]
+    parts += [f"SELECT transaction_id, {q(col + '_')} || {col} AS feature, 1.0{D} AS value FROM {fl} "
+              f"WHERE {col} IS NOT NULL" for col in CATEGORICAL]
+    c.add(f"{pre}feat_long", "SELECT * FROM (" + "\nUNION ALL\n".join(parts) + ") WHERE value <> 0")
 
 
 def c_factor_sql(n: str) -> str:
@@ -276,18 +311,22 @@ SELECT n, least({psi}, n) AS psi_eff,
 FROM {pre}nrows""")
     pool_key = f"md5(concat_ws(':', {seed}, 'pool', transaction_id))"
     c.add(f"{pre}pool", f"""
-SELECT transaction_id, row_number() OVER (ORDER BY {pool_key}, transaction_id) - 1 AS r
-FROM {je} WHERE (SELECT n FROM {pre}nrows) >= {t * psi}""")
-    tree_key = f"md5(concat_ws(':', {seed}, CAST(tt.tree AS VARCHAR), j.transaction_id))"
+SELECT transaction_id, row_number() OVER (ORDER BY {pool_key}, transaction_id) - 1 AS r FROM {je}
+QUALIFY r < {t * psi}""")
+    # dealt circularly: slot s of all trees' places holds the row of rank s modulo the pool
     c.add(f"{pre}samp", f"""
-SELECT CAST(r % {t} AS INTEGER) AS tree, transaction_id FROM {pre}pool WHERE r < {t * psi}
-UNION ALL
-SELECT tree, transaction_id FROM (
-  SELECT CAST(tt.tree AS INTEGER) AS tree, j.transaction_id,
-         row_number() OVER (PARTITION BY tt.tree ORDER BY {tree_key}, j.transaction_id) AS rr
-  FROM {je} j CROSS JOIN range({t}) tt(tree)
-  WHERE (SELECT n FROM {pre}nrows) < {t * psi}) x
-WHERE rr <= {psi}""")
+SELECT CAST(s.slot // (SELECT psi_eff FROM {pre}fpar) AS INTEGER) AS tree, p.transaction_id
+FROM (SELECT unnest(range((SELECT {t} * psi_eff FROM {pre}fpar))) AS slot) s
+JOIN {pre}pool p ON p.r = s.slot % (SELECT count(*) FROM {pre}pool)""")
+    # the sample's numbers in long form, and its category values
+    fl = f"{pre}fl"
+    ids = f"(SELECT DISTINCT transaction_id FROM {pre}samp)"
+    c.add(f"{pre}snum", "\nUNION ALL\n".join(
+        f"SELECT transaction_id, {q(k)} AS feature, {v} AS value FROM {fl} SEMI JOIN {ids} USING (transaction_id)"
+        for k, v in NUMERIC.items()))
+    c.add(f"{pre}scat", "\nUNION ALL\n".join(
+        f"SELECT transaction_id, {q(col)} AS feature, {col} AS category FROM {fl} SEMI JOIN {ids} USING (transaction_id) "
+        f"WHERE {col} IS NOT NULL" for col in CATEGORICAL))
     c.add(f"{pre}lv0", f"SELECT tree, transaction_id, CAST(1 AS BIGINT) AS node FROM {pre}samp")
     max_levels = int(math.ceil(math.log2(max(psi, 2))))
     node_ctes = []
@@ -297,50 +336,56 @@ WHERE rr <= {psi}""")
         leaf = f"CAST({d} AS BIGINT) * {FIXED} + CAST(floor({c_factor_sql('n.size')} * {FIXED}.0{D} + 0.5{D}) AS BIGINT)"
         if d < max_levels:
             c.add(f"{pre}st{d}", f"""
-SELECT l.tree, l.node, f.feature, min(f.value) AS mn, max(f.value) AS mx
-FROM {lv} l JOIN {pre}feat_long f ON l.transaction_id = f.transaction_id
-GROUP BY l.tree, l.node, f.feature""")
-            fkey = f"md5(concat_ws(':', {seed}, CAST(tree AS VARCHAR), CAST(node AS VARCHAR), feature)) || feature"
-            c.add(f"{pre}ch{d}", f"SELECT tree, node, arg_min(feature, {fkey}) AS feature "
-                                 f"FROM {pre}st{d} WHERE mx > mn GROUP BY tree, node")
-            u = hunit(seed, "CAST(ch.tree AS VARCHAR)", "CAST(ch.node AS VARCHAR)", "'split'")
+SELECT l.tree, l.node, f.feature, CAST(NULL AS VARCHAR) AS category, f.feature AS label,
+       min(f.value) AS mn, max(f.value) AS mx
+FROM {lv} l JOIN {pre}snum f ON l.transaction_id = f.transaction_id
+GROUP BY l.tree, l.node, f.feature HAVING min(f.value) < max(f.value)
+UNION ALL
+SELECT l.tree, l.node, f.feature, f.category, f.feature || '_' || f.category AS label, 0.0{D}, 1.0{D}
+FROM {lv} l JOIN {pre}scat f ON l.transaction_id = f.transaction_id
+JOIN {pre}cn{d} n ON n.tree = l.tree AND n.node = l.node
+GROUP BY l.tree, l.node, f.feature, f.category, n.size HAVING count(*) < n.size""")
+            fkey = f"md5(concat_ws(':', {seed}, CAST(s.tree AS VARCHAR), CAST(s.node AS VARCHAR), label)) || label"
+            u = hunit(seed, "CAST(s.tree AS VARCHAR)", "CAST(s.node AS VARCHAR)", "'split'")
             c.add(f"{pre}sp{d}", f"""
-SELECT ch.tree, ch.node, ch.feature, s.mn + {u} * (s.mx - s.mn) AS split
-FROM {pre}ch{d} ch JOIN {pre}st{d} s ON ch.tree = s.tree AND ch.node = s.node AND ch.feature = s.feature
-JOIN {pre}cn{d} n ON ch.tree = n.tree AND ch.node = n.node
-WHERE n.size > 1 AND {d} < (SELECT dmax FROM {pre}fpar)""")
+SELECT s.tree, s.node, s.feature, s.category, s.mn + {u} * (s.mx - s.mn) AS split
+FROM {pre}st{d} s JOIN {pre}cn{d} n ON s.tree = n.tree AND s.node = n.node
+WHERE n.size > 1 AND {d} < (SELECT dmax FROM {pre}fpar)
+QUALIFY row_number() OVER (PARTITION BY s.tree, s.node ORDER BY {fkey}) = 1""")
             c.add(f"{pre}nd{d}", f"""
-SELECT n.tree, n.node, {d} AS depth, n.size, s.feature, s.split,
+SELECT n.tree, n.node, {d} AS depth, n.size, s.feature, s.category, s.split,
        CASE WHEN s.feature IS NULL THEN {leaf} END AS leaf_value
 FROM {pre}cn{d} n LEFT JOIN {pre}sp{d} s ON n.tree = s.tree AND n.node = s.node""")
             c.add(f"{pre}lv{d + 1}", f"""
 SELECT l.tree, l.transaction_id,
-       CASE WHEN f.value < s.split THEN 2 * l.node ELSE 2 * l.node + 1 END AS node
+       CASE WHEN CASE WHEN s.category IS NULL THEN f.value < s.split ELSE g.category IS DISTINCT FROM s.category END
+            THEN 2 * l.node ELSE 2 * l.node + 1 END AS node
 FROM {lv} l JOIN {pre}sp{d} s ON l.tree = s.tree AND l.node = s.node
-JOIN {pre}feat_long f ON f.transaction_id = l.transaction_id AND f.feature = s.feature""")
+LEFT JOIN {pre}snum f ON f.transaction_id = l.transaction_id AND f.feature = s.feature
+LEFT JOIN {pre}scat g ON g.transaction_id = l.transaction_id AND g.feature = s.feature""")
         else:
             c.add(f"{pre}nd{d}", f"""
-SELECT n.tree, n.node, {d} AS depth, n.size, CAST(NULL AS VARCHAR) AS feature, CAST(NULL AS DOUBLE) AS split,
-       {leaf} AS leaf_value
+SELECT n.tree, n.node, {d} AS depth, n.size, CAST(NULL AS VARCHAR) AS feature, CAST(NULL AS VARCHAR) AS category,
+       CAST(NULL AS DOUBLE) AS split, {leaf} AS leaf_value
 FROM {pre}cn{d} n""")
         node_ctes.append(f"{pre}nd{d}")
     c.add(f"{pre}model", "\nUNION ALL\n".join(
         f"SELECT CAST(tree AS INTEGER) AS tree, CAST(node AS BIGINT) AS node, CAST(depth AS INTEGER) AS depth, "
-        f"CAST(size AS BIGINT) AS size, feature, split, CAST(leaf_value AS BIGINT) AS leaf_value FROM {n}"
+        f"CAST(size AS BIGINT) AS size, feature, category, split, CAST(leaf_value AS BIGINT) AS leaf_value FROM {n}"
         for n in node_ctes))
     # scoring: every row walks every tree, feature values carried on the row
     fcols = ", ".join(f"{v} AS f_{k}" for k, v in NUMERIC.items())
     c.add(f"{pre}fw", f"SELECT transaction_id, {fcols}, {', '.join(CATEGORICAL)} FROM {pre}fl")
-    xval = ("CASE m.feature " + " ".join(f"WHEN {q(k)} THEN w.f_{k}" for k in NUMERIC) +
-            " ELSE CASE WHEN " + " OR ".join(f"coalesce(m.feature = {q(col + '_')} || w.{col}, false)"
-                                              for col in CATEGORICAL) +
-            f" THEN 1.0{D} ELSE 0.0{D} END END")
+    number = "CASE m.feature " + " ".join(f"WHEN {q(k)} THEN w.f_{k}" for k in NUMERIC) + " END"
+    value = "CASE m.feature " + " ".join(f"WHEN {q(k)} THEN w.{k}" for k in CATEGORICAL) + " END"
+    goes_left = (f"CASE WHEN m.category IS NULL THEN {number} < m.split "
+                 f"ELSE {value} IS DISTINCT FROM m.category END")
     c.add(f"{pre}pw0", f"SELECT w.*, tt.tree, CAST(1 AS BIGINT) AS node FROM {pre}fw w "
                        f"CROSS JOIN (SELECT DISTINCT tree FROM {pre}model) tt")
     for k in range(max_levels):
         c.add(f"{pre}pw{k + 1}", f"""
 SELECT w.* EXCLUDE (node),
-       CASE WHEN m.feature IS NULL THEN w.node WHEN {xval} < m.split THEN 2 * w.node ELSE 2 * w.node + 1 END AS node
+       CASE WHEN m.feature IS NULL THEN w.node WHEN {goes_left} THEN 2 * w.node ELSE 2 * w.node + 1 END AS node
 FROM {pre}pw{k} w JOIN {pre}model m ON m.tree = w.tree AND m.node = w.node""")
     c.add(f"{pre}ps", f"""
 SELECT w.transaction_id, CAST(sum(m.leaf_value) AS BIGINT) AS path_sum
@@ -360,8 +405,8 @@ SELECT floor({pos}) AS lo, {pos} - floor({pos}) AS frac,
 FROM {pre}nrows""")
     c.add(f"{pre}ml", f"""
 SELECT i.transaction_id, i.path_sum, i.iso_score,
-       round(CASE WHEN mm.smax = mm.smin THEN 0.0{D}
-                  ELSE (i.iso_score - mm.smin) / (mm.smax - mm.smin) END, 4) AS ml_anomaly_score,
+       {half_even(f"CASE WHEN mm.smax = mm.smin THEN 0.0{D} ELSE (i.iso_score - mm.smin) / (mm.smax - mm.smin) END", 4)}
+         AS ml_anomaly_score,
        CASE WHEN i.path_sum < t.v_lo OR (t.frac > 0 AND t.v_hi > t.v_lo AND i.path_sum = t.v_lo)
             THEN 'anomaly' ELSE 'normal' END AS ml_flag
 FROM {pre}iso i CROSS JOIN (SELECT min(iso_score) AS smin, max(iso_score) AS smax FROM {pre}iso) mm
@@ -371,8 +416,8 @@ CROSS JOIN {pre}thr t""")
 def risk(c: Chain, pre: str, p: Params = P) -> None:
     c.add(f"{pre}risk", f"""
 SELECT f.*, m.path_sum, m.iso_score, coalesce(m.ml_anomaly_score, 0.0{D}) AS ml_anomaly_score, m.ml_flag,
-       ((CAST(round(f.rule_severity * 10000) AS BIGINT) + CAST(round(coalesce(m.ml_anomaly_score, 0.0{D}) * 10000) AS BIGINT) + 1) // 2)
-         / 10000.0{D} AS risk_score
+       {half_even(f"{p.rule_weight}{D} * f.rule_severity + {p.ml_weight}{D} * coalesce(m.ml_anomaly_score, 0.0{D})", 4)}
+         AS risk_score
 FROM {pre}fl f LEFT JOIN {pre}ml m ON f.transaction_id = m.transaction_id""")
     c.add(f"{pre}riskl", f"""
 SELECT * EXCLUDE (vendor_n), vendor_n AS vendor_frequency,

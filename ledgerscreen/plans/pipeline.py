@@ -3,8 +3,8 @@
     raw -> clean (persisted) -> enrich: vendor / account / duplicate-group
     aggregates joined back -> six reason columns + flag summary + severity
     -> isolation forest (fit on a bounded sample, model checkpointed) ->
-    scoring pass over every row (Arrow batches, rule columns ride along)
-    -> ML columns -> risk score and level (persisted) -> reports.
+    scoring pass over every row (feature columns in Arrow batches; persisted)
+    -> ML columns, risk score and level as projections -> reports.
 
 Stages are built on first use and shared by every query on the same
 pipeline, so a run of all report queries computes each stage once.  Each
@@ -146,28 +146,13 @@ class Pipeline:
         return rules.rule_flags(self.ruled)
 
     # ------------------------------------------------------------ features / model
-    @cached_property
-    def categories(self) -> dict:
-        return ft.categories(self.clean, self.p)
-
-    @cached_property
-    def feature_names(self) -> list[str]:
-        return ft.feature_names(self.categories)
-
-    @cached_property
-    def features_wide(self) -> DataFrame:
-        return ft.wide(self.ruled, self.categories)
-
     @cached_property
     def model(self) -> DataFrame:
-        m = iforest.fit(self.features_wide, self.feature_names, self.n_rows, self.p)
-        return self._table(m, "forest_model")
+        return self._table(iforest.fit(ft.model_frame(self.ruled, self.p), self.n_rows, self.p), "forest_model")
 
     @cached_property
     def scored(self) -> DataFrame:
-        cols = ft.feature_columns(self.ruled, self.categories)
-        return iforest.score(self.ruled, cols, self.feature_names, self.model, self.n_rows, self.p,
-                             keep=list(PASS_THROUGH))
+        return iforest.score(self.ruled, self.model, self.n_rows, self.p, keep=list(PASS_THROUGH))
 
     @cached_property
     def scored_table(self) -> DataFrame:
@@ -185,10 +170,9 @@ class Pipeline:
     # ------------------------------------------------------------ risk
     @cached_property
     def risk(self) -> DataFrame:
-        """Row-aligned: ledger columns + rule summary + ML + risk (the export)."""
-        r = rk.with_risk(self.ml, self.p)
-        r = r.withColumnRenamed("vendor_n", "vendor_frequency")
-        return self._table(r, "risk")
+        """Row-aligned: ledger columns + rule summary + ML + risk (the export): a
+        projection of the scored table, not a second copy of it."""
+        return rk.with_risk(self.ml, self.p).withColumnRenamed("vendor_n", "vendor_frequency")
 
     @cached_property
     def export(self) -> DataFrame:
@@ -222,12 +206,12 @@ class Pipeline:
     def run(self, out_dir: str) -> dict:
         """Write every stage output (Parquet) and the flat export (CSV)."""
         from ledgerscreen.sources import sinks
-        import os
+        # FIXED VALUES -- names of the stage outputs
         sinks.write_stage(self.flags, os.path.join(out_dir, "rule_based_flags"))
         sinks.write_stage(self.benford, os.path.join(out_dir, "benford_analysis"))
         sinks.write_stage(self.risk.select("transaction_id", "ml_anomaly_score", "ml_flag"),
                           os.path.join(out_dir, "ml_anomaly_scores"))
-        sinks.write_stage(rk.risk_scores(self.risk), os.path.join(out_dir, "final_risk_scores"))
+        sinks.write_stage(rk.ranked(self.risk), os.path.join(out_dir, "final_risk_scores"))
         sinks.write_export_csv(self.export, os.path.join(out_dir, "dashboard_export"))
         sinks.write_stage(self.report_metrics(), os.path.join(out_dir, "report_metrics"))
         return {r["risk_level"]: r["n_transactions"] for r in rk.level_counts(self.risk).collect()}

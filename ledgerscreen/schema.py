@@ -12,6 +12,11 @@ RAW_COLUMNS = (
 # Raw ledger as read from CSV: every column a string; typing happens in clean().
 RAW_LEDGER = T.StructType([T.StructField(c, T.StringType(), True) for c in RAW_COLUMNS])
 
+# Text in CSV files: a quote inside a text is doubled, blanks at its ends stay, and
+# an empty text is null.
+CSV_TEXT = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
+            "multiLine": True}
+
 DERIVED_COLUMNS = ("day_of_week", "is_weekend", "hour", "month", "day")
 
 CLEAN_LEDGER = T.StructType([
@@ -33,6 +38,18 @@ CLEAN_LEDGER = T.StructType([
 ])
 CLEAN_COLUMNS = tuple(f.name for f in CLEAN_LEDGER.fields)
 
+
+def checked(df, schema: T.StructType, what: str):
+    """``df`` with the columns of ``schema`` in its order, if it has them all with
+    these types; otherwise a ValueError that names every difference."""
+    found = {f.name: f.dataType for f in df.schema.fields}
+    wrong = [f"{f.name}: {found[f.name].simpleString() if f.name in found else 'missing'}, "
+             f"expected {f.dataType.simpleString()}" for f in schema.fields if found.get(f.name) != f.dataType]
+    if wrong:
+        raise ValueError(f"{what} does not have the ledger's columns: " + "; ".join(wrong))
+    return df.select(*[f.name for f in schema.fields])
+
+
 LABELS = T.StructType([
     T.StructField("transaction_id", T.StringType(), False),
     T.StructField("is_anomaly", T.IntegerType(), False),
@@ -52,13 +69,15 @@ ML_SCORES = T.StructType([
     T.StructField("ml_flag", T.StringType(), True),
 ])
 
-# One row per forest node.  feature is null on leaves.
+# One row per forest node.  feature is null on leaves; category is the value that a
+# one-hot node tests, null on numeric nodes.
 FOREST_MODEL = T.StructType([
     T.StructField("tree", T.IntegerType(), False),
     T.StructField("node", T.LongType(), False),
     T.StructField("depth", T.IntegerType(), False),
     T.StructField("size", T.LongType(), False),
     T.StructField("feature", T.StringType(), True),
+    T.StructField("category", T.StringType(), True),
     T.StructField("split", T.DoubleType(), True),
     T.StructField("leaf_value", T.LongType(), True),
 ])

@@ -45,7 +45,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting names a shared file system folder and is only
-    read.  When it is unset (tests, a laptop) a private folder is created.
+    read.  When it is unset a private folder is created for a local master (tests,
+    a laptop); on any other master that is an error, as executors would write
+    what the driver and other executors cannot read.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -53,6 +55,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="ledgerscreen-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from ledgerscreen.schema import CSV_TEXT
+
 
 def write_table(df: DataFrame, path: str, view_name: str = "journal_entries",
                 partition_by: list[str] | None = None) -> DataFrame:
@@ -29,6 +31,6 @@ def write_export_csv(df: DataFrame, path: str) -> None:
     """The flat reviewer/dashboard export: CSV with a header, replace mode.
 
     Written by all tasks in parallel (one part file per partition); dates are
-    ISO text and null strings stay empty, as spreadsheet tools expect."""
-    (df.write.mode("overwrite").option("header", True)
-     .option("dateFormat", "yyyy-MM-dd").csv(path))
+    ISO text, null strings stay empty, quotes inside a text are doubled and blanks
+    at its ends stay, as spreadsheet tools and CSV readers expect."""
+    (df.write.mode("overwrite").options(header=True, dateFormat="yyyy-MM-dd", **CSV_TEXT).csv(path))

@@ -6,7 +6,7 @@ New raw ledger files arriving in a folder are typed and screened as they land:
   weekend, month-end late posting) run unchanged on every micro-batch;
 * the anomaly model is applied with a **stored** reference: the batch
   pipeline's vendor and account statistics (stream-static joins), its
-  category list, its forest, and its score range and contamination
+  forest, and its score range and contamination
   threshold.  A streamed row therefore gets exactly the score it would get
   in the batch run that built the reference.
 
@@ -21,11 +21,10 @@ from pyspark.sql import functions as F
 
 from ledgerscreen.functions.exprs import blend_score, risk_bucket
 from ledgerscreen.operators import clean as cl
-from ledgerscreen.operators import features as ft
 from ledgerscreen.operators import iforest
 from ledgerscreen.operators.rules import row_local_reasons
 from ledgerscreen.params import DEFAULT_PARAMS, SEVERITY, Params
-from ledgerscreen.schema import CLEAN_COLUMNS, RAW_LEDGER
+from ledgerscreen.schema import CLEAN_COLUMNS, CSV_TEXT, RAW_LEDGER
 
 STREAM_RULES = ("round_number", "off_hours_weekend", "month_end_late_hour_posting")
 
@@ -37,7 +36,7 @@ def read_raw_stream(spark: SparkSession, folder: str, fmt: str = "csv", schema=R
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     if fmt == "csv":
-        return r.option("header", True).csv(folder)
+        return r.options(header=True, enforceSchema=False, **CSV_TEXT).csv(folder)
     return r.format(fmt).load(folder)
 
 
@@ -77,14 +76,12 @@ def score_stream(screened: DataFrame, reference, p: Params = DEFAULT_PARAMS) ->
     """Score streamed rows with a batch pipeline's stored model and statistics.
 
     ``reference`` is a built ``Pipeline``; only its small stored tables are
-    used (vendor and account statistics, model, category list, score stats)."""
+    used (vendor and account statistics, model, score stats)."""
     vendor, account, total = reference_tables(reference)
     e = (screened.join(vendor, "vendor", "left").join(account, "account", "left")
          .crossJoin(F.broadcast(total)))        # one row
-    cats = reference.categories
-    names = ft.feature_names(cats)
     keep = [*CLEAN_COLUMNS, "n_tests_triggered", "tests_triggered", "reasons", "rule_severity"]
-    scored = iforest.score(e, ft.feature_columns(e, cats), names, reference.model, reference.n_rows, p, keep=keep)
+    scored = iforest.score(e, reference.model, reference.n_rows, p, keep=keep)
     ml = iforest.ml_columns(scored, reference.n_rows, p, reference.ml_stats)
     risk = blend_score(F.col("rule_severity"), F.col("ml_anomaly_score"), p)
     return ml.withColumn("risk_score", risk).withColumn("risk_level", risk_bucket(F.col("risk_score"), p))

@@ -107,3 +107,24 @@ def test_vendor_concentration_threshold(spark):
     risky = {x.vendor for x in vs if x.vendor is not None and x.s / total * 100 > 8.0}
     assert {row.vendor for row in r.collect()} == risky
     assert "Vendor concentration risk (>8.0% of total spend)" in {row.r_vendor_concentration for row in r.collect()}
+
+
+def test_typed_values_are_what_pandas_takes(spark):
+    """Each text alone and the columns against pandas itself."""
+    import pandas as pd
+    dates = ["2025-01-05", "2025-1-2", "2025-01-02 10:00:00", "2025", "10:30:00", "2025-02-30", "2025/01/02", " 2025-01-02 ",
+             "20250102", "2025-01", "2025-01-02Z", "0001-01-01", "9999-12-31", "1677-09-22", "2262-04-11", "", None]
+    amounts = ["12", " 12 ", "1e5", ".5", "5.", "12d", "12f", "0x10", "1,000", "inf", "-Infinity", "1_000", "+3", "--3", "",
+               "1e400", "1e"]
+    times = ["09:05:00", "9:05:00", "9:5:0", "24:00:00", "23:59:60", "10:59:61", " 10:00:00", "10:00:00 ", "10:00",
+             "1:2:3.5", "010:00:00", "10:60:00", "-1:00:00", "", None, "00:00:00", "x"]
+    rows = [(str(i), d, t, "a", "b", "c", a, "e", "f", "g") for i, (d, t, a) in enumerate(zip(dates, times, amounts))]
+    got = {r.transaction_id: r for r in cl.typed(make_raw(spark, rows)).collect()}
+    want_d = pd.to_datetime(pd.Series(dates), errors="coerce", format="%Y-%m-%d")
+    want_a = pd.to_numeric(pd.Series(amounts, dtype=object), errors="coerce")
+    want_h = pd.to_datetime(pd.Series(times), format="%H:%M:%S", errors="coerce").dt.hour
+    for i in range(len(rows)):
+        r = got[str(i)]
+        assert (None if pd.isna(want_d[i]) else want_d[i].date()) == r.date, dates[i]
+        assert (None if pd.isna(want_a[i]) else want_a[i]) == r.amount, amounts[i]
+        assert (None if pd.isna(want_h[i]) else int(want_h[i])) == r.hour, times[i]

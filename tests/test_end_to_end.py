@@ -48,7 +48,7 @@ def _rows(cols, recs):
 ORACLE = entry.oracle_sql()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(K.REGISTRY))
 def test_query_matches_oracle(spark, duck, name):
     df = entry.queries()[name](spark, SF_SMALL)
     s_cols, s_recs = df.columns, [tuple(r) for r in df.collect()]
@@ -118,3 +118,27 @@ def test_result_independent_of_partition_count(spark):
         assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_ranked_table_is_whole_and_ordered(spark):
+    rows = K.REGISTRY["risk_ranked"](spark, SF_SMALL).collect()
+    scores = [r.risk_score for r in rows]
+    assert len(rows) == K.pipeline(spark, SF_SMALL).n_rows and scores == sorted(scores, reverse=True)
+    assert all(r.risk_place == 1 + sum(s > r.risk_score for s in scores) for r in rows[::500])
+
+
+def test_result_orders(spark):
+    for name, col, down in (("benford_by_account", "max_deviation", True), ("benford_summary", "max_deviation", True),
+                            ("flags_per_txn_hist", "n_tests_triggered", False), ("dash_rule_counts", "n_flagged", False),
+                            ("dash_dept_spend", "total_spend", True)):
+        got = [r[col] for r in K.REGISTRY[name](spark, SF_SMALL).collect()]
+        assert got == sorted(got, reverse=down), name
+
+
+def test_checkpoint_folder_must_be_shared_on_a_cluster():
+    from types import SimpleNamespace
+    from ledgerscreen.session import checkpoint_dir
+    sc = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None)
+    spark = SimpleNamespace(sparkContext=sc, conf=SimpleNamespace(get=lambda k, d=None: None))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_dir(spark)

@@ -24,11 +24,27 @@ def test_severity_from_string(spark):
         assert math.isclose(got[k], v), (k, got[k], v)
 
 
-def test_blend_score_half_up_exact(spark):
-    # 0.5*0.55 + 0.5*0.1235 = 0.33675 -> 0.3368 (ties round up, exactly)
-    df = spark.createDataFrame([(0.55, 0.1235), (0.9, 0.0), (0.0, 0.0001), (0.4, 0.9999)], "s double, m double")
-    got = [r[0] for r in df.select(blend_score(F.col("s"), F.col("m"))).collect()]
-    assert got == [0.3368, 0.45, 0.0001, 0.7]
+def test_blend_score_rounds_as_numpy(spark):
+    import numpy as np
+    from ledgerscreen.params import SEVERITY
+    sev = [0.0, *SEVERITY.values()]
+    ml = [k / 10000 for k in range(0, 10001, 3)] + [0.1235, 0.2501, 0.4999]
+    df = spark.createDataFrame([(s, m) for s in sev for m in ml], "s double, m double")
+    rows = df.select("s", "m", blend_score(F.col("s"), F.col("m")).alias("b")).collect()
+    for r in rows:
+        assert r.b == np.round(0.5 * r.s + 0.5 * r.m, 4), r
+    ties = df.sparkSession.createDataFrame([(0.4, 0.4), (0.9, 0.5), (0.4, 0.4001), (0.9, 0.5001)], "s double, m double")
+    levels = [x[0] for x in ties.select(risk_bucket(blend_score(F.col("s"), F.col("m")))).collect()]
+    assert levels == ["Low" if b <= 0.4 else "Medium" if b <= 0.7 else "High"
+                      for b in (np.round(0.5 * s + 0.5 * m, 4) for s, m in ((0.4, 0.4), (0.9, 0.5), (0.4, 0.4001), (0.9, 0.5001)))]
+
+
+def test_round_ratio_is_pythons_round(spark):
+    from ledgerscreen.operators.benford import round_ratio
+    pairs = [(c, n) for n in (1, 3, 7, 16, 40, 80, 125, 400, 2000, 829) for c in range(0, n + 1, max(1, n // 97))]
+    df = spark.createDataFrame(pairs, "c long, n long")
+    for r in df.select("c", "n", round_ratio("c", "n", 3).alias("v")).collect():
+        assert r.v == round(r.c / r.n, 3), r
 
 
 def test_leading_digit_matches_python_text_rule(spark):
@@ -55,13 +71,13 @@ def test_benford_arithmetic(spark):
         assert abs(sum(r[f"digit_{d}_expected"] for d in range(1, 10)) - 1.0) < 0.01
 
 
-def test_categories_sorted_and_guarded(spark):
-    import pytest
-    from ledgerscreen.operators.features import categories
-    from ledgerscreen.params import Params
-    df = spark.createDataFrame([("b", "x", "Debit"), ("a", "y", None), ("b", "x", "Credit"), (None, "z", "Debit")],
+def test_feature_entries_are_the_non_zero_cells(spark):
+    from ledgerscreen.operators.features import NUMERIC, entries
+    df = spark.createDataFrame([("a", 9, False, 3, 2, 10.0, 100.0, 5.0, 2.5, "HR", "Misc. Fees", None)],
+                               "transaction_id string, hour int, is_weekend boolean, day int, vendor_n long, "
+                               "vendor_sum double, total_amount double, amount double, acct_median double, "
                                "department string, account string, entry_type string")
-    cats = categories(df)
-    assert cats == {"department": ["a", "b"], "account": ["x", "y", "z"], "entry_type": ["Credit", "Debit"]}
-    with pytest.raises(ValueError):
-        categories(df, Params(max_categories=2))
+    got = {r.feature: r.value for r in entries(df).collect()}
+    assert got == {"hour": 9.0, "day": 3.0, "vendor_frequency": 2.0, "vendor_spend_share": 0.1,
+                   "amount_vs_account_median": 2.0, "department_HR": 1.0, "account_Misc. Fees": 1.0}
+    assert set(NUMERIC) - set(got) == {"is_weekend"}

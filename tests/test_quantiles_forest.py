@@ -1,8 +1,9 @@
-"""Exact quantiles (window path vs distributed selection) and the forest."""
+"""Exact quantiles by rank selection, NTILE boundaries and the forest."""
 
 import math
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -26,26 +27,34 @@ def events(spark):
         F.col("event_type").alias("k"), F.col("value").alias("x"))
 
 
-def test_window_and_selection_paths_agree(spark, events):
+def test_group_quantiles(spark, events):
     probs = {"q1": 0.25, "med": 0.5, "q3": 0.75, "p05": 0.05}
     a = {r.k: r for r in group_quantiles(events, ["k"], "x", probs).collect()}
-    b = {r.k: r for r in group_quantiles(events, ["k"], "x", probs, force_selection=True).collect()}
-    pdf = events.toPandas()
-    for k, g in pdf.groupby("k"):
+    for k, g in events.toPandas().groupby("k"):
         for name, q in probs.items():
-            want = _spark_formula(g["x"].tolist(), q)
-            assert a[k][name] == want, (k, name)
-            assert b[k][name] == want, (k, name)
-        assert a[k].n == b[k].n == len(g)
+            assert a[k][name] == _spark_formula(g["x"].tolist(), q), (k, name)
+        assert a[k].n == len(g)
 
 
-def test_order_statistics_paths(spark, events):
+def test_quantiles_of_awkward_groups(spark):
+    inf = float("inf")
+    groups = {"one": [-5.0], "two": [3.0, -1.0], "three": [-2.0, -2.0, 7.0], "equal": [4.0] * 50,
+              "wide": [-1e308, 1e308, 0.0, 1e-300, -1e-300], "ends": [-inf, 1.0, 2.0, 3.0, inf],
+              "skew": [2.0 ** k for k in range(-200, 200)]}
+    df = spark.createDataFrame([(k, x) for k, v in groups.items() for x in v] + [("none", None), (None, 1.0)],
+                               "k string, x double")
+    got = {r.k: r for r in group_quantiles(df, ["k"], "x", {"q1": 0.25, "med": 0.5}).collect()}
+    assert set(got) == set(groups)
+    for k, v in groups.items():
+        assert got[k].med == _spark_formula(v, 0.5) and got[k].q1 == _spark_formula(v, 0.25), k
+
+
+def test_order_statistics_and_ranks_out_of_range(spark, events):
     vals = sorted(r.x for r in events.collect())
-    ranks = [0, 17, len(vals) // 2, len(vals) - 1]
-    fast = order_statistics(events, "x", ranks, n_rows=len(vals))
-    slow = order_statistics(events, "x", ranks, n_rows=len(vals), p=Params(exact_percentile_max_group=10))
-    for k in ranks:
-        assert fast[k] == vals[k] == slow[k]
+    ranks = [0, 17, len(vals) // 2, len(vals) - 1, len(vals), -1]
+    got = order_statistics(events, "x", ranks)
+    assert [got[k] for k in ranks[:4]] == [vals[k] for k in ranks[:4]]
+    assert got[len(vals)] is None and got[-1] is None
 
 
 def test_path_sums_match_scalar_walk():
@@ -56,18 +65,20 @@ def test_path_sums_match_scalar_walk():
 
     def build(t, node, d):
         if d == depth or rng.random() < 0.2:
-            rows.append(dict(tree=t, node=node, feature=None, split=None, leaf_value=int(rng.integers(0, 10**9))))
+            rows.append(dict(tree=t, node=node, feature=None, category=None, split=None, leaf_value=int(rng.integers(0, 10**9))))
             return
-        rows.append(dict(tree=t, node=node, feature=f"f{rng.integers(0, k)}", split=float(rng.random()),
-                         leaf_value=None))
+        name = f"f{rng.integers(0, k)}"
+        value = str(rng.integers(0, 3)) if name == "f3" else None      # f3 is a category
+        rows.append(dict(tree=t, node=node, feature=name, category=value, split=float(rng.random()), leaf_value=None))
         build(t, 2 * node, d + 1)
         build(t, 2 * node + 1, d + 1)
     for t in range(t_count):
         build(t, 1, 0)
     names = [f"f{i}" for i in range(k)]
-    arrs = ForestArrays(rows, names, t_count, depth)
-    x = rng.random((500, k))
-    got = path_sums(arrs, x)
+    arrs = ForestArrays(rows, names[:3], names[3:], t_count, depth)
+    cats = pd.Series([None if c == 3 else str(c) for c in rng.integers(0, 5, 500)])
+    numbers = rng.random((500, 3))
+    got = path_sums(arrs, arrs.matrix([pd.Series(numbers[:, j]) for j in range(3)] + [cats]))
     m = {(r["tree"], r["node"]): r for r in rows}
     for i in range(500):
         tot = 0
@@ -75,7 +86,9 @@ def test_path_sums_match_scalar_walk():
             nd = 1
             while m[(t, nd)]["feature"] is not None:
                 r = m[(t, nd)]
-                nd = 2 * nd if x[i, names.index(r["feature"])] < r["split"] else 2 * nd + 1
+                left = (numbers[i, names.index(r["feature"])] < r["split"] if r["category"] is None
+                        else cats[i] != r["category"])
+                nd = 2 * nd if left else 2 * nd + 1
             tot += m[(t, nd)]["leaf_value"]
         assert got[i] == tot
 
@@ -105,22 +118,53 @@ def test_forest_independent_of_partitioning_and_finds_outliers(spark):
     assert abs(flagged - 0.05 * n) <= 0.01 * n + 2
 
 
-def test_ntile_selection_path_equals_window_form(spark):
-    from ledgerscreen.operators import clean as cl
+def _je(spark, rows):
+    return spark.createDataFrame([(f"T{i}", a, x) for i, (a, x) in enumerate(rows)],
+                                 "transaction_id string, account string, amount double")
+
+
+def test_ntile_outliers_is_the_fourth_quarter(spark):
     from ledgerscreen.plans import sqlpack
-    from ledgerscreen.sources.ledger import ledger_from_events
-    je = cl.clean(ledger_from_events(spark, SF_SMALL))
-    fast = sorted(map(tuple, sqlpack.ntile_outliers(je).collect()))
-    dist = sorted(map(tuple, sqlpack.ntile_outliers(je, max_window_group=1).collect()))
-    assert fast and fast == dist
+    rows = [("one", -5.0), ("two", 1.0), ("two", 9.0), ("three", -1.0), ("three", -1.0), ("three", 50.0),
+            ("four", -8.0), ("four", -7.0), ("four", -6.0), ("four", -5.0), ("same", 2.0), ("same", 2.0), ("same", 2.0),
+            ("same", 2.0), (None, 100.0)] + [("many", float(k * k)) for k in range(1, 30)]
+    got = sorted(r.transaction_id for r in sqlpack.ntile_outliers(_je(spark, rows)).collect())
+    want = []
+    for acct in {a for a, _ in rows if a}:
+        v = sorted(x for a, x in rows if a == acct)
+        n = len(v)
+        tiles = [1 + min(i // (n // 4 + 1), n % 4) + max(0, i - (n % 4) * (n // 4 + 1)) // max(n // 4, 1)
+                 * (i >= (n % 4) * (n // 4 + 1)) for i in range(n)]
+        fourth = [x for x, t in zip(v, tiles) if t == 4]
+        if fourth:
+            want += [f"T{i}" for i, (a, x) in enumerate(rows) if a == acct and x > fourth[0] * 1.5]
+    assert got == sorted(want) and want
+
+
+def _frame(spark, n, accounts):
+    from ledgerscreen.operators.features import NUMERIC
+    return spark.range(n).selectExpr("concat('R', id) AS transaction_id", *[
+        f"double(pmod(hash(id, {k}), 50)) AS x_{c}" for k, c in enumerate(NUMERIC)],
+        "'HR' AS c_department", f"concat('Misc. Fees `', id % {accounts}, '`') AS c_account",
+        "CASE WHEN id % 3 = 0 THEN 'Debit' END AS c_entry_type")
+
+
+def test_any_number_and_spelling_of_categories(spark):
+    """A thousand accounts, with dots and back quotes in their names."""
+    from ledgerscreen.operators import iforest
+    rows = iforest.fit(_frame(spark, 3000, 1000), 3000, Params(n_trees=30)).collect()
+    tested = {r.category for r in rows if r.feature == "account"}
+    assert len(tested) > 100 and all(v.startswith("Misc. Fees `") for v in tested)
 
 
-def test_ml_threshold_selection_path_equals_window_path(spark):
+@pytest.mark.parametrize("n", [1, 5, 60, 79, 80, 81, 500])
+def test_one_sampling_law(spark, n):
+    """Every tree gets min(psi, N) rows of the pool, dealt circularly, on both sides of N = T * psi = 80."""
     from ledgerscreen.operators import iforest
-    from ledgerscreen.plans.pipeline import Pipeline
-    from ledgerscreen.sources.ledger import ledger_from_events
-    pl = Pipeline(spark, ledger_from_events(spark, SF_SMALL), p=Params(n_trees=10), name="thr")
-    scored = pl.scored_table
-    a = iforest.ml_stats(scored, pl.n_rows, Params(n_trees=10))
-    b = iforest.ml_stats(scored, pl.n_rows, Params(n_trees=10, exact_percentile_max_group=10))
-    assert a == b
+    p = Params(n_trees=10, max_samples=8)
+    got = iforest.sample(_frame(spark, n, 3), n, p).select("tree", "transaction_id").collect()
+    psi, pool = min(8, n), min(n, 80)
+    import hashlib
+    order = sorted((hashlib.md5(f"42:pool:R{i}".encode()).hexdigest(), f"R{i}") for i in range(n))[:pool]
+    want = sorted((s // psi, order[s % pool][1]) for s in range(10 * psi))
+    assert sorted((r.tree, r.transaction_id) for r in got) == want

@@ -28,6 +28,33 @@ def test_csv_roundtrip_and_table(spark):
     assert exp.first().date == "2025-01-02" and exp.count() == 1
 
 
+def test_csv_keeps_quotes_commas_blanks_and_order(spark):
+    import pytest
+    rows = [("A1", "2025-01-02", "09:00:00", "HR", "Rent", 'Smith, "Bob", Ltd', "1", "Debit", " U1 ", "two\nlines"),
+            ("A2", "2025-01-02", "09:00:00", None, "", '"', "2", "Debit", "\\", "x,y")]
+    d = tempfile.mkdtemp(prefix="ledgerscreen-csv-")
+    raw = make_raw(spark, rows)
+    sinks.write_export_csv(raw.select(*reversed(raw.columns)), os.path.join(d, "raw"))
+    back = ledger.load_raw_csv(spark, os.path.join(d, "raw"))
+    assert back.columns == raw.columns
+    assert sorted(map(tuple, back.collect()), key=str) == sorted(
+        [tuple(v or None for v in r) for r in rows], key=str)          # an empty text comes back as null
+    raw.drop("vendor").write.option("header", True).csv(os.path.join(d, "short"))
+    with pytest.raises(ValueError, match="vendor: missing"):
+        ledger.load_raw_csv(spark, os.path.join(d, "short"))
+
+
+def test_clean_table_is_checked_on_read(spark):
+    import pytest
+    d = tempfile.mkdtemp(prefix="ledgerscreen-check-")
+    je = cl.clean(make_raw(spark, ROWS))
+    je.write.parquet(os.path.join(d, "good"))
+    assert ledger.load_clean(spark, os.path.join(d, "good")).columns == je.columns
+    je.withColumn("hour", je.hour.cast("string")).write.parquet(os.path.join(d, "bad"))
+    with pytest.raises(ValueError, match="hour: string, expected int"):
+        ledger.load_clean(spark, os.path.join(d, "bad"))
+
+
 def test_pipeline_run_and_export_roundtrip(spark):
     from pyspark.sql import functions as F
     from conftest import SF_SMALL

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL
 from ledgerscreen.params import Params
 from ledgerscreen.plans.pipeline import Pipeline
+from ledgerscreen.schema import CSV_TEXT
 from ledgerscreen.sources.ledger import ledger_from_events
 from ledgerscreen.streaming.screen import read_raw_stream, score_stream, screen_rules
 
@@ -22,7 +23,7 @@ def test_stream_matches_batch(spark):
     as_text = ledger.select(*[F.col(c).cast("string").alias(c) for c in ledger.columns])
     halves = as_text.randomSplit([0.5, 0.5], seed=3)
     for i, part in enumerate(halves):
-        part.coalesce(1).write.option("header", True).csv(os.path.join(folder, f"drop{i}"))
+        part.coalesce(1).write.options(header=True, **CSV_TEXT).csv(os.path.join(folder, f"drop{i}"))
     src = os.path.join(folder, "incoming")
     os.makedirs(src)
     for i in range(2):
