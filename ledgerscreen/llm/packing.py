@@ -118,8 +118,9 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
     totals = ranged.groupBy("part").agg(F.sum("n_tokens").alias("total"))
     ahead = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)       # one row per range
     base = totals.select("part", F.coalesce(F.sum("total").over(ahead), F.lit(0)).alias("base"))
-    along = Window.partitionBy("part").orderBy("key", F.col("id").asc_nulls_first(), F.xxhash64("ids"))
-    laid = ranged.withColumn("before", F.sum("n_tokens").over(along) - F.col("n_tokens"))
+    along = (Window.partitionBy("part").orderBy("key", F.col("id").asc_nulls_first(), F.xxhash64("ids"))
+             .rowsBetween(Window.unboundedPreceding, -1))              # rows, as equal rows lie one after another
+    laid = ranged.withColumn("before", F.coalesce(F.sum("n_tokens").over(along), F.lit(0)))
     laid = laid.join(F.broadcast(base), "part").select(
         "id", "n_tokens", "width", "ids", (F.col("base") + F.col("before")).alias("at"))
     kind = laid.schema["id"].dataType.simpleString()

@@ -20,22 +20,9 @@ def test_edge_cases(spark, edge_docs, no_docs):
     assert minhash.near_duplicates(no_docs).count() == 0 and minhash.keep_one(no_docs).count() == 0
 
 
-def test_chains_and_large_groups_are_whole(spark):
-    """A chain whose ends share little, and near copies whose pairs are often below the limit."""
-    words = prose(9, 400).split()
-    chain = [(i, " ".join(words[12 * i:12 * i + 120])) for i in range(20)]
-    r = np.random.default_rng(3)
-    base = prose(10, 200).split()
-    group = []
-    for k in range(60):
-        w = list(base)
-        for at in r.choice(200, 4, replace=False):
-            w[at] = f"new{k}x{at}"
-        group.append((100 + k, " ".join(w)))
-    docs = spark.createDataFrame(chain + group, "doc_id long, text string")
-    got = {x["doc_id"]: x["component_id"] for x in minhash.near_duplicates(docs).collect()}
+def brute(docs):
     sets = {}
-    for i, t in chain + group:
+    for i, t in docs:
         w = t.lower().split()
         sets[i] = {tuple(w[k:k + 5]) for k in range(len(w) - 4)}
     root = {i: i for i in sets}
@@ -50,7 +37,54 @@ def test_chains_and_large_groups_are_whole(spark):
             if a < b and 100 * both >= 75 * (len(sets[a]) + len(sets[b]) - both):
                 x, y = sorted((find(a), find(b)))
                 root[y] = x
-    assert got == {i: find(i) for i in sets}
+    return {i: find(i) for i in sets}
+
+
+def test_chains_and_large_groups_are_whole(spark):
+    """A chain whose ends share little, and near copies whose pairs are often below the limit."""
+    words = prose(9, 400).split()
+    chain = [(i, " ".join(words[12 * i:12 * i + 120])) for i in range(20)]
+    r = np.random.default_rng(3)
+    base = prose(10, 200).split()
+    group = []
+    for k in range(60):
+        w = list(base)
+        for at in r.choice(200, 4, replace=False):
+            w[at] = f"new{k}x{at}"
+        group.append((100 + k, " ".join(w)))
+    docs = spark.createDataFrame(chain + group, "doc_id long, text string")
+    got = {x["doc_id"]: x["component_id"] for x in minhash.near_duplicates(docs).collect()}
+    assert got == brute(chain + group)
+
+
+def test_rows_that_share_an_id(spark):
+    a, b = prose(21, 60), prose(22, 60)
+    near = b + " more"
+    rows = [(1, a), (1, b), (2, near), (3, a), (4, near)]
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["component_id"]) for r in got) == [(1, 1), (1, 1), (2, 1), (3, 1), (4, 1)]
+
+
+def test_groups_with_groups_inside(spark):
+    """Copies of edited copies: members far from the first hub still find each other."""
+    r = np.random.default_rng(11)
+    base = prose(30, 150).split()
+    docs, n = [], 0
+    for branch in range(6):
+        w = list(base)
+        for at in r.choice(150, 8, replace=False):
+            w[at] = f"b{branch}x{at}"
+        for leaf in range(12):
+            v = list(w)
+            for at in r.choice(150, 3, replace=False):
+                v[at] = f"l{branch}x{leaf}x{at}"
+            if leaf % 4 == 0:
+                del v[10:14]
+            docs.append((n, " ".join(v)))
+            n += 1
+    got = {x["doc_id"]: x["component_id"] for x in
+           minhash.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == brute(docs) and len(set(got.values())) > 1
 
 
 def test_least_matches_never_prune_at_the_threshold():
