@@ -42,7 +42,7 @@ def main() -> None:
     stage("stage_ledger_clean", lambda: pl.clean)
     stage("stage_audit_rules", lambda: pl.ruled)
     stage("stage_iforest_fit", lambda: pl.model)
-    stage("stage_score_risk", lambda: pl.risk)
+    stage("stage_score_risk", lambda: pl.ml_stats)      # the scored table and its statistics; risk is a projection
     ev = K.pipeline(spark, sf_dir, "events")
     stage("stage_events_rules", lambda: ev.ruled)
 
