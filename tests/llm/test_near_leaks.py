@@ -43,11 +43,11 @@ def brute(docs):
 def test_chains_and_large_groups_are_whole(spark):
     """A chain whose ends share little, and near copies whose pairs are often below the limit."""
     words = prose(9, 400).split()
-    chain = [(i, " ".join(words[12 * i:12 * i + 120])) for i in range(20)]
+    chain = [(i, " ".join(words[12 * i:12 * i + 120])) for i in range(7)]
     r = np.random.default_rng(3)
     base = prose(10, 200).split()
     group = []
-    for k in range(60):
+    for k in range(30):
         w = list(base)
         for at in r.choice(200, 4, replace=False):
             w[at] = f"new{k}x{at}"
@@ -70,11 +70,11 @@ def test_groups_with_groups_inside(spark):
     r = np.random.default_rng(11)
     base = prose(30, 150).split()
     docs, n = [], 0
-    for branch in range(6):
+    for branch in range(3):
         w = list(base)
         for at in r.choice(150, 8, replace=False):
             w[at] = f"b{branch}x{at}"
-        for leaf in range(12):
+        for leaf in range(8):
             v = list(w)
             for at in r.choice(150, 3, replace=False):
                 v[at] = f"l{branch}x{leaf}x{at}"
