@@ -3,18 +3,22 @@
 1. A pass over the texts gives each its shingle set's size, a 128-bit set
    fingerprint and a MinHash signature.  Equal fingerprints are one class; only
    one representative per class goes on, so copies cost one row each.
-2. Representatives that agree in a band of the signature share a bucket.  In each
-   round every bucket names hubs (1, then 2, 4, ...) and pairs them with its
-   members of other components.  A hub leaves its bucket after its round, having
-   met all of them; a bucket goes when its members are one component.  So every
-   pair that shares a bucket is either compared or already connected, without
-   writing out all pairs of a large group, and no bucket is gathered in a task.
-3. A pair's signatures are compared in batches.  After each batch, with m of n
+2. Representatives that agree in a band of the signature share a bucket.  The pairs
+   of a bucket of at most ``few`` members are candidates.
+3. A larger bucket names one hub, the best connected document that a member shares
+   any bucket with, and only its pairs with the members are compared, on their full
+   sets: one row per member and band, not a row per pair.  That leaves the pairs of members that are
+   not both linked to the hub.  If two members share none of the shingles that the
+   hub lacks, their intersection is at most the smaller of their intersections with
+   the hub, and with the threshold that leaves few pairs; they become candidates.
+   Members that share such a shingle, with enough in common to reach the threshold,
+   form a new, smaller bucket, and step 2 or 3 handles it.  It ends when no hub
+   meets a new member; no link is lost and no large group is written out in pairs.
+4. The candidates' signatures are compared in batches.  After each batch, with m of n
    hashes equal and a uniform prior, the similarity has a Beta(m+1, n-m+1)
    posterior; the pair is pruned as soon as P(similarity >= threshold) is below
-   ``miss``.
-4. Survivors are verified on their full shingle sets, and the links' connected
-   components give the result.
+   ``miss``.  Survivors are verified on their full shingle sets.
+5. The links' connected components give the result.
 
 Defined cases: texts without words are linked with nothing; rows that share an
 id and differ in text are separate documents; a row without an id takes part and
@@ -24,6 +28,7 @@ is never dropped; an empty table gives an empty table.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +46,8 @@ class Scheme:
     percent: int = 75            # links: 100 * intersection >= percent * union
     bands: int = 40
     rows: int = 5                # a pair of similarity 0.75 shares no band with probability 2e-5
+    few: int = 8                 # buckets of so many members are compared pair by pair,
+    most: int = 512              # four times as many after each round (there are ever fewer), up to this
     batch: int = 40              # hashes compared between two looks at the posterior
     miss: float = 1e-6           # pruning threshold on the posterior
     slice_bytes: int = 2_000_000
@@ -77,6 +84,16 @@ def signatures(values: np.ndarray, counts: np.ndarray, scheme: Scheme) -> np.nda
     return np.ascontiguousarray(out.T)
 
 
+def fingerprints(values: np.ndarray, counts: np.ndarray, salt: int) -> np.ndarray:
+    """64 bits of each set, 0 for an empty one."""
+    out = np.zeros(len(counts), np.uint64)
+    full = counts > 0
+    if full.any():
+        out[full] = np.add.reduceat(mixed(values + np.uint64(salt)), starts_of(counts[full])[:-1])
+        out[full] = mixed(out[full] ^ counts[full].astype(np.uint64))
+    return out.view(np.int64)
+
+
 def described(docs: DataFrame, id_col: str, text_col: str, scheme: Scheme) -> DataFrame:
     """(id, n, s, s2, sig): set size, fingerprint halves and signature; the
     last three are null for an empty set."""
@@ -87,13 +104,7 @@ def described(docs: DataFrame, id_col: str, text_col: str, scheme: Scheme) -> Da
         for b in sliced(batches, "text", scheme.slice_bytes):
             counts, values = shingle_sets(array(b.column("text")), scheme.width)
             full = counts > 0
-            at = starts_of(counts[full])[:-1]
-            prints = []
-            for salt in (1, 2):
-                p = np.zeros(len(counts), np.uint64)
-                if len(at):
-                    p[full] = np.add.reduceat(mixed(values + np.uint64(salt)), at)
-                prints.append(pa.array(mixed(p ^ counts.astype(np.uint64)).view(np.int64), mask=~full))
+            prints = [pa.array(fingerprints(values, counts, salt), mask=~full) for salt in (1, 2)]
             rows = iter(signatures(values, counts, scheme))
             sig = pa.array([next(rows).tobytes() if f else None for f in full], pa.binary())
             yield pa.RecordBatch.from_arrays([array(b.column("id")), pa.array(counts), *prints, sig],
@@ -123,73 +134,114 @@ def not_pruned(pairs: DataFrame, sigs: DataFrame, scheme: Scheme) -> DataFrame:
     left = sigs.select(F.col("s").alias("a"), F.col("sig").alias("x"), F.col("n").alias("na"))
     right = sigs.select(F.col("s").alias("b"), F.col("sig").alias("y"), F.col("n").alias("nb"))
     fits = 100 * F.least("na", "nb") >= scheme.percent * F.greatest("na", "nb")     # sizes alone can rule a pair out
-    sized = pairs.join(left.select("a", "na"), "a").join(right.select("b", "nb"), "b").where(fits).select("a", "b")
-    return sized.join(left.drop("na"), "a").join(right.drop("nb"), "b").mapInArrow(run, "a long, b long")
-
+    return (pairs.join(left, "a").join(right, "b").where(fits).select("a", "b", "x", "y")
+            .mapInArrow(run, "a long, b long"))
 
-def verified(pairs: DataFrame, texts: DataFrame, scheme: Scheme) -> DataFrame:
-    """The pairs (a, b) whose full sets meet the threshold; ``texts`` has (s, text)."""
-    needed = pairs.select(F.col("a").alias("s")).union(pairs.select("b")).distinct()
 
+def shingle_table(texts: DataFrame, scheme: Scheme) -> DataFrame:
+    """(s, set) from (s, text): sorted u64 hashes.  Texts that are not the class's own
+    (their rows share its id) drop out."""
     def sets(batches):
         for b in sliced(batches, "text", scheme.slice_bytes):
             counts, values = shingle_sets(array(b.column("text")), scheme.width)
             at = starts_of(counts)
-            out = [values[lo:hi].tobytes() for lo, hi in zip(at, at[1:])]
-            yield pa.RecordBatch.from_arrays([array(b.column("s")), pa.array(out, pa.binary())], names=["s", "set"])
+            own = fingerprints(values, counts, 1) == b.column("s").to_numpy()
+            out = [values[lo:hi].tobytes() if k else None for lo, hi, k in zip(at, at[1:], own)]
+            both = pa.RecordBatch.from_arrays([array(b.column("s")), pa.array(out, pa.binary())], names=["s", "set"])
+            yield both.filter(pa.array(own))
 
-    full = written(texts.join(needed, "s", "left_semi").mapInArrow(sets, "s long, set binary"), "sets")
+    return texts.mapInArrow(sets, "s long, set binary").dropDuplicates(["s"])
 
+
+def compared(pairs: DataFrame, sets: DataFrame, with_rest: bool = True) -> DataFrame:
+    """(h, m) pairs to (h, m, nh, nm, both, rest): set sizes, size of the intersection
+    and the shingles of m that h lacks."""
     def run(batches):
         for b in batches:
-            ok = []
+            rows = []
             for x, y in zip(b.column("x"), b.column("y")):
                 p, q = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-                both = len(np.intersect1d(p, q, assume_unique=True))
-                ok.append(100 * both >= scheme.percent * (len(p) + len(q) - both))
-            keep = pa.array(ok, pa.bool_())
-            yield pa.RecordBatch.from_arrays([b.column("a").filter(keep), b.column("b").filter(keep)], names=["a", "b"])
-
-    left = full.select(F.col("s").alias("a"), F.col("set").alias("x"))
-    right = full.select(F.col("s").alias("b"), F.col("set").alias("y"))
-    return pairs.join(left, "a").join(right, "b").mapInArrow(run, "a long, b long")
-
-
-def links(sigs: DataFrame, texts: DataFrame, scheme: Scheme) -> DataFrame | None:
-    """Links (a, b) that connect all classes of similarity ``percent`` or more
-    (None: no bucket has two members)."""
+                at = np.minimum(np.searchsorted(p, q), len(p) - 1)
+                same = p[at] == q
+                rows.append((len(p), len(q), int(same.sum()), q[~same].view(np.int64) if with_rest else None))
+            cols = list(zip(*rows)) or [[]] * 4
+            yield pa.RecordBatch.from_arrays(
+                [b.column("h"), b.column("m"), *(pa.array(c, pa.int64()) for c in cols[:3]),
+                 pa.array(cols[3], pa.list_(pa.int64()))], names=["h", "m", "nh", "nm", "both", "rest"])
+
+    left = sets.select(F.col("s").alias("h"), F.col("set").alias("x"))
+    right = sets.select(F.col("s").alias("m"), F.col("set").alias("y"))
+    return (pairs.join(left, "h").join(right, "m").select("h", "m", "x", "y")
+            .mapInArrow(run, "h long, m long, nh long, nm long, both long, rest array<long>"))
+
+
+def links(sigs: DataFrame, texts: DataFrame, scheme: Scheme) -> DataFrame:
+    """Links (a, b) that connect all classes of similarity ``percent`` or more."""
     step = 4 * scheme.rows
-    band = F.explode(F.sequence(F.lit(0), F.lit(scheme.bands - 1))).alias("band")
-    parts = sigs.select("s", "sig", band)
+    parts = sigs.select("s", "sig", F.explode(F.sequence(F.lit(0), F.lit(scheme.bands - 1))).alias("band"))
     bucket = F.xxhash64("band", F.expr(f"substring(sig, band * {step} + 1, {step})")).alias("b")
-    members = parts.select("s", bucket)
-    shared = members.groupBy("b").agg(F.count("*").alias("c")).where("c > 1")
-    members = written(members.join(shared, "b", "left_semi"), "members")
-    found, labels, hubs = None, None, 1
+    every = parts.select("s", bucket)
+    shared = every.groupBy("b").agg(F.count("*").alias("c")).where("c > 1")
+    members = written(every.join(shared, "b").select("b", "s", "c"), "members")
+    needed = written(members.select("s").distinct(), "needed")
+    sets = written(shingle_table(texts.join(needed, "s", "left_semi"), scheme), "sets")
+    sigs = written(sigs.join(needed, "s", "left_semi"), "signatures")
+    linked = 100 * F.col("both") >= scheme.percent * (F.col("nh") + F.col("nm") - F.col("both"))
+    # the largest set that a member can link with, if they share nothing but the hub's shingles
+    room = F.floor((100 + scheme.percent) * F.col("both") / scheme.percent) - F.col("nm")
+    few = scheme.few
+    found, near, done = [], [_pairs_of(members, few)], None
+    members = members.where(F.col("c") > few)
     while not members.isEmpty():
-        if labels is None:
-            state = members.withColumn("label", F.col("s"))
-        else:
-            state = (members.join(labels.withColumnRenamed("node", "s"), "s", "left")
-                     .select("b", "s", F.coalesce("label", "s").alias("label")))
-            open_ = (state.groupBy("b").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
-                     .where("lo <> hi").select("b"))
-            state = written(state.join(open_, "b", "left_semi"), "members")
-        rank = F.xxhash64(F.lit(hubs), "s")
-        hub = state.groupBy("b", F.pmod(rank, F.lit(hubs)).alias("part")).agg(
-            F.min(F.struct(rank.alias("r"), "s", "label")).alias("hub"))
-        hub = written(hub.select("b", F.col("hub.s").alias("h"), F.col("hub.label").alias("hl")), "hubs")
-        pairs = (state.join(hub, "b").where("label <> hl")
-                 .select(F.least("s", "h").alias("a"), F.greatest("s", "h").alias("b")).distinct())
-        passed = written(not_pruned(written(pairs, "pairs"), sigs, scheme), "passed")
-        new = written(verified(passed, texts, scheme), "found")
-        members = written(state.select("b", "s").join(hub.select("b", F.col("h").alias("s")), ["b", "s"], "left_anti"),
+        reach = members.groupBy("s").agg(F.sum("c").alias("reach"))
+        # the best connected member of a bucket; of the buckets a member is in; of the members of a bucket
+        top = members.join(reach, "s").groupBy("b").agg(F.max(F.struct("reach", "s")).alias("top"))
+        best = members.join(top, "b").groupBy("s").agg(F.max("top").alias("best"))
+        hubs = members.join(best, "s").groupBy("b").agg(F.max("best").alias("hub")).select("b", F.col("hub.s").alias("h"))
+        pairs = written(members.join(hubs, "b").where("s <> h").select("h", F.col("s").alias("m")).distinct(), "pairs")
+        if done is not None:                     # hubs that met all of these members before tell nothing new
+            fresh = pairs.join(done, ["h", "m"], "left_anti").select("h").distinct()
+            pairs = written(pairs.join(fresh, "h", "left_semi"), "pairs")
+            if pairs.isEmpty():
+                break
+        done = pairs if done is None else written(done.union(pairs).distinct(), "done")
+        group = written(compared(pairs, sets).withColumn("linked", linked).withColumn("room", room), "compared")
+        found.append(group.where("linked").select(F.col("h").alias("a"), F.col("m").alias("b")))
+        open_ = (group.groupBy("h").agg(F.max(~F.col("linked")).alias("open"), F.min("nm").alias("least"),
+                                        F.max(F.when(~F.col("linked"), F.col("room"))).alias("most")).where("open"))
+        rows = group.join(open_, "h")
+        outer = rows.where("NOT linked AND room >= least").select("h", F.col("m").alias("a"), F.col("nm").alias("na"),
+                                                                  F.col("room").alias("ra"))
+        inner = rows.where("nm <= most").select("h", F.col("m").alias("b"), "nm", "room", "linked")
+        near.append(written(outer.join(inner, "h").where("nm <= ra AND na <= room AND (linked OR a < b) AND a <> b")
+                            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "near"))
+        # a member can link only if what it shares with the hub and with any other member is enough
+        rest = rows.select("h", "m", "nm", "both", (~F.col("linked")).alias("open"), F.explode("rest").alias("g"))
+        common = rest.groupBy("h", "g").agg(F.count("*").alias("c")).where("c > 1").drop("c")
+        held = rest.join(common, ["h", "g"], "left_semi")
+        able = (held.groupBy("h", "m", "nm", "both").agg(F.count("*").alias("r"))
+                .where(100 * (F.col("both") + F.col("r")) >= scheme.percent * F.col("nm")).select("h", "m"))
+        rest = written(held.join(able, ["h", "m"], "left_semi").select("h", "m", "g", "open"), "rest")
+        crowd = (rest.groupBy("h", "g").agg(F.count("*").alias("c"), F.max("open").alias("open"),
+                                            F.sum(F.xxhash64("m").cast("decimal(38,0)")).alias("who")).where("c > 1 AND open"))
+        one = crowd.groupBy("h", "c", "who").agg(F.min("g").alias("g"))         # equal groups once
+        members = written(rest.join(one, ["h", "g"]).select(F.xxhash64("h", "g").alias("b"), F.col("m").alias("s"), "c"),
                           "members")
-        if not new.isEmpty():
-            found = new if found is None else found.unionByName(new)
-            labels = components(found)
-        hubs *= 2
-    return found
+        few = min(4 * few, scheme.most)
+        near.append(_pairs_of(members, few))
+        members = members.where(F.col("c") > few)
+    close = written(reduce(DataFrame.union, near).distinct(), "close")
+    passed = not_pruned(close, sigs, scheme).select(F.col("a").alias("h"), F.col("b").alias("m"))
+    verified = compared(passed, sets, with_rest=False).where(linked)
+    found.append(verified.select(F.col("h").alias("a"), F.col("m").alias("b")))
+    return written(reduce(DataFrame.union, found), "found")
+
+
+def _pairs_of(members: DataFrame, few: int) -> DataFrame:
+    """The pairs (a, b) of the buckets of at most ``few`` members."""
+    small = members.where(F.col("c") <= few)
+    return written(small.select("b", F.col("s").alias("a")).join(small.select("b", F.col("s").alias("z")), "b")
+                   .where("a < z").select("a", F.col("z").alias("b")).distinct(), "near")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -205,15 +257,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                    .select("s", "n", "sig").dropDuplicates(["s"]), "signatures")
     keyed = docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text"))
     texts = keyed.join(first, "id").select("s", "text")
-    found = links(sigs, texts, scheme)
-    reach = classes.select("s", "least")
-    if found is not None:
-        labels = components(found).withColumnRenamed("node", "s")
-        labelled = reach.join(labels, "s", "left").select("s", "least", F.coalesce("label", "s").alias("label"))
-        least = labelled.groupBy("label").agg(F.min("least").alias("component_id"))
-        reach = written(labelled.join(least, "label").select("s", "component_id"), "reach")
-    else:
-        reach = reach.withColumnRenamed("least", "component_id")
+    labels = components(links(sigs, texts, scheme)).withColumnRenamed("node", "s")
+    labelled = classes.select("s", "least").join(labels, "s", "left").select(
+        "s", "least", F.coalesce("label", "s").alias("label"))
+    least = labelled.groupBy("label").agg(F.min("least").alias("component_id"))
+    reach = written(labelled.join(least, "label").select("s", "component_id"), "reach")
     out = rows.select("id", "n", "s").join(reach, "s", "left")
     component = F.coalesce("component_id", "id")
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"),
