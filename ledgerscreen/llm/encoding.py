@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from ledgerscreen.llm.common import starts_of
 
 #: Distinct pieces remembered per Python process.
-MEMORY = 200_000
+MEMORY = 800_000
 
 _OTHER, _SPACE, _WORD, _MARK, _HIGH = range(5)
 _KIND = np.full(256, _OTHER, np.uint8)
@@ -41,7 +41,10 @@ class Encoder:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
+        # the pieces seen before, and their ids end to end
+        self.words = pa.array([], pa.string())
+        self.begin = np.zeros(1, np.int64)
+        self.table = np.empty(0, np.uint32)
 
     def _pieces(self, texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
         full = pa.concat_arrays([pc.fill_null(texts, "")])
@@ -76,26 +79,29 @@ class Encoder:
         if len(pieces) == 0:
             return np.zeros(len(counts), np.int64), np.empty(0, np.uint32)
         coded = pieces.dictionary_encode()
-        which = coded.indices.to_numpy(zero_copy_only=False)
-        names = coded.dictionary.to_pylist()
-        known = self.known
-        ids = [known.get(x) for x in names]
-        missing = [k for k, x in enumerate(ids) if x is None]
-        if missing:
-            got = self.tokenizer.encode_batch_fast([names[k] for k in missing], add_special_tokens=False)
-            for k, e in zip(missing, got):
-                ids[k] = array('I', e.ids).tobytes()
-            if len(known) + len(missing) > MEMORY:
-                known.clear()
-            known.update((names[k], ids[k]) for k in missing[:MEMORY])
-        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        table = np.frombuffer(b"".join(ids), np.uint32)
-        begin = starts_of(size)
-        each = size[which]
+        which, names = coded.indices.to_numpy(zero_copy_only=False), coded.dictionary
+        place = pc.fill_null(pc.index_in(names, value_set=self.words), -1).to_numpy().astype(np.int64)
+        missing = np.flatnonzero(place < 0)
+        unseen = names.take(pa.array(missing))
+        more, size = array("I"), []
+        for e in self.tokenizer.encode_batch_fast(unseen.to_pylist(), add_special_tokens=False):
+            ids = e.ids
+            more.extend(ids)
+            size.append(len(ids))
+        begin = np.append(self.begin, self.begin[-1] + np.cumsum(np.array(size, np.int64)))
+        table = np.concatenate([self.table, np.frombuffer(more, np.uint32)]) if size else self.table
+        place[missing] = len(self.words) + np.arange(len(missing))
+        length = np.diff(begin)[place]
+        each = length[which]
         total = starts_of(each)
-        flat = table[np.arange(total[-1]) - np.repeat(total[:-1] - begin[which], each)]
-        piece_start = starts_of(counts)
-        return np.diff(total[piece_start]), flat
+        flat = table[np.arange(total[-1]) - np.repeat(total[:-1] - begin[place][which], each)]
+        if len(begin) <= MEMORY:
+            self.words, self.begin, self.table = pa.concat_arrays([self.words, unseen]), begin, table
+        else:                                    # full: start anew with the pieces of this slice
+            at = starts_of(length)
+            self.table = table[np.arange(at[-1]) - np.repeat(at[:-1] - begin[place], length)]
+            self.words, self.begin = names, at
+        return np.diff(total[starts_of(counts)]), flat
 
 
 def encoder(path: str) -> Encoder:
