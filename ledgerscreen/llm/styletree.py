@@ -120,6 +120,7 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     score = w.weight * F.col("importance") + (1 - w.weight) * F.col("prior")
     gone = (each.where("prior > 0").join(low, ["host", "path", "words", "parent"]).where(score < w.limit)
             .groupBy("row").agg(F.collect_set("at").alias("gone")))
+    gone = written(gone, "gone")         # its size is then known: while it is small, the texts are not shuffled
     # a block that the tree tells nothing about has importance 1
     limit = F.lit((w.limit - w.weight) / (1 - w.weight))
     joined = tree.join(gone, "row", "left").withColumn("gone", F.coalesce("gone", F.array().cast("array<int>")))
