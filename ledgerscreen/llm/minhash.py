@@ -12,8 +12,10 @@
    hub lacks, their intersection is at most the smaller of their intersections with
    the hub, and with the threshold that leaves few pairs; they become candidates.
    Members that share such a shingle, with enough in common to reach the threshold,
-   form a new, smaller bucket, and step 2 or 3 handles it.  It ends when no hub
-   meets a new member; no link is lost and no large group is written out in pairs.
+   form a new bucket without the hub, and step 2 or 3 handles it with a hub of its own
+   members.  Pairs linked to the hub both are not needed, so a bucket with ``few``
+   members that are not is written out.  It ends when every bucket is; no link is lost and no large group
+   is written out in pairs.
 4. The candidates' signatures are compared in batches.  After each batch, with m of n
    hashes equal and a uniform prior, the similarity has a Beta(m+1, n-m+1)
    posterior; the pair is pruned as soon as P(similarity >= threshold) is below
@@ -34,6 +36,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ledgerscreen.llm.common import array, sliced, starts_of, written
 from ledgerscreen.llm.components import components
@@ -190,21 +193,21 @@ def links(sigs: DataFrame, texts: DataFrame, scheme: Scheme) -> DataFrame:
     # the largest set that a member can link with, if they share nothing but the hub's shingles
     room = F.floor((100 + scheme.percent) * F.col("both") / scheme.percent) - F.col("nm")
     few = scheme.few
-    found, near, done = [], [_pairs_of(members, few)], None
+    found, near, first = [], [_pairs_of(members, few)], True
     members = members.where(F.col("c") > few)
+    # one order for all rounds: a hub stands above all of its members, so the topmost member
+    # of the buckets it leaves is lower each round and the loop ends with no bucket given up
+    order = written(members.groupBy("s").agg(F.sum("c").alias("reach")), "order")
     while not members.isEmpty():
-        reach = members.groupBy("s").agg(F.sum("c").alias("reach"))
-        # the best connected member of a bucket; of the buckets a member is in; of the members of a bucket
-        top = members.join(reach, "s").groupBy("b").agg(F.max(F.struct("reach", "s")).alias("top"))
-        best = members.join(top, "b").groupBy("s").agg(F.max("top").alias("best"))
-        hubs = members.join(best, "s").groupBy("b").agg(F.max("best").alias("hub")).select("b", F.col("hub.s").alias("h"))
+        ranked = members.join(order, "s")
+        # the topmost member of a bucket; at first, of all buckets that its members are in
+        hubs = ranked.groupBy("b").agg(F.max(F.struct("reach", "s")).alias("top"))
+        if first:
+            best = members.join(hubs, "b").groupBy("s").agg(F.max("top").alias("best"))
+            hubs = members.join(best, "s").groupBy("b").agg(F.max("best").alias("top"))
+        hubs = hubs.select("b", F.col("top.s").alias("h"))
+        first = False
         pairs = written(members.join(hubs, "b").where("s <> h").select("h", F.col("s").alias("m")).distinct(), "pairs")
-        if done is not None:                     # hubs that met all of these members before tell nothing new
-            fresh = pairs.join(done, ["h", "m"], "left_anti").select("h").distinct()
-            pairs = written(pairs.join(fresh, "h", "left_semi"), "pairs")
-            if pairs.isEmpty():
-                break
-        done = pairs if done is None else written(done.union(pairs).distinct(), "done")
         group = written(compared(pairs, sets).withColumn("linked", linked).withColumn("room", room), "compared")
         found.append(group.where("linked").select(F.col("h").alias("a"), F.col("m").alias("b")))
         open_ = (group.groupBy("h").agg(F.max(~F.col("linked")).alias("open"), F.min("nm").alias("least"),
@@ -215,21 +218,29 @@ def links(sigs: DataFrame, texts: DataFrame, scheme: Scheme) -> DataFrame:
         inner = rows.where("nm <= most").select("h", F.col("m").alias("b"), "nm", "room", "linked")
         near.append(written(outer.join(inner, "h").where("nm <= ra AND na <= room AND (linked OR a < b) AND a <> b")
                             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "near"))
-        # a member can link only if what it shares with the hub and with any other member is enough
-        rest = rows.select("h", "m", "nm", "both", (~F.col("linked")).alias("open"), F.explode("rest").alias("g"))
-        common = rest.groupBy("h", "g").agg(F.count("*").alias("c")).where("c > 1").drop("c")
-        held = rest.join(common, ["h", "g"], "left_semi")
-        able = (held.groupBy("h", "m", "nm", "both").agg(F.count("*").alias("r"))
-                .where(100 * (F.col("both") + F.col("r")) >= scheme.percent * F.col("nm")).select("h", "m"))
-        rest = written(held.join(able, ["h", "m"], "left_semi").select("h", "m", "g", "open"), "rest")
-        crowd = (rest.groupBy("h", "g").agg(F.count("*").alias("c"), F.max("open").alias("open"),
-                                            F.sum(F.xxhash64("m").cast("decimal(38,0)")).alias("who")).where("c > 1 AND open"))
-        one = crowd.groupBy("h", "c", "who").agg(F.min("g").alias("g"))         # equal groups once
-        members = written(rest.join(one, ["h", "g"]).select(F.xxhash64("h", "g").alias("b"), F.col("m").alias("s"), "c"),
-                          "members")
+        # common shingles two linking members must have beside the hub's, by what each has of the hub's; of those
+        # of a member, rarest first, as many are left out as cannot hold the first common one
+        need = F.ceil(scheme.percent * F.col("nm") / 100) - F.col("both")
+        least = group.where("NOT linked").groupBy("h").agg(F.min(need).alias("k_open"))
+        rest = (rows.join(least, "h").withColumn("k", F.greatest(need, F.lit(1), F.when(F.col("linked"), F.col("k_open"))))
+                .select("h", "m", "k", (~F.col("linked")).alias("open"), F.explode("rest").alias("g")))
+        common = rest.groupBy("h", "g").agg(F.count("*").alias("c")).where("c > 1")
+        own = Window.partitionBy("h", "m")                                      # the shingles of one document
+        rest = written(rest.join(common, ["h", "g"]).withColumn("at", F.row_number().over(own.orderBy("c", "g")))
+                       .withColumn("r", F.count("*").over(own)).where("at <= r - k + 1").select("h", "m", "g", "open"), "rest")
+        crowd = (rest.groupBy("h", "g").agg(F.count("*").alias("c"), F.sum(F.col("open").cast("long")).alias("o"),
+                                            F.sum(F.xxhash64("m").cast("decimal(38,0)")).alias("who")).where("c > 1 AND o > 0"))
+        one = crowd.groupBy("h", "c", "o", "who").agg(F.min("g").alias("g"))    # equal groups once
+        members = written(rest.join(one, ["h", "g"]).select(F.xxhash64("h", "g").alias("b"), F.col("m").alias("s"), "c",
+                                                            "o", "open"), "members")
         few = min(4 * few, scheme.most)
-        near.append(_pairs_of(members, few))
-        members = members.where(F.col("c") > few)
+        small = members.where((F.col("c") <= few) | (F.col("o") <= scheme.few))
+        near.append(_pairs_of(small.where("c <= o"), few).union(written(
+            small.where("c > o AND open").select("b", F.col("s").alias("a"))
+            .join(small.where("c > o").select("b", F.col("s").alias("z"), "open"), "b")
+            .where("a <> z AND (NOT open OR a < z)").select(F.least("a", "z").alias("a"), F.greatest("a", "z").alias("b"))
+            .distinct(), "near")))
+        members = members.where((F.col("c") > few) & (F.col("o") > scheme.few)).select("b", "s", "c")
     close = written(reduce(DataFrame.union, near).distinct(), "close")
     passed = not_pruned(close, sigs, scheme).select(F.col("a").alias("h"), F.col("b").alias("m"))
     verified = compared(passed, sets, with_rest=False).where(linked)

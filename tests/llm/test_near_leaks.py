@@ -1,9 +1,11 @@
 """MinHash near-dedup and template decontamination."""
 
 import numpy as np
+import pyarrow as pa
 
 from ledgerscreen.llm import minhash, templates
 from ledgerscreen.llm.components import components
+from ledgerscreen.llm.shingles import shingle_sets
 from tests.llm.conftest import prose
 
 
@@ -87,6 +89,34 @@ def test_groups_with_groups_inside(spark):
     assert got == brute(docs) and len(set(got.values())) > 1
 
 
+def test_no_large_bucket_is_given_up(spark):
+    """Linked documents that share a band end in one component, also when their hub heads their bucket twice."""
+    r = np.random.default_rng(193)
+    bases = [prose(193, 100).split()]
+    edited = []
+    for name, n, most in (("g", 5, 5), ("l", 29, 4)):
+        for k in range(n):
+            w = list(bases[r.integers(len(bases))])
+            for at in r.choice(100, r.integers(1, most), replace=False):
+                w[at] = f"{name}{k}x{at}"
+            (bases if name == "g" else edited).append(w)
+    docs = [(k, " ".join(w)) for k, w in enumerate(edited)]
+    scheme = minhash.Scheme(bands=8, few=2, most=2)
+    counts, values = shingle_sets(pa.array([t for _, t in docs]), scheme.width)
+    bands = minhash.signatures(values, counts, scheme).reshape(len(docs), scheme.bands, scheme.rows)
+    cut = np.split(values, np.cumsum(counts)[:-1])
+    got = {x["doc_id"]: x["component_id"] for x in minhash.near_duplicates(
+        spark.createDataFrame(docs, "doc_id long, text string").coalesce(1), scheme=scheme).collect()}
+    linked = 0
+    for a in range(len(docs)):
+        for b in range(a):
+            both = len(np.intersect1d(cut[a], cut[b]))
+            if (bands[a] == bands[b]).all(axis=1).any() and 100 * both >= 75 * (counts[a] + counts[b] - both):
+                linked += 1
+                assert got[a] == got[b], (a, b)
+    assert linked == 14
+
+
 def test_least_matches_never_prune_at_the_threshold():
     s = minhash.Scheme()
     r = np.random.default_rng(1)
