@@ -11,7 +11,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerscreen.llm import hpylm, langid, lines, minhash, packing, records, repetition, styletree, templates, transcripts
+from ledgerscreen.llm import (curriculum, divergence, hpylm, langid, lines, minhash, packing, records, repetition, styletree,
+                              templates, transcripts)
 from ledgerscreen.llm.common import fresh_path, small_batches
 
 QUERIES: dict = {}
@@ -252,3 +253,85 @@ def op10_hmm_transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return hpylm.score(docs, langid.in_fold(F.col("doc_id"), 7, 2))
+
+
+@query
+def op12_level_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+_A = divergence.Audit()
+
+
+def _rate_sql(count: str, total: str) -> str:
+    return (f"CAST(CASE WHEN v = 0 THEN 0 ELSE 1 + ({_A.scale}::HUGEINT * ({count} + {_A.prior})) "
+            f"// ({total} + {_A.prior} * v) END AS BIGINT)")
+
+
+ORACLE["op12_level_products"] = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS i, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+w AS (SELECT i, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS n FROM w GROUP BY lang, term HAVING count(DISTINCT i) >= {_A.least_documents}),
+cell AS (SELECT lang, source, term, count(*) AS n FROM w SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+lang AS (SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang),
+grp AS (
+  SELECT lang, source, coalesce(v, 0) AS v, coalesce(lang.total, 0) AS lang_total, coalesce(c.total, 0) AS total
+  FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN lang USING (lang)
+  LEFT JOIN (SELECT lang, source, sum(n) AS total FROM cell GROUP BY ALL) c USING (lang, source)),
+rate AS (   -- every group with every kept term of its language
+  SELECT grp.lang, grp.source, term, coalesce(cell.n, 0) AS n, {_rate_sql("coalesce(cell.n, 0)", "total")} AS p,
+         {_rate_sql("kept.n", "lang_total")} AS q
+  FROM grp JOIN kept USING (lang) LEFT JOIN cell USING (lang, source, term)),
+pair AS (
+  SELECT x.lang, x.source, y.source AS item, coalesce(value, 0) AS value
+  FROM grp x JOIN grp y ON x.lang = y.lang AND x.source <> y.source
+  LEFT JOIN (SELECT a.lang, a.source, b.source AS other, CAST(sum(abs(a.p - b.p)) AS BIGINT) AS value
+             FROM rate a JOIN rate b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL) s
+    ON s.lang = x.lang AND s.source = x.source AND s.other = y.source),
+ranked AS (
+  SELECT lang, source, 'pair' AS part, item, CAST(value AS BIGINT) AS value FROM pair
+  UNION ALL SELECT lang, source, 'term', term, p - q FROM rate WHERE n > 0 AND p > q)
+SELECT * FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+  FROM ranked) WHERE part = 'pair' OR rank <= {_A.top}
+"""
+
+
+@query
+def op13_curriculum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = curriculum.mixture(table(spark, sf_dir, "documents"))
+    return mixed.select(F.col("id").alias("doc_id"), "source", "size", "source_size", "target", "taken", "epochs")
+
+
+_X = curriculum.Mix()
+_CAPPED = f"{_X.most} * source_size <= weight * level"
+# the excess of one round after another; place and the words before it are as the operator defines them
+ORACLE["op13_curriculum"] = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, source, md5('{_X.seed}' || coalesce(':' || CAST(doc_id AS VARCHAR), '')) AS place,
+         CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents),
+s AS (
+  SELECT source, sum(size) AS source_size,
+         [{', '.join(map(str, _X.weights))}][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(_X.weights)}]::DOUBLE
+           AS weight FROM d GROUP BY source),
+round(k, level) AS (
+  SELECT 0, 0.0::DOUBLE
+  UNION ALL
+  SELECT k + 1, coalesce((SELECT CAST({_X.share} * sum(source_size) - coalesce(sum({_X.most} * source_size) FILTER ({_CAPPED}), 0)
+                          AS DOUBLE) / sum(weight) FILTER (NOT ({_CAPPED})) FROM s), level)
+  FROM round WHERE k <= (SELECT count(*) FROM s)),
+t AS (
+  SELECT s.*, CASE WHEN {_CAPPED} THEN CAST({_X.most} * source_size AS DOUBLE) ELSE weight * level END AS target
+  FROM s, (SELECT max(level) AS level FROM round)),
+p AS (
+  SELECT d.*, source_size, target, coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY place, doc_id, size
+           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+  FROM d JOIN t ON t.source IS NOT DISTINCT FROM d.source),
+o AS (
+  SELECT *, [greatest(least(CAST(floor(target) AS BIGINT) - before - e * source_size, size), 0) FOR e IN range({_X.most})] AS words
+  FROM p)
+SELECT doc_id, source, size, CAST(source_size AS BIGINT) AS source_size, target, CAST(list_sum(words) AS BIGINT) AS taken,
+       CAST(len(list_filter(words, lambda x: x > 0)) AS BIGINT) AS epochs FROM o
+"""
