@@ -11,8 +11,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerscreen.llm import (curriculum, divergence, hpylm, langid, lines, minhash, packing, records, repetition, styletree,
-                              templates, transcripts)
+from ledgerscreen.llm import (curriculum, divergence, hpylm, langid, lines, minhash, packing, records, repair, repetition,
+                              styletree, templates, transcripts, transfer)
 from ledgerscreen.llm.common import fresh_path, small_batches
 
 QUERIES: dict = {}
@@ -335,3 +335,112 @@ o AS (
 SELECT doc_id, source, size, CAST(source_size AS BIGINT) AS source_size, target, CAST(list_sum(words) AS BIGINT) AS taken,
        CAST(len(list_filter(words, lambda x: x > 0)) AS BIGINT) AS epochs FROM o
 """
+
+
+def damaged(conversations: DataFrame) -> DataFrame:
+    """The faults that op11 repairs, dealt out by a checksum of conversation and turn."""
+    blank = F.lit(" ")
+    role, text = F.coalesce("role", blank), F.coalesce("text", blank)
+    deal = F.crc32(F.concat(F.coalesce(F.col("conv_id").cast("string"), blank), F.lit(":"),
+                            F.coalesce(F.col("turn").cast("string"), blank))) % 20
+    rows = conversations.select("conv_id", "turn", role.alias("role"), text.alias("text"), deal.alias("deal")).where("deal <> 0")
+    text = F.when(F.col("deal") == 1, "").when(F.col("deal") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    return rows.select("conv_id", "turn", F.when(F.col("deal") == 4, "user").otherwise(F.col("role")).alias("role"), text.alias("text"),
+                       F.explode(F.sequence(F.lit(1), F.when(F.col("deal") == 3, 2).otherwise(1))).alias("copy")).drop("copy")
+
+
+@query
+def op11_grammar_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    kind = given.schema["conv_id"].dataType.simpleString()
+    found = repair.repair(damaged(given))
+    line = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("number", "audit"))), lambda x: x["audit"]), "")
+    audits = found.audits.groupBy(F.col("conv").alias("_a")).agg(line.alias("audit"))
+    shas = repair.digests(found.turns, kind).withColumnsRenamed({"conv": "_s", "sha256": "repaired_sha256"})
+    out = (given.select("conv_id").distinct()
+           .join(found.summary, F.col("conv_id").eqNullSafe(F.col("conv")), "left")
+           .join(audits, F.col("conv_id").eqNullSafe(F.col("_a")), "left")
+           .join(shas, F.col("conv_id").eqNullSafe(F.col("_s")), "left"))
+    numbers = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return out.select("conv_id", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in numbers],
+                      F.coalesce("audit", F.lit("")).alias("audit"),
+                      F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
+def _repair_sql() -> str:
+    """One step per turn over the four states of a repaired conversation: nothing yet, after system, user, assistant."""
+    def least(options: list[tuple[str, str, str, str]]) -> str:
+        """(state, cost, edits, condition) candidates for one state."""
+        each = [f"CASE WHEN {state} IS NOT NULL AND {when} THEN {{'c': {state}.c + {cost}, 'a': {state}.a || '{edits}'}} END"
+                for state, cost, edits, when in options]
+        return f"list_min(list_filter([{', '.join(each)}], lambda x: x IS NOT NULL))"
+
+    # insertions before the turn
+    opened = {0: [("s0", "0", "", "true")], 1: [("s1", "0", "", "true")],
+              2: [("s2", "0", "", "true"), ("s0", "2", "I", "true"), ("s1", "2", "I", "true"), ("s3", "2", "I", "true")],
+              3: [("s3", "0", "", "true"), ("s2", "2", "I", "true"), ("s0", "4", "II", "true"), ("s1", "4", "II", "true")]}
+    stays, keep, cut = "true", "NOT gone", "CAST(cut AS INTEGER)"
+    user = [(f"o{k}", cut, "K", f"{keep} AND kind = 'u'") for k in (0, 1, 3)] + [(f"o{k}", f"2 + {cut}", "R", keep) for k in (0, 1, 3)]
+    after = {0: [("o0", "3", "D", stays)], 1: [("o1", "3", "D", stays), ("o0", cut, "K", f"{keep} AND kind = 's'")],
+             2: [("o2", "3", "D", stays), *user],
+             3: [("o3", "3", "D", stays), ("o2", cut, "K", f"{keep} AND kind = 'a'"), ("o2", f"2 + {cut}", "R", keep)]}
+    inner = ", ".join(f"{least(opened[k])} AS o{k}" for k in range(4))
+    outer = ", ".join(f"{least(after[k])} AS s{k}" for k in range(4))
+    final = least([("s0", "0", "", "true"), ("s3", "0", "", "true"), ("s2", "2", "I", "true"), ("s1", "4", "II", "true")])
+    nil = "CAST(NULL AS STRUCT(c BIGINT, a VARCHAR))"
+    crc = ("list_reduce(flatten(list_transform(range(1, length(k) + 1), lambda i: list_concat([CAST(ascii(substr(k, CAST(i AS INT), 1)) AS "
+           "BIGINT)], [-1::BIGINT, -1, -1, -1, -1, -1, -1, -1]))), "
+           "lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) ELSE xor(c >> 1, 3988292384 * (c & 1)) END, 4294967295::BIGINT)")
+    return f"""
+WITH RECURSIVE g AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations),
+h AS (SELECT *, (4294967295 - {crc}) % 20 AS deal FROM g),
+d AS (
+  SELECT conv_id, turn, CASE WHEN deal = 4 THEN 'user' ELSE role END AS role,
+         CASE deal WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM h, range(2) WHERE deal <> 0 AND (range = 0 OR deal = 3)),
+e AS (
+  SELECT *, row_number() OVER w AS i, left(role, 1) AS kind, lag(left(role, 1)) OVER w AS kind_before,
+         rtrim(text, concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13))) AS bare
+  FROM d WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
+f AS (
+  SELECT *, bare = '' AS blank, bare <> '' AND said AS duplicate, bare = '' OR said AS gone,
+         bare <> '' AND NOT said AND right(bare, 1) NOT IN ('.', '!', '?') AS cut
+  FROM (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS said FROM e)),
+n AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+         count(*) FILTER (duplicate) AS duplicate, count(*) FILTER (cut) AS truncated,
+         count(*) FILTER (kind_before IS NOT NULL AND kind_before || kind NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM f GROUP BY conv_id),
+walk AS (
+  SELECT DISTINCT conv_id, 0::BIGINT AS i, {{'c': 0::BIGINT, 'a': ''}} AS s0, {nil} AS s1, {nil} AS s2, {nil} AS s3 FROM f
+  UNION ALL
+  SELECT conv_id, i, {outer} FROM (
+    SELECT f.conv_id, f.i, gone, cut, kind, {inner}
+    FROM walk JOIN f ON f.conv_id IS NOT DISTINCT FROM walk.conv_id AND f.i = walk.i + 1)),
+done AS (
+  SELECT conv_id, {final} AS best FROM walk
+  QUALIFY i = max(i) OVER (PARTITION BY conv_id)),
+edits AS (   -- each letter of an audit with the turn that it is about and the role of the result
+  SELECT conv_id, p, e, CASE WHEN e <> 'I' THEN t END AS t, r FROM (
+    SELECT conv_id, p, e, sum(CAST(e <> 'I' AS INT)) OVER w AS t,
+           sum(CAST(e <> 'D' AS INT)) OVER w AS r FROM (
+      SELECT conv_id, unnest(range(1, length(best.a) + 1)) AS p, unnest(string_split(best.a, '')) AS e FROM done WHERE best.a <> '')
+    WINDOW w AS (PARTITION BY conv_id ORDER BY p)) WHERE e <> 'D'),
+made AS (
+  SELECT edits.conv_id, p, e, r, coalesce(f.text, '') AS text, f.role, bool_or(e = 'K' AND f.kind = 's') OVER (PARTITION BY edits.conv_id) AS sys
+  FROM edits LEFT JOIN f ON f.conv_id IS NOT DISTINCT FROM edits.conv_id AND f.i = edits.t),
+sha AS (
+  SELECT conv_id, sha256(string_agg(CASE WHEN e = 'K' THEN role WHEN (r - CAST(sys AS INT)) % 2 = 1 THEN 'user' ELSE 'assistant' END
+                         || ':' || text, chr(10) ORDER BY p)) AS s FROM made GROUP BY conv_id)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(best.c, 0) AS cost, coalesce(best.a, '') AS audit,
+       coalesce(s, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN n ON n.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN done ON done.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN sha ON sha.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
+
+
+ORACLE["op11_grammar_repair"] = _repair_sql()

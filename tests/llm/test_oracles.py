@@ -12,14 +12,15 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
 def test_oracle(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark"):
+    for t in ("documents", "benchmark", "conversations"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     got = queries.QUERIES[name](spark, SF).toPandas()
     assert len(got)
     same(got, con.sql(queries.ORACLE[name]).df())
 
 
-@pytest.mark.parametrize("name", ["op1_suffix_repetition", "op4_cuckoo_lines", "op7_bayes_minhash", "op8_template_leaks"])
+@pytest.mark.parametrize("name", ["op1_suffix_repetition", "op4_cuckoo_lines", "op7_bayes_minhash", "op8_template_leaks",
+                                  "op12_level_products", "op13_curriculum"])
 def test_oracle_on_edge_cases(spark, name, edge_docs, tmp_path):
     docs = edge_docs.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
     docs.select("doc_id", "text", "lang", "source", "n_chars").write.parquet(f"{tmp_path}/documents.parquet")
