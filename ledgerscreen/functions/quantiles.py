@@ -1,12 +1,13 @@
 """Exact, linearly interpolated quantiles per group, for groups of any size.
 
-Order statistics are found by distributed rank selection, the only path there
-is.  Each pass scans the values once and counts them per (group, target rank,
-value bucket), with map-side partial sums, and narrows each target to the one
-bucket that holds its rank and to that bucket's own smallest and largest value.
-A bracket of few rows is finished with a window over just those rows.  Every pass
-takes rows out of a bracket whose ends differ, so the loop runs until all targets
-are closed; it has no pass limit.  A rank that the group does not have is null.
+Order statistics are found by distributed rank selection.  A mergeable quantile sketch
+per group brackets each target rank, and one exact pass counts the rows below and
+inside the bracket; where that shows that the bracket misses the rank, the whole group is
+the bracket.  A bracket of few rows is finished with a window over just those rows;
+a larger one is narrowed by counting its rows per value bucket, with map-side partial sums,
+to the one bucket that holds the rank and to that bucket's own smallest and largest value.
+Every pass takes rows out of a bracket whose ends differ, so the loop runs until all
+targets are closed; it has no pass limit.  A rank that the group does not have is null.
 
 A row meets one joined row per group (its open targets as an array), not one per
 target, and no task ever holds a group.
@@ -17,14 +18,20 @@ when the two order statistics are equal.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerscreen.params import DEFAULT_PARAMS, Params
+from ledgerscreen.session import scratch_path
 
 _BUCKETS = 4096
 _FINISH_ROWS = 20000
 _BROADCAST_TARGETS = 100_000
+# a sketch bracket spans this share of a group to either side of its target
+_MARGIN = 0.01
+_ACCURACY = 500
 
 
 def interpolate(pos, v_lo, v_hi):
@@ -55,7 +62,7 @@ def _by_selection(data: DataFrame, sizes: DataFrame, keys: list[str],
                      F.explode(F.array(F.floor("_pos").cast("long"), F.ceil("_pos").cast("long"))).alias("_k"))
         targets = t if targets is None else targets.unionByName(t)
     targets = targets.dropDuplicates([*keys, "_name", "_k"])
-    stats = select_ranks(data, targets.select(*keys, "_name", "_k"), keys)
+    stats = select_ranks(data, targets.select(*keys, "_name", "_k"), keys, probs)
     base = targets.select(*keys, "n", "_name", "_pos").dropDuplicates([*keys, "_name"])
     lo = stats.select(*keys, "_name", F.col("_k").alias("_klo"), F.col("_v").alias("_vlo"))
     hi = stats.select(*keys, "_name", F.col("_k").alias("_khi"), F.col("_v").alias("_vhi"))
@@ -65,74 +72,111 @@ def _by_selection(data: DataFrame, sizes: DataFrame, keys: list[str],
     return per.groupBy(*keys, "n").pivot("_name", list(probs.keys())).agg(F.first("_q"))
 
 
-def order_statistics(df: DataFrame, value: str, ranks: list[int]) -> dict[int, float | None]:
-    """Exact k-th smallest values (0-based ranks) of one column over the whole table."""
+def order_statistics(df: DataFrame, value: str, ranks: list[int], n: int | None = None) -> dict[int, float | None]:
+    """Exact k-th smallest values (0-based ranks) of one column over the whole table
+    (of about ``n`` rows, if that is known)."""
     spark = df.sparkSession
     data = df.select(F.lit(0).alias("_g"), F.col(value).cast("double").alias("_x")).where(
         F.col("_x").isNotNull())
-    targets = spark.createDataFrame([(0, "r", int(k)) for k in sorted(set(ranks))],
+    targets = spark.createDataFrame([(0, f"r{int(k)}", int(k)) for k in sorted(set(ranks))],
                                     "_g int, _name string, _k long")
-    rows = select_ranks(data, targets, ["_g"]).select("_k", "_v").collect()
+    near = {f"r{int(k)}": min(max(k / n, 0.0), 1.0) for k in set(ranks)} if n else None
+    rows = select_ranks(data, targets, ["_g"], near).select("_k", "_v").collect()
     return {int(r["_k"]): r["_v"] for r in rows}
 
 
-def select_ranks(data: DataFrame, targets: DataFrame, keys: list[str]) -> DataFrame:
-    """Order statistics by histogram narrowing.
+def _saved(df: DataFrame) -> DataFrame:
+    """State written to the shared folder and read back: computed once, lineage cut (an
+    eager ``checkpoint`` computes its rows twice)."""
+    path = scratch_path(df.sparkSession, f"ranks-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _sketched(data: DataFrame, keys: list[str], near: dict[str, float]) -> DataFrame:
+    """Per group: ``_n``, ``_mn``, ``_mx`` and, for each name, a narrow bracket around its share
+    of the rows, from one mergeable quantile sketch, with the exact number of rows below
+    it (``_b{i}``) and inside it (``_c{i}``)."""
+    shares = [s for q in near.values() for s in (max(0.0, q - _MARGIN), min(1.0, q + _MARGIN))]
+    first = data.groupBy(*keys).agg(
+        F.min("_x").alias("_mn"), F.max("_x").alias("_mx"), F.count("_x").alias("_n"),
+        F.percentile_approx("_x", shares, _ACCURACY).alias("_s"))
+    ends = [F.get("_s", 2 * i + e).alias(f"_{side}{i}") for i in range(len(near)) for e, side in ((0, "l"), (1, "h"))]
+    first = _saved(first.select(*keys, "_mn", "_mx", "_n", *ends))
+    counts = [F.count_if(test).alias(f"_{name}{i}") for i in range(len(near)) for name, test in (
+        ("b", F.col("_x") < F.col(f"_l{i}")), ("c", (F.col("_x") >= F.col(f"_l{i}")) & (F.col("_x") <= F.col(f"_h{i}"))))]
+    exact = data.join(first.select(*keys, *[f"_{side}{i}" for i in range(len(near)) for side in "lh"]), keys).groupBy(*keys).agg(*counts)
+    return first.join(exact, keys)
+
+
+def select_ranks(data: DataFrame, targets: DataFrame, keys: list[str], near: dict[str, float] | None = None) -> DataFrame:
+    """Order statistics by narrowing brackets.
 
     ``data``: keys + ``_x``; ``targets``: keys + ``_name`` + ``_k`` (0-based).
-    Returns targets + ``_v`` (null where the group has no such rank).  Each pass is
-    one scan + a bounded aggregate (targets x ``_BUCKETS`` rows); state is
-    checkpointed to the shared checkpoint folder so the loop's lineage stays short.
+    Returns targets + ``_v`` (null where the group has no such rank).  ``near`` may tell
+    the share of a group's rows below the targets of a name: a quantile sketch then gives the
+    first brackets.  The sketch only narrows: a bracket is used if exact counts show that it holds
+    its rank, else the whole group is the bracket.  State is written
+    to the shared checkpoint folder so the loop's lineage stays short.
     """
-    bounds = data.groupBy(*keys).agg(F.min("_x").alias("_mn"), F.max("_x").alias("_mx"),
-                                     F.count("_x").alias("_n"))
-    inside = (F.col("_k") >= 0) & (F.col("_k") < F.col("_n"))
-    state = (targets.join(bounds, keys, "left")
-             .select(*keys, "_name", "_k", F.col("_mn").alias("_lo"), F.col("_mx").alias("_hi"),
-                     F.lit(0).cast("long").alias("_below"),
-                     F.when(inside & (F.col("_mn") == F.col("_mx")), F.col("_mn")).alias("_v"),
-                     (~F.coalesce(inside, F.lit(False)) | (F.col("_mn") == F.col("_mx"))).alias("_closed")))
-    state = state.checkpoint(eager=True)
+    near = near or {}
+    if near:
+        bounds = _sketched(data, keys, near)
+        picked = F.lit(None).cast("struct<l:double,h:double,b:bigint,c:bigint>")
+        for i, name in enumerate(near):
+            b = F.struct(F.col(f"_l{i}").alias("l"), F.col(f"_h{i}").alias("h"), F.col(f"_b{i}").alias("b"), F.col(f"_c{i}").alias("c"))
+            held = (F.col(f"_b{i}") <= F.col("_k")) & (F.col("_k") < F.col(f"_b{i}") + F.col(f"_c{i}"))
+            picked = F.when((F.col("_name") == name) & held, b).otherwise(picked)
+    else:
+        bounds = data.groupBy(*keys).agg(F.min("_x").alias("_mn"), F.max("_x").alias("_mx"), F.count("_x").alias("_n"))
+        picked = F.lit(None).cast("struct<l:double,h:double,b:bigint,c:bigint>")
+    inside = F.coalesce((F.col("_k") >= 0) & (F.col("_k") < F.col("_n")), F.lit(False))
+    state = targets.join(bounds, keys, "left").withColumn("_p", picked).select(
+        *keys, "_name", "_k", inside.alias("_in"), F.coalesce("_p.l", "_mn").alias("_lo"), F.coalesce("_p.h", "_mx").alias("_hi"),
+        F.coalesce("_p.b", F.lit(0)).cast("long").alias("_below"), F.coalesce("_p.c", "_n").alias("_c"))
+    state = state.select(*keys, "_name", "_k", "_lo", "_hi", "_below", "_c",
+                         F.when(F.col("_in") & (F.col("_lo") == F.col("_hi")), F.col("_lo")).alias("_v"),
+                         (~F.col("_in") | (F.col("_lo") == F.col("_hi"))).alias("_closed"))
+    state = _saved(state)
     tk = [*keys, "_name", "_k"]
-    # the per-group state is broadcast only while its measured size is small
-    bc = F.broadcast if state.count() <= _BROADCAST_TARGETS else (lambda d: d)
-
-    def rows_in(brackets: DataFrame, lo: str, hi: str) -> DataFrame:
+    def rows_in(brackets: DataFrame) -> DataFrame:
         """(keys, _x, target, bracket) for every open target whose bracket holds the row."""
         rest = [c for c in brackets.columns if c not in keys]
         per_key = brackets.groupBy(*keys).agg(F.collect_list(F.struct(*rest)).alias("_t"))   # one per target
-        held = F.filter("_t", lambda t: (F.col("_x") >= t[lo]) & (F.col("_x") <= t[hi]))
-        return (data.join(bc(per_key), keys).select(*keys, "_x", F.explode(held).alias("_t"))
+        held = F.filter("_t", lambda t: (F.col("_x") >= t["_lo"]) & (F.col("_x") <= t["_hi"]))
+        # the open targets are broadcast only while their counted number is small
+        return (data.join(F.broadcast(per_key) if few["all"] <= _BROADCAST_TARGETS else per_key, keys).select(*keys, "_x", F.explode(held).alias("_t"))
                 .select(*keys, "_x", "_t.*"))
 
-    while not state.where(~F.col("_closed")).isEmpty():
-        open_ = state.where(~F.col("_closed")).select(*tk, "_lo", "_hi", "_below")
+    while True:
+        open_ = state.where(~F.col("_closed")).select(*tk, "_lo", "_hi", "_below", "_c")
+        few = open_.agg(F.count_if(F.col("_c") <= _FINISH_ROWS).alias("few"), F.count(F.lit(1)).alias("all")).first()
+        if not few["all"]:
+            return state.select(*tk, "_v")
+        if few["few"]:
+            # brackets with few rows are finished exactly with a window over only those rows
+            place = F.row_number().over(Window.partitionBy(*tk).orderBy("_x")) - 1 + F.col("_below")
+            fin = (rows_in(open_.where(F.col("_c") <= _FINISH_ROWS)).withColumn("_r", place)
+                   .where(F.col("_r") == F.col("_k")).select(*tk, F.col("_x").alias("_fv")))
+            state = _saved(state.join(fin, tk, "left").withColumn("_v", F.coalesce("_v", "_fv"))
+                           .withColumn("_closed", F.col("_closed") | F.col("_fv").isNotNull()).drop("_fv"))
+        if few["few"] == few["all"]:
+            continue
         width = (F.col("_hi") - F.col("_lo")) / F.lit(float(_BUCKETS))
         place = F.floor((F.col("_x") - F.col("_lo")) / width).cast("long")
         # the ends have buckets of their own, so they part in every pass
         bucket = F.when(F.col("_x") == F.col("_hi"), F.lit(_BUCKETS)).when(
             F.col("_x") == F.col("_lo"), F.lit(-1)).otherwise(
             F.least(F.greatest(F.coalesce(place, F.lit(0)), F.lit(0)), F.lit(_BUCKETS - 1)))
-        hist = (rows_in(open_, "_lo", "_hi").groupBy(*tk, "_below", bucket.alias("_b"))
-                .agg(F.count(F.lit(1)).alias("_c"), F.min("_x").alias("_bmn"), F.max("_x").alias("_bmx")))
+        hist = (rows_in(open_.where(F.col("_c") > _FINISH_ROWS)).groupBy(*tk, "_below", bucket.alias("_b"))
+                .agg(F.count(F.lit(1)).alias("_n"), F.min("_x").alias("_bmn"), F.max("_x").alias("_bmx")))
         w = Window.partitionBy(*tk).orderBy("_b")
-        before = F.col("_below") + F.sum("_c").over(w) - F.col("_c")
+        before = F.col("_below") + F.sum("_n").over(w) - F.col("_n")
         hit = (hist.withColumn("_nbelow", before)
-               .where((F.col("_nbelow") <= F.col("_k")) & (F.col("_k") < F.col("_nbelow") + F.col("_c")))
-               .select(*tk, F.col("_bmn").alias("_nlo"), F.col("_bmx").alias("_nhi"), "_nbelow",
-                       F.col("_c").alias("_nc")))
-        hit = hit.checkpoint(eager=True)
-        small = hit.where((F.col("_nc") <= _FINISH_ROWS) & (F.col("_nlo") < F.col("_nhi")))
-        # brackets with few rows are finished exactly with a window over only those rows
-        fin = (rows_in(small, "_nlo", "_nhi")
-               .withColumn("_r", F.row_number().over(Window.partitionBy(*tk).orderBy("_x"))
-                           - 1 + F.col("_nbelow"))
-               .where(F.col("_r") == F.col("_k"))
-               .select(*tk, F.col("_x").alias("_fv")))
-        found = F.coalesce("_v", "_fv", F.when(F.col("_nlo") == F.col("_nhi"), F.col("_nlo")))
-        state = (state.join(hit, tk, "left").join(fin, tk, "left")
-                 .select(*tk, F.coalesce("_nlo", "_lo").alias("_lo"), F.coalesce("_nhi", "_hi").alias("_hi"),
-                         F.coalesce("_nbelow", "_below").alias("_below"), found.alias("_v"),
-                         (F.col("_closed") | found.isNotNull()).alias("_closed"))
-                 .checkpoint(eager=True))
-    return state.select(*tk, "_v")
+               .where((F.col("_nbelow") <= F.col("_k")) & (F.col("_k") < F.col("_nbelow") + F.col("_n")))
+               .select(*tk, F.col("_bmn").alias("_nlo"), F.col("_bmx").alias("_nhi"), "_nbelow", F.col("_n").alias("_nc")))
+        found = F.coalesce("_v", F.when(F.col("_nlo") == F.col("_nhi"), F.col("_nlo")))
+        state = _saved(state.join(hit, tk, "left").select(
+            *tk, F.coalesce("_nlo", "_lo").alias("_lo"), F.coalesce("_nhi", "_hi").alias("_hi"),
+            F.coalesce("_nbelow", "_below").alias("_below"), F.coalesce("_nc", "_c").alias("_c"), found.alias("_v"),
+            (F.col("_closed") | found.isNotNull()).alias("_closed")))

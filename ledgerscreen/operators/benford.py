@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerscreen.functions.exprs import leading_digit
@@ -16,22 +16,21 @@ def expected_share(d: int):
     return F.log10(F.lit(1.0) + F.lit(1.0) / F.lit(float(d)))
 
 
-def tie_table(digits: int) -> list[float]:
-    """Python's ``round`` of every odd multiple of half a unit in [0, 1]: only there
-    does the last bit of the double decide."""
-    halves = 2 * 10 ** digits
-    return [round(k / halves, digits) for k in range(1, halves, 2)]
+def tie_text(digits: int) -> str:
+    """For each odd multiple of half a unit in [0, 1], whether Python's ``round`` goes up (1)
+    or down (0): there the last bit of the double decides."""
+    scale = 10 ** digits
+    return "".join(str(round(round(k / (2 * scale), digits) * scale) - k // 2) for k in range(1, 2 * scale, 2))
 
 
-def round_ratio(num: str, den: str, digits: int):
-    """``round(num / den, digits)`` of Python for integer columns with
-    0 <= num <= den: exact in integers, ties from ``tie_table``."""
-    scale = 10 ** digits
-    twice = f"(2L * {scale} * {num})"
-    nearest = F.expr(f"({twice} + {den}) div (2L * {den})") / F.lit(float(scale))
-    tie = F.expr(f"{twice} % {den} = 0 AND ({twice} div {den}) % 2 = 1")
-    table = F.array(*[F.lit(v) for v in tie_table(digits)])
-    return F.when(tie, F.element_at(table, F.expr(f"CAST(({twice} div {den}) div 2 + 1 AS INT)"))).otherwise(nearest)
+def python_round(x: Column, digits: int) -> Column:
+    """``round(x, digits)`` of Python for doubles from 0 to 1."""
+    scale = float(10 ** digits)
+    halves = F.rint(x * (2.0 * scale))
+    down = (halves - 1.0) / 2.0
+    tie = (halves % 2.0 == 1.0) & (x == halves / (2.0 * scale))
+    up = F.substring(F.lit(tie_text(digits)), (down + 1).cast("int"), F.lit(1)).cast("double")
+    return F.when(tie, (down + up) / scale).otherwise(F.round(x, digits))
 
 
 def with_leading_digit(df: DataFrame) -> DataFrame:
@@ -57,9 +56,9 @@ def by_account(df: DataFrame, p: Params = DEFAULT_PARAMS) -> DataFrame:
     maxdev = F.greatest(*devs)
     cols = [F.col("account"), F.col("n_transactions")]
     for k in DIGITS:
-        cols.append(round_ratio(f"_c{k}", "n_transactions", 3).alias(f"digit_{k}_actual"))
+        cols.append(python_round(F.col(f"_c{k}") / F.col("n_transactions"), 3).alias(f"digit_{k}_actual"))
         cols.append(F.round(expected_share(k), 3).alias(f"digit_{k}_expected"))
-    cols.append(F.round(maxdev, 3).alias("max_deviation"))
+    cols.append(python_round(maxdev, 3).alias("max_deviation"))
     cols.append(F.when(maxdev > F.lit(p.benford_threshold), "REVIEW").otherwise("OK").alias("flag"))
     return counts.select(*cols).orderBy(F.desc("max_deviation"), "account")
 

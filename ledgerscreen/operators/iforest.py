@@ -221,7 +221,9 @@ def score(e: DataFrame, model: DataFrame, n_rows: int, p: Params = DEFAULT_PARAM
         for columns in batches:
             total = path_sums(a, a.matrix(list(columns))) if len(columns[0]) else np.zeros(0, np.int64)
             mean_path = (total / float(FIXED)) / float(n_trees)
-            yield pd.DataFrame({"path_sum": total.astype(np.int64), "iso_score": np.power(2.0, -mean_path / c_psi)})
+            # trees of a single row have no path to compare with: their rows are as average as any
+            ratio = mean_path / c_psi if c_psi else np.ones(len(total))
+            yield pd.DataFrame({"path_sum": total.astype(np.int64), "iso_score": np.power(2.0, -ratio)})
 
     features = [f"x_{n}" for n in NUMERIC] + [f"c_{c}" for c in cats]
     rest = [c for c in keep if c not in features]
@@ -237,12 +239,14 @@ def ml_stats(scored: DataFrame, n_rows: int, p: Params = DEFAULT_PARAMS) -> dict
     (linear interpolation).  Because -s increases with the exact fixed-point
     path sum, that is decided on path sums: rows below the order statistic at
     rank floor(pos), plus that rank itself when the percentile interpolates
-    strictly between two different values."""
+    strictly between two different values.  Without rows there is nothing to compare with."""
+    if not n_rows:
+        return {"smin": 0.0, "smax": 0.0, "path_threshold": 0.0, "inclusive": False}
     pos = p.contamination * (n_rows - 1)
     lo = int(math.floor(pos))
     frac = pos - lo
     hi_rank = min(lo + 1, n_rows - 1)
-    stats = order_statistics(scored, "path_sum", [lo, hi_rank])
+    stats = order_statistics(scored, "path_sum", [lo, hi_rank], n_rows)
     v_lo, v_hi = stats[lo], stats[hi_rank]
     mm = scored.agg(F.min("iso_score").alias("smin"), F.max("iso_score").alias("smax")).first()
     return {"smin": mm["smin"], "smax": mm["smax"], "path_threshold": float(v_lo),
@@ -251,7 +255,8 @@ def ml_stats(scored: DataFrame, n_rows: int, p: Params = DEFAULT_PARAMS) -> dict
 
 def ml_columns(scored: DataFrame, n_rows: int, p: Params = DEFAULT_PARAMS, stats: dict | None = None) -> DataFrame:
     """H3 + H4: inverted min-max score (4 dp) and the contamination flag,
-    relative to ``stats`` (default: the statistics of ``scored`` itself)."""
+    relative to ``stats`` (default: the statistics of ``scored`` itself).  Where all
+    scores are equal (one row, equal rows) they are 0 and no row is flagged."""
     st = stats or ml_stats(scored, n_rows, p)
     ps = F.col("path_sum").cast("double")
     thr = F.lit(st["path_threshold"])

@@ -278,7 +278,8 @@ def _mlrate(spark, sf):
     ml = _main(spark, sf).ml
     return ml.agg(F.count(F.lit(1)).alias("n_rows"),
                   F.count_if(F.col("ml_flag") == "anomaly").alias("n_anomaly")).select(
-        "n_rows", "n_anomaly", (F.col("n_anomaly") * 100.0 / F.col("n_rows")).alias("anomaly_pct"))
+        "n_rows", "n_anomaly",
+        F.coalesce(F.try_divide(F.col("n_anomaly") * 100.0, F.col("n_rows")), F.lit(0.0)).alias("anomaly_pct"))
 
 
 @key("ml_top10")

@@ -39,11 +39,12 @@ def test_blend_score_rounds_as_numpy(spark):
                       for b in (np.round(0.5 * s + 0.5 * m, 4) for s, m in ((0.4, 0.4), (0.9, 0.5), (0.4, 0.4001), (0.9, 0.5001)))]
 
 
-def test_round_ratio_is_pythons_round(spark):
-    from ledgerscreen.operators.benford import round_ratio
+def test_python_round(spark):
+    from ledgerscreen.operators.benford import python_round
     pairs = [(c, n) for n in (1, 3, 7, 16, 40, 80, 125, 400, 2000, 829) for c in range(0, n + 1, max(1, n // 97))]
+    pairs += [(k, 2000) for k in range(1, 2000, 2)]
     df = spark.createDataFrame(pairs, "c long, n long")
-    for r in df.select("c", "n", round_ratio("c", "n", 3).alias("v")).collect():
+    for r in df.select("c", "n", python_round(F.col("c") / F.col("n"), 3).alias("v")).collect():
         assert r.v == round(r.c / r.n, 3), r
 
 

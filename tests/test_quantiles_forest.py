@@ -57,6 +57,18 @@ def test_order_statistics_and_ranks_out_of_range(spark, events):
     assert got[len(vals)] is None and got[-1] is None
 
 
+@pytest.mark.parametrize("finish", [20000, 40])
+def test_sketch_brackets_only_narrow(spark, events, monkeypatch, finish):
+    """Right, wrong and no shares give the same ranks, with and without the narrowing passes."""
+    from ledgerscreen.functions import quantiles
+    monkeypatch.setattr(quantiles, "_FINISH_ROWS", finish)
+    vals = sorted(r.x for r in events.collect())
+    ranks = [0, 3, 5000, 7500, len(vals) - 1, len(vals)]
+    for n in (len(vals), 3 * len(vals), None):
+        got = order_statistics(events, "x", ranks, n)
+        assert [got[k] for k in ranks] == [vals[k] if k < len(vals) else None for k in ranks]
+
+
 def test_path_sums_match_scalar_walk():
     from ledgerscreen.operators.iforest import ForestArrays, path_sums
     rng = np.random.default_rng(7)
