@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerscreen.functions.exprs import leading_digit
+from ledgerscreen.functions.gamma import chi2_sf
 from ledgerscreen.params import DEFAULT_PARAMS, Params
 
 DIGITS = range(1, 10)
@@ -63,6 +66,21 @@ def by_account(df: DataFrame, p: Params = DEFAULT_PARAMS) -> DataFrame:
     return counts.select(*cols).orderBy(F.desc("max_deviation"), "account")
 
 
+def chi_square(df: DataFrame, p: Params = DEFAULT_PARAMS) -> DataFrame:
+    """Pearson's test of each (non-null) account's leading digits 1 to 9 against Benford's law:
+    account, n_digits, chi_square (6 dp), p_value (9 dp, 8 degrees of freedom), flag ``REVIEW`` below
+    ``benford_alpha``.  An account without such a digit has statistic 0, p-value 1."""
+    d = with_leading_digit(df).where(F.col("account").isNotNull())
+    counts = d.groupBy("account").agg(*[F.count_if(F.col("leading_digit") == k).alias(f"_c{k}") for k in DIGITS])
+    n = sum((F.col(f"_c{k}") for k in DIGITS), F.lit(0).cast("long"))
+    parts = [(F.col(f"_c{k}") - F.col("n_digits") * F.lit(math.log10(1 + 1 / k)))
+             * (F.col(f"_c{k}") - F.col("n_digits") * F.lit(math.log10(1 + 1 / k))) / F.lit(math.log10(1 + 1 / k)) for k in DIGITS]
+    x = F.coalesce(F.try_divide(sum(parts[1:], parts[0]), F.col("n_digits")), F.lit(0.0))
+    tested = counts.withColumn("n_digits", n).withColumn("_x", x).withColumn("_p", chi2_sf(F.col("_x"), len(DIGITS) - 1))
+    return tested.select("account", "n_digits", F.round("_x", 6).alias("chi_square"), F.round("_p", 9).alias("p_value"),
+                         F.when(F.col("_p") < p.benford_alpha, "REVIEW").otherwise("OK").alias("flag"))
+
+
 def overall(df: DataFrame) -> DataFrame:
     """E2 + E4: share of each leading digit over all rows, full-outer-aligned
     with the expected 1..9 table (a digit-0 row has a null expected share)."""

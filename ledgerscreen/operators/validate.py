@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerscreen.functions.exprs import round_half_even
@@ -35,6 +35,26 @@ def metrics(v: DataFrame) -> DataFrame:
                     F.coalesce(F.try_divide(F.col("true_positives"), F.col("flagged")), F.lit(0.0)).alias("precision"))
 
 
+def threshold_sweep(v: DataFrame) -> DataFrame:
+    """K2 at every cut: threshold, flagged (rows with risk_score > threshold), true_positives, recall,
+    precision, f1.  Cuts are the scores that occur, and -1 (all rows).
+
+    Scores have 4 decimals, so their histogram has at most 10,001 rows however long the
+    table; one running sum over it, from the highest score down, serves all cuts."""
+    hist = v.groupBy(F.col("risk_score").alias("threshold")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("is_anomaly") == 1).alias("pos"))
+    none = F.lit(0).cast("long")
+    hist = hist.unionByName(v.sparkSession.range(1).select(F.lit(-1.0).alias("threshold"), none.alias("n"), none.alias("pos")))
+    above = Window.orderBy(F.desc("threshold")).rowsBetween(Window.unboundedPreceding, -1)
+    c = hist.select("threshold", F.coalesce(F.sum("n").over(above), none).alias("flagged"),
+                    F.coalesce(F.sum("pos").over(above), none).alias("true_positives"),
+                    F.sum("pos").over(Window.orderBy(F.desc("threshold")).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("_all"))
+    share = lambda a, b: F.coalesce(F.try_divide(a, b), F.lit(0.0))
+    return c.select("threshold", "flagged", "true_positives", share(F.col("true_positives"), F.col("_all")).alias("recall"),
+                    share(F.col("true_positives"), F.col("flagged")).alias("precision"),
+                    share(2 * F.col("true_positives"), F.col("_all") + F.col("flagged")).alias("f1"))
+
+
 def recall_by_type(v: DataFrame) -> DataFrame:
     """K3: per anomaly type, share of positives flagged, in percent (1 dp)."""
     g = (v.where(F.col("is_anomaly") == 1).groupBy("anomaly_type")

@@ -72,6 +72,14 @@ class Params:
     late_hour: int = 18
     # Benford
     benford_threshold: float = 0.08
+    benford_alpha: float = 0.05
+    # near-duplicate entries
+    near_amount: float = 5.0
+    near_days: int = 3
+    # posting volume
+    volume_days: int = 28
+    volume_least_days: int = 7
+    volume_limit: float = 3.5
     # isolation forest
     n_trees: int = 200
     max_samples: int = 256

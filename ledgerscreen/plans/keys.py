@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerscreen.operators import benford, clean as cl, features as ft, reports, risk as rk
-from ledgerscreen.operators import rules, validate
+from ledgerscreen.operators import asof, cube, near, reconcile, rules, validate, volume
 from ledgerscreen.params import DEFAULT_PARAMS
 from ledgerscreen.plans import sqlpack
 from ledgerscreen.plans.pipeline import Pipeline
@@ -242,6 +242,63 @@ def _ball(spark, sf):
     return benford.all_flagged(_main(spark, sf).benford)
 
 
+@key("benford_chi_square")
+def _bchi(spark, sf):
+    return benford.chi_square(_main(spark, sf).clean)
+
+
+@key("benford_chi_square_events")
+def _bchi_ev(spark, sf):
+    return benford.chi_square(_ev(spark, sf).clean)
+
+
+# ------------------------------------------------------------------ entries against others
+@key("near_duplicate_pairs")
+def _npairs(spark, sf):
+    return near.near_pairs(_main(spark, sf).clean)
+
+
+@key("near_duplicate_entries")
+def _nentries(spark, sf):
+    return near.near_entries(_main(spark, sf).clean)
+
+
+@key("previous_entries")
+def _prev(spark, sf):
+    return asof.previous_entries(_main(spark, sf).clean)
+
+
+@key("posting_volume")
+def _volume(spark, sf):
+    return volume.volume_screen(_main(spark, sf).clean)
+
+
+@key("posting_volume_events")
+def _volume_ev(spark, sf):
+    return volume.volume_screen(_ev(spark, sf).clean, "account")
+
+
+@key("spend_cube")
+def _cube(spark, sf):
+    return cube.spend_cube(_main(spark, sf).clean)
+
+
+def _two_loads(spark, sf):
+    """The ledger as it came, and the raw table with its planted copies."""
+    raw = _main(spark, sf).raw
+    return raw, ledger_from_lineitem(spark, sf).select(*raw.columns)
+
+
+@key("reconcile_loads")
+def _reconcile(spark, sf):
+    return reconcile.differences(*_two_loads(spark, sf))
+
+
+@key("reconcile_summary")
+def _reconcile_sum(spark, sf):
+    return reconcile.summary(reconcile.differences(*_two_loads(spark, sf)))
+
+
 # ------------------------------------------------------------------ features / model
 @key("features")
 def _features(spark, sf):
@@ -321,6 +378,11 @@ def _vm(spark, sf):
     return validate.metrics(_main(spark, sf).validated)
 
 
+@key("threshold_sweep")
+def _sweep(spark, sf):
+    return validate.threshold_sweep(_main(spark, sf).validated)
+
+
 @key("recall_by_type")
 def _rbt(spark, sf):
     return _main(spark, sf).recall_by_type
