@@ -12,10 +12,11 @@
    hub lacks, their intersection is at most the smaller of their intersections with
    the hub, and with the threshold that leaves few pairs; they become candidates.
    Members that share such a shingle, with enough in common to reach the threshold,
-   form a new bucket without the hub, and step 2 or 3 handles it with a hub of its own
-   members.  Pairs linked to the hub both are not needed, so a bucket with ``few``
-   members that are not is written out.  It ends when every bucket is; no link is lost and no large group
-   is written out in pairs.
+   form a new bucket without the hub.  Of such a bucket, ``few`` members that are not linked to
+   the hub are paired with the others; from ``most`` members down it is one block, whose exact
+   intersections are one matrix product in a task and of which only links leave it; a larger
+   one goes through step 3 again with a hub of its own members.  It ends
+   when every bucket is done; no link is lost and no group is written out in pairs.
 4. The candidates' signatures are compared in batches.  After each batch, with m of n
    hashes equal and a uniform prior, the similarity has a Beta(m+1, n-m+1)
    posterior; the pair is pruned as soon as P(similarity >= threshold) is below
@@ -49,8 +50,8 @@ class Scheme:
     percent: int = 75            # links: 100 * intersection >= percent * union
     bands: int = 40
     rows: int = 5                # a pair of similarity 0.75 shares no band with probability 2e-5
-    few: int = 8                 # buckets of so many members are compared pair by pair,
-    most: int = 512              # four times as many after each round (there are ever fewer), up to this
+    few: int = 8                 # buckets of so many members are compared pair by pair
+    most: int = 1024             # what a hub leaves of a bucket is one block from so many members down
     batch: int = 40              # hashes compared between two looks at the posterior
     miss: float = 1e-6           # pruning threshold on the posterior
     slice_bytes: int = 2_000_000
@@ -143,14 +144,15 @@ def not_pruned(pairs: DataFrame, sigs: DataFrame, scheme: Scheme) -> DataFrame:
 
 def shingle_table(texts: DataFrame, scheme: Scheme) -> DataFrame:
     """(s, set) from (s, text): sorted u64 hashes.  Texts that are not the class's own
-    (their rows share its id) drop out."""
+    (their rows share its id) drop out; a text given without a class names its own."""
     def sets(batches):
         for b in sliced(batches, "text", scheme.slice_bytes):
             counts, values = shingle_sets(array(b.column("text")), scheme.width)
             at = starts_of(counts)
-            own = fingerprints(values, counts, 1) == b.column("s").to_numpy()
+            prints, given = fingerprints(values, counts, 1), array(b.column("s"))
+            own = (counts > 0) & (given.is_null().to_numpy(zero_copy_only=False) | (prints == given.fill_null(0).to_numpy()))
             out = [values[lo:hi].tobytes() if k else None for lo, hi, k in zip(at, at[1:], own)]
-            both = pa.RecordBatch.from_arrays([array(b.column("s")), pa.array(out, pa.binary())], names=["s", "set"])
+            both = pa.RecordBatch.from_arrays([pa.array(prints), pa.array(out, pa.binary())], names=["s", "set"])
             yield both.filter(pa.array(own))
 
     return texts.mapInArrow(sets, "s long, set binary").dropDuplicates(["s"])
@@ -178,6 +180,52 @@ def compared(pairs: DataFrame, sets: DataFrame, with_rest: bool = True) -> DataF
             .mapInArrow(run, "h long, m long, nh long, nm long, both long, rest array<long>"))
 
 
+def linked_together(sets: list, percent: int) -> np.ndarray:
+    """For each of at most ``most`` sets, the first that it is linked with, directly or over
+    others.  All intersections come from one product of the sets' indicator rows, a piece of
+    their common shingles at a time; entries are counts below 2 ** 24, exact in single precision."""
+    sizes = np.array([len(x) for x in sets])
+    row = np.repeat(np.arange(len(sets)), sizes)
+    _, name, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    common = times > 1
+    column, shared = (np.cumsum(common) - 1)[name], common[name]
+    order = np.argsort(column[shared], kind="stable")
+    row, column = row[shared][order], column[shared][order]
+    both = np.zeros((len(sets), len(sets)), np.float32)
+    for lo in range(0, int(common.sum()), 4096):
+        a, b = np.searchsorted(column, [lo, lo + 4096])
+        x = np.zeros((len(sets), 4096), np.float32)
+        x[row[a:b], column[a:b] - lo] = 1
+        both += x @ x.T
+    both = both.astype(np.int64)
+    linked = 100 * both >= percent * (sizes[:, None] + sizes[None, :] - both)
+    np.fill_diagonal(linked, True)
+    label = np.arange(len(sets))
+    while True:
+        least = np.where(linked, label[None, :], len(sets)).min(axis=1)
+        least = np.minimum(least, least[least])
+        if (least == label).all():
+            return label
+        label = least
+
+
+def block_links(members: DataFrame, sets: DataFrame, scheme: Scheme) -> DataFrame:
+    """Links (a, b) that connect what is linked inside each bucket of at most ``most`` members:
+    a bucket is one row of its members' sets, and only links leave it, one per member at most."""
+    rows = members.select("b", "s").join(sets, "s").groupBy("b").agg(F.collect_list(F.struct("s", "set")).alias("m"))
+
+    def run(batches):
+        for b in batches:
+            for k in range(b.num_rows):
+                m = array(b.column("m").slice(k, 1)).flatten()
+                ids = m.field("s").to_numpy(zero_copy_only=False)
+                label = linked_together([np.frombuffer(x.as_buffer(), np.uint64) for x in m.field("set")], scheme.percent)
+                other = label != np.arange(len(label))
+                yield pa.RecordBatch.from_arrays([pa.array(ids[label[other]]), pa.array(ids[other])], names=["a", "b"])
+
+    return rows.mapInArrow(run, "a long, b long").distinct()
+
+
 def links(sigs: DataFrame, texts: DataFrame, scheme: Scheme) -> DataFrame:
     """Links (a, b) that connect all classes of similarity ``percent`` or more."""
     step = 4 * scheme.rows
@@ -187,7 +235,8 @@ def links(sigs: DataFrame, texts: DataFrame, scheme: Scheme) -> DataFrame:
     shared = every.groupBy("b").agg(F.count("*").alias("c")).where("c > 1")
     members = written(every.join(shared, "b").select("b", "s", "c"), "members")
     needed = written(members.select("s").distinct(), "needed")
-    sets = written(shingle_table(texts.join(needed, "s", "left_semi"), scheme), "sets")
+    wanted = texts.join(needed, "s", "left_semi").unionByName(texts.where("s IS NULL"))
+    sets = written(shingle_table(wanted, scheme).join(needed, "s", "left_semi"), "sets")
     sigs = written(sigs.join(needed, "s", "left_semi"), "signatures")
     linked = 100 * F.col("both") >= scheme.percent * (F.col("nh") + F.col("nm") - F.col("both"))
     # the largest set that a member can link with, if they share nothing but the hub's shingles
@@ -233,14 +282,15 @@ def links(sigs: DataFrame, texts: DataFrame, scheme: Scheme) -> DataFrame:
         one = crowd.groupBy("h", "c", "o", "who").agg(F.min("g").alias("g"))    # equal groups once
         members = written(rest.join(one, ["h", "g"]).select(F.xxhash64("h", "g").alias("b"), F.col("m").alias("s"), "c",
                                                             "o", "open"), "members")
-        few = min(4 * few, scheme.most)
-        small = members.where((F.col("c") <= few) | (F.col("o") <= scheme.few))
+        small = members.where((F.col("c") <= few) | (F.col("o") <= few))
         near.append(_pairs_of(small.where("c <= o"), few).union(written(
             small.where("c > o AND open").select("b", F.col("s").alias("a"))
             .join(small.where("c > o").select("b", F.col("s").alias("z"), "open"), "b")
             .where("a <> z AND (NOT open OR a < z)").select(F.least("a", "z").alias("a"), F.greatest("a", "z").alias("b"))
             .distinct(), "near")))
-        members = members.where((F.col("c") > few) & (F.col("o") > scheme.few)).select("b", "s", "c")
+        left = members.where((F.col("c") > few) & (F.col("o") > few))
+        found.append(written(block_links(left.where(F.col("c") <= scheme.most), sets, scheme), "blocks"))
+        members = left.where(F.col("c") > scheme.most).select("b", "s", "c")
     close = written(reduce(DataFrame.union, near).distinct(), "close")
     passed = not_pruned(close, sigs, scheme).select(F.col("a").alias("h"), F.col("b").alias("m"))
     verified = compared(passed, sets, with_rest=False).where(linked)
@@ -264,10 +314,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = written(classes, "classes")
     # one signature and one text per class, those of its smallest id
     first = classes.select("s", F.col("least").alias("id"))
-    sigs = written(rows.where("n > 0").join(first, ["s", "id"], "left_semi")
+    own = first.select(F.col("s").alias("_s"), F.col("id").alias("_id"))
+    sigs = written(rows.where("n > 0").join(own, (F.col("s") == F.col("_s")) & F.col("id").eqNullSafe(F.col("_id")), "left_semi")
                    .select("s", "n", "sig").dropDuplicates(["s"]), "signatures")
     keyed = docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text"))
-    texts = keyed.join(first, "id").select("s", "text")
+    # texts without an id are found by their own fingerprint
+    texts = keyed.join(first, "id").select("s", "text").unionByName(
+        keyed.where("id IS NULL").select(F.lit(None).cast("long").alias("s"), "text"))
     labels = components(links(sigs, texts, scheme)).withColumnRenamed("node", "s")
     labelled = classes.select("s", "least").join(labels, "s", "left").select(
         "s", "least", F.coalesce("label", "s").alias("label"))

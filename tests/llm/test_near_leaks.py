@@ -2,6 +2,7 @@
 
 import numpy as np
 import pyarrow as pa
+import pytest
 
 from ledgerscreen.llm import minhash, templates
 from ledgerscreen.llm.components import components
@@ -146,3 +147,63 @@ def test_re_parameterised_questions(spark, edge_docs, no_docs):
     assert templates.leaks(edge_docs, items).count() == 0
     assert templates.leaks(no_docs, items).count() == 0 and templates.leaks(edge_docs, items.limit(0)).count() == 0
     assert templates.clean(edge_docs, items).columns == edge_docs.columns
+
+
+def test_blocks_against_every_pair():
+    """Exact links of a block, over pieces of more shingles than one product takes."""
+    import numpy as np
+    r = np.random.default_rng(11)
+    base = np.unique(r.integers(0, 2 ** 60, 6_000).astype(np.uint64))
+    sets = [base[r.random(len(base)) < p] for p in (0.95, 0.9, 0.5, 0.45, 0.93, 0.2)]
+    sets += [np.concatenate([base[:40], r.integers(0, 2 ** 60, k).astype(np.uint64)]) for k in (2, 8, 13, 14, 40)]
+    sets = [np.unique(x) for x in sets]
+    want = np.arange(len(sets))
+    for _ in sets:
+        for i, x in enumerate(sets):
+            for j, y in enumerate(sets):
+                both = len(np.intersect1d(x, y))
+                if 100 * both >= 75 * (len(x) + len(y) - both):
+                    want[i] = want[j] = min(want[i], want[j])
+    assert (minhash.linked_together(sets, 75) == want).all() and len(set(want)) > 3
+
+
+def linked_family(r, n, edits, base):
+    out = []
+    for _ in range(n):
+        words = list(base)
+        for at in r.sample(range(len(words)), edits):
+            words[at] = f"e{r.randrange(10 ** 9)}"
+        out.append(" ".join(words))
+    return out
+
+
+@pytest.mark.parametrize("scheme", [minhash.Scheme(), minhash.Scheme(few=3, most=30)])
+def test_families_without_a_centre(spark, scheme):
+    """Families whose members are linked with some others only, two of them joined by one
+    document, and a near copy without an id."""
+    import random
+    r = random.Random(12)
+    one, two = ([f"{x}{k}" for k in range(120)] for x in "pq")
+    texts = linked_family(r, 25, 2, one) + linked_family(r, 30, 3, two) + linked_family(r, 15, 1, two[:60] + one[:60])
+    rows = list(enumerate(texts)) + [(None, " ".join(one[:60] + ["changed"] + one[61:])), (900, " ".join(one))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    sets = [{tuple(t.split()[k:k + 5]) for k in range(len(t.split()) - 4)} for _, t in rows]
+    label = list(range(len(rows)))
+
+    def root(x):
+        while label[x] != x:
+            x = label[x]
+        return x
+
+    for i, x in enumerate(sets):
+        for j in range(i):
+            both = len(x & sets[j])
+            if 100 * both >= 75 * (len(x) + len(sets[j]) - both):
+                label[root(i)] = root(j)
+    least = {}
+    for k, (d, _) in enumerate(rows):
+        if d is not None:
+            least[root(k)] = min(least.get(root(k), d), d)
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(df, scheme=scheme).collect()}
+    assert got == {d: least.get(root(k)) for k, (d, _) in enumerate(rows)}
+    assert got[None] is not None
