@@ -20,8 +20,9 @@ from ledgerscreen.params import DEFAULT_PARAMS
 from ledgerscreen.plans import sqlpack
 from ledgerscreen.plans.pipeline import Pipeline
 from ledgerscreen.session import scratch_path
+from ledgerscreen.sources import json_events
 from ledgerscreen.sources.ledger import (dirty_ledger_from_orders, ledger_from_events, ledger_from_lineitem,
-                                         load_raw_csv)
+                                         load_raw_csv, table)
 from ledgerscreen.sources.sinks import write_export_csv
 
 _PIPELINES: dict = {}
@@ -80,6 +81,11 @@ def _events_ledger(spark, sf):
     return ledger_from_events(spark, sf)
 
 
+@key("event_properties")
+def _event_props(spark, sf):
+    return json_events.shredded(table(spark, sf, "events").select("event_id", "event_type", "props"), {"k": "bigint"})
+
+
 @key("dashboard_export")
 def _export(spark, sf):
     return _main(spark, sf).export

@@ -9,7 +9,7 @@ from ledgerscreen.plans.pipeline import Pipeline
 ROW = ("J1", "2024-03-30", "19:30:00", "Ops", "Rent", "Acme", "20000", "Debit", "USER_1", "d")
 LEDGERS = {"none": [], "one": [ROW], "equal": [(f"J{k}", *ROW[1:]) for k in range(3)]}
 #: Keys that read the given tables themselves.
-OWN = {"raw_scan", "events_ledger", "dirty_clean", "dirty_counts", "csv_ledger"}
+OWN = {"raw_scan", "events_ledger", "event_properties", "dirty_clean", "dirty_counts", "csv_ledger", "reconcile_loads", "reconcile_summary"}
 
 
 @pytest.fixture(scope="module", params=sorted(LEDGERS))
