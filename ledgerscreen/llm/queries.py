@@ -164,7 +164,7 @@ def _template_sql(text: str) -> str:
     return _plain_sql(f"regexp_replace({low.format(t)}, '{templates.UNIT}', '\\1<unit>\\3', 'g')")
 
 
-_BARE = "translate(coalesce(text, ''), '<>', '  ')"
+_BARE = f"regexp_replace(translate(coalesce(text, ''), '<>', '  '), '{templates.UNEVEN}', ' ', 'g')"
 _LOW = f"translate({_BARE}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 ORACLE["op8_template_leaks"] = f"""
 WITH d AS (SELECT doc_id, {_template_sql(_BARE)} AS t, {_plain_sql(_LOW)} AS r FROM documents WHERE doc_id IS NOT NULL),
@@ -172,21 +172,25 @@ i AS (
   SELECT *, least({templates.WIDTH}, len(t)) AS k
   FROM (SELECT item_id, {_template_sql(_BARE)} AS t, {_plain_sql(_LOW)} AS r FROM benchmark WHERE item_id IS NOT NULL)
   WHERE len(t) >= {templates.SHORTEST}),
+w AS (   -- every window of an item, by template and by plain words
+  SELECT item_id, t, k, p, t[p:p + k - 1] AS g, r[p:p + k - 1] AS rg,
+         2 * len(list_filter(t[p:p + k - 1], lambda x: NOT contains(x, '<'))) >= k AS literal,
+         least(len(t) - k + 1, greatest({templates.LEAST_WORDS} - k + 1, 1)) AS need
+  FROM (SELECT item_id, t, r, k, unnest(range(1, len(t) - k + 2)) AS p FROM i)),
+few AS (SELECT item_id, t, count(*) FILTER (literal) < need AS raw FROM (SELECT DISTINCT * FROM w) GROUP BY item_id, t, need),
 iw AS (
-  SELECT DISTINCT item_id, k, p, n, array_to_string(g, ' ') AS g FROM (
-    SELECT item_id, k, p, n, t[p:p + k - 1] AS g FROM (
-      SELECT item_id, t, k, len(t) - k + 1 AS n, unnest(range(1, len(t) - k + 2)) AS p FROM i))
-  WHERE 2 * len(list_filter(g, lambda x: NOT contains(x, '<'))) >= len(g)),
+  SELECT DISTINCT item_id, k, p, need, raw, array_to_string(CASE WHEN raw THEN rg ELSE g END, ' ') AS g
+  FROM w JOIN few USING (item_id, t) WHERE raw OR literal),
 dw AS (
-  SELECT doc_id, k, q, array_to_string(t[q:q + k - 1], ' ') AS g FROM (
-    SELECT doc_id, t, k, unnest(range(1, len(t) - k + 2)) AS q FROM d, (SELECT DISTINCT k FROM iw))),
+  SELECT doc_id, k, raw, q, array_to_string((CASE WHEN raw THEN r ELSE t END)[q:q + k - 1], ' ') AS g FROM (
+    SELECT doc_id, t, r, k, raw, unnest(range(1, len(t) - k + 2)) AS q FROM d, (SELECT DISTINCT k, raw FROM iw))),
 diag AS (
-  SELECT doc_id, item_id, q - p AS shift, count(DISTINCT p) AS hit FROM dw JOIN iw USING (k, g)
-  GROUP BY doc_id, item_id, q - p, n, k
-  HAVING count(DISTINCT p) >= least(n, greatest({templates.LEAST_WORDS} - k + 1, 1))),
-slot AS (
+  SELECT doc_id, item_id, k, q - p AS shift, list(DISTINCT p) AS places, count(DISTINCT p) AS hit
+  FROM dw JOIN iw USING (k, raw, g) GROUP BY doc_id, item_id, q - p, need, k, raw HAVING count(DISTINCT p) >= need),
+slot AS (   -- slots inside matched windows
   SELECT diag.*, list_filter(list_transform(range(1, len(i.t) + 1),
-           lambda p: CASE WHEN contains(i.t[p], '<') AND p + shift >= 1 AND i.t[p] = d.t[p + shift]
+           lambda p: CASE WHEN contains(i.t[p], '<') AND i.t[p] = d.t[p + shift]
+                               AND len(list_filter(places, lambda x: x <= p AND p < x + diag.k)) > 0
                      THEN [i.r[p], d.r[p + shift]] END), lambda s: s IS NOT NULL) AS s
   FROM diag JOIN d USING (doc_id) JOIN i USING (item_id))
 SELECT doc_id, item_id, max(hit) AS n_windows, bool_or(len(list_filter(s, lambda x: x[1] <> x[2])) = 0) AS verbatim

@@ -149,6 +149,21 @@ def test_re_parameterised_questions(spark, edge_docs, no_docs):
     assert templates.clean(edge_docs, items).columns == edge_docs.columns
 
 
+def test_items_dense_in_slots_and_slots_outside_windows(spark):
+    """Exact copies of items with few literal words; a copied beginning whose document goes on with
+    other values; names behind a line break."""
+    dense = ["Compute 12 * 34 - 5 and then 17 + 8 - 3 before 9 / 3 + 4", "3 km 5 km 7 km 9 km 11 km", "Add 10 and 20 to 30 in 5 days"]
+    start = " ".join(f"w{chr(97 + k)}" for k in range(14))
+    long = f"{start} asks Alice for 5 km of wire and then later rests alone there near old Alice and her 7 dogs in town"
+    items = spark.createDataFrame([*enumerate(dense), (9, long)], "item_id long, text string")
+    other = f"{start} asks Alice for 5 km of wire and then never sleeps again here under tall Boris and his 8 cats in Rome"
+    docs = spark.createDataFrame([*((k, f"so {t}, they say") for k, t in enumerate(dense)), (3, other), (4, long.replace(" ", "\n")),
+                                  (5, "Compute 12 * 34 - 6 and then 17 + 8"), (6, "3 km 5 km 7 km"),
+                                  (7, dense[0].replace(" ", " \t "))], "doc_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r["verbatim"] for r in templates.leaks(docs, items).collect()}
+    assert got == {(0, 0): True, (1, 1): True, (2, 2): True, (3, 9): True, (4, 9): True, (7, 0): True}
+
+
 def test_blocks_against_every_pair():
     """Exact links of a block, over pieces of more shingles than one product takes."""
     import numpy as np

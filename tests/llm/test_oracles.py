@@ -25,7 +25,8 @@ def test_oracle_on_edge_cases(spark, name, edge_docs, tmp_path):
     docs = edge_docs.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
     docs.select("doc_id", "text", "lang", "source", "n_chars").write.parquet(f"{tmp_path}/documents.parquet")
     bench = spark.createDataFrame([(0, None), (1, ""), (2, "a b"), (None, "some text without an id here"),
-                                   (3, edge_docs.where("doc_id = 8").first()["text"]), (3, "word again and again")],
+                                   (3, edge_docs.where("doc_id = 8").first()["text"]), (3, "word again and again"),
+                                   (5, "### $$ 1 2 3 ### $$ 1 2 3 1"), (6, "In 1 2 3 $ 1 2 km of 3 days 2 1")],
                                   "item_id long, text string")
     bench.write.parquet(f"{tmp_path}/benchmark.parquet")
     con = duckdb.connect()
