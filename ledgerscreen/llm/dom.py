@@ -31,8 +31,10 @@ BOILER_WORDS = frozenset("ad ads advert adverts advertisement banner breadcrumb
                          "sponsored subscribe toolbar widget".split())
 BOILER_ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu".split())
 MAIN_TAGS = frozenset("article main".split())
+# fixed values: parts of a class that tell of a page's layout or state, not of what the element is
+STATES = frozenset("closed disabled enabled has no not off on open with without".split())
 
-BOILER, OUTSIDE, NEUTRAL, MAIN = 0.0, 0.1, 0.5, 0.8
+BOILER, OUTSIDE, NEUTRAL, MAIN = 0.0, 0.2, 0.5, 0.8
 
 
 @dataclass
@@ -55,12 +57,23 @@ class Block:
     text: str
 
 
+def _says_boiler(tag: str, names: str) -> bool:
+    """Whether classes and id name boilerplate.  The page itself and main carry layout
+    classes only; an article is boilerplate by a whole class, not by a part of one."""
+    if tag in ("html", "body", "main"):
+        return False
+    if tag == "article":
+        return not BOILER_WORDS.isdisjoint(names.split())
+    parts = (set(SPLIT.split(x)) for x in names.split())
+    return any(p & BOILER_WORDS and not p & STATES for p in parts)
+
+
 def _child(parent: Element, tag: str, attributes: str) -> Element:
     found = {k.lower(): v.strip("\"'").lower() for k, v in ATTRIBUTE.findall(attributes)} if attributes else {}
     kind = found.get("class", "")
-    words = set(SPLIT.split(f"{kind} {found.get('id', '')}")) if found else set()
+    named = bool(found) and _says_boiler(tag, f"{kind} {found.get('id', '')}")
     main = parent.main or tag in MAIN_TAGS or found.get("role") == "main"
-    boiler = (parent.boiler or tag in BOILER_TAGS or (tag == "header" and not main) or bool(words & BOILER_WORDS)
+    boiler = (parent.boiler or tag in BOILER_TAGS or (tag == "header" and not main) or named
               or found.get("role") in BOILER_ROLES or "hidden" in found
               or "display:none" in found.get("style", "").replace(" ", ""))
     name = ".".join([tag, *sorted(kind.split())])

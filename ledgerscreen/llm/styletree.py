@@ -5,17 +5,18 @@ presentations are the sequences of its children, its contents are the texts foun
 there.  With m different pages at a node,
 
 * presentation importance is the entropy of its presentations, base m,
-* a text on k of the m pages has content importance 1 - log_m k,
+* a text on k of the m pages has content importance 1 - log k / log (m + doubt):
+  ``doubt`` pages that nobody saw keep few pages from telling much,
 * a block's importance is (1 - decay) * presentation of the element that holds it
   + decay * content.
 
-Nodes seen on fewer than ``least_pages`` pages tell nothing (importance 1); pages
-with equal text count once, so copies of an article are no template.  The
-importance is weighed against what the element itself says (menus, adverts, forms
-and the like are never main text, article and main elements usually are): a block
-goes if ``weight * importance + (1 - weight) * prior`` is below ``limit``.  Menus
-and adverts whose words differ on every page carry no sign in the tree, which is
-why the prior is needed.
+Pages with equal text count once, so copies of an article are no template.  The
+importance is weighed against what the element itself says: a block goes if
+``weight * importance + (1 - weight) * prior`` is below ``limit``.  Text beside an
+article, text of a page without one and text inside an article are so decided by
+the tree, with a limit that is the lower the more the element speaks for the text.
+Menus, adverts, forms and the like, which the element names as such, always go:
+where their words differ on every page they carry no sign in the tree.
 
 Scale: pages are parsed once and written; the tree is kept as grouped counts, with
 partial sums, keyed by host, path and content, so a host with a third of all pages
@@ -45,7 +46,7 @@ class Weights:
     decay: float = 0.9
     weight: float = 0.4
     limit: float = 0.5
-    least_pages: int = 10
+    doubt: int = 5
     slice_bytes: int = 4_000_000
 
 
@@ -77,7 +78,7 @@ def parsed(pages: DataFrame, id_col: str, url_col: str, html_col: str, slice_byt
             out, page, hosts = [], [], []
             for url, text in zip(b.column("url").to_pylist(), b.column("html").to_pylist()):
                 found = blocks(text or "")
-                main = any(x.main for x in found)
+                main = any(x.main and not x.boiler for x in found)
                 out.append([{"path": number(x.path), "parent": number(x.parent),
                              "style": number(" ".join(x.holder.children)), "words": number(x.text),
                              "prior": prior(x, main), "text": x.text} for x in found])
@@ -104,8 +105,8 @@ def importance(nodes: DataFrame, w: Weights) -> DataFrame:
               .agg(F.sum("c").alias("t"), F.sum(F.col("c") * F.log("c")).alias("cl")))
     looks = styles.select("host", "parent", F.when(F.col("t") > 1, (F.log("t") - F.col("cl") / F.col("t")) / F.log("t"))
                           .otherwise(1.0).alias("look"))
-    content = 1 - F.log("k") / F.log("m")
-    return (shared.join(pages.where(F.col("m") >= w.least_pages), ["host", "path"]).join(looks, ["host", "parent"])
+    content = 1 - F.log("k") / F.log(F.col("m") + w.doubt)
+    return (shared.join(pages, ["host", "path"]).join(looks, ["host", "parent"])
             .select("host", "path", "words", "parent",
                     ((1 - w.decay) * F.col("look") + w.decay * content).alias("importance")))
 

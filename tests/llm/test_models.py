@@ -138,6 +138,79 @@ def test_main_text(spark):
     assert styletree.main_text(pages.limit(0)).count() == 0
 
 
+def test_what_classes_say_about_a_page(spark):
+    text, other = prose(70, 40), prose(71, 12)
+    rows = [f"<body class='right-sidebar'><article><p>{text}</p></article></body>",
+            f"<article class='post comments-open'><p>{text}</p></article>",
+            f"<div class='entry-content'><p>{text}</p></div><article class='comment'><p>{other}</p></article>",
+            f"<div class='post has-sidebar'><p>{text}</p><div class='sidebar-right'>{other}</div></div>",
+            f"<main class=search-page><p>{text}</p></main><div id=comments><article>{other}</article></div>",
+            f"<div><p>{text}</p></div><aside><article>{other}</article></aside>"]
+    pages = spark.createDataFrame([(k, f"http://h{k}.org", h) for k, h in enumerate(rows)], "page_id long, url string, html string")
+    assert {r["page_id"]: r["text"] for r in styletree.main_text(pages).collect()} == {k: text for k in range(len(rows))}
+    beside = spark.createDataFrame([(0, "http://x.org", f"<div><p>{text}</p></div><article><h2>{other}</h2></article>")],
+                                   "page_id long, url string, html string")
+    assert styletree.main_text(beside).first()["text"] == f"{text} {other}"
+
+
+def plain_tree(pages, w=styletree.Weights()):
+    """Texts of (host, html) pages by the tree's definition, page by page."""
+    parsed = [(h, blocks(t)) for h, t in pages]
+    whole = ["\n".join(b.text for b in bs if not b.boiler) for _, bs in parsed]
+    at, on, looks = {}, {}, {}
+    for (h, bs), page in zip(parsed, whole):
+        for b in bs:
+            at.setdefault((h, b.path), set()).add(page)
+            on.setdefault((h, b.path, b.text, b.parent), set()).add(page)
+            looks.setdefault((h, b.parent), {}).setdefault(tuple(b.holder.children), set()).add(page)
+    out = []
+    for h, bs in parsed:
+        stay, rest = [], []
+        has_main = any(b.main and not b.boiler for b in bs)
+        for b in bs:
+            p = 0.0 if b.boiler else 0.8 if b.main else 0.2 if has_main else 0.5
+            k, m = len(on[h, b.path, b.text, b.parent]), len(at[h, b.path])
+            counts = [len(x) for x in looks[h, b.parent].values()]
+            t = sum(counts)
+            look = -sum(c / t * math.log(c / t) for c in counts) / math.log(t) if t > 1 else 1.0
+            worth = 1.0 if k == 1 else (1 - w.decay) * look + w.decay * (1 - math.log(k) / math.log(m + w.doubt))
+            if w.weight + (1 - w.weight) * p >= w.limit:
+                rest.append(b.text)
+                if w.weight * worth + (1 - w.weight) * p >= w.limit:
+                    stay.append(b.text)
+        out.append(" ".join(stay or rest))
+    return out
+
+
+def test_style_tree_against_plain_python(spark):
+    """Hosts of one to 120 pages: texts beside, without and inside articles that some pages share."""
+    r = random.Random(15)
+    pages = []
+    for host, n in enumerate((1, 2, 3, 9, 30, 120)):
+        for k in range(n):
+            note = f"<div class=box><p>{prose(500 + host + 100 * r.randrange(1 + k % 4), 8)}</p></div>"
+            own = "".join(f"<p>{prose(1000 * host + k + 9 * j, 20)}</p>" for j in range(r.randrange(1, 4)))
+            tail = f"<p>{prose(900 + host, 6)}</p>" if r.random() < 0.97 else ""
+            body = f"<article>{own}{tail}</article>" if r.random() < 0.5 else f"<div class=text>{own}{tail}</div>"
+            nav = f"<nav>{prose(k, 3)}</nav>"
+            pages.append((f"h{host}", nav + note * (r.random() < 0.8) + body + f"<p>{prose(77 + host, 5)}</p>"))
+    pages += pages[-1:] * 5
+    df = spark.createDataFrame([(k, f"http://{h}/{k}", t) for k, (h, t) in enumerate(pages)], "page_id long, url string, html string")
+    got = {x["page_id"]: x["text"] for x in styletree.main_text(df).collect()}
+    want = plain_tree(pages)
+    assert [got[k] for k in range(len(pages))] == want
+    notes = [sum(len(b.text) for b in blocks(t) if not b.boiler) + len([b for b in blocks(t) if not b.boiler]) - 1 for _, t in pages]
+    assert 20 < sum(len(x) < n for x, n in zip(want, notes)) < len(pages)        # the tree decides on some
+
+
+def test_long_and_deep_pages(spark):
+    deep = "<div>" * 3_000 + "far down" + "</div>" * 3_000
+    long = "<article>" + "".join(f"<p>{prose(k, 50)}</p>" for k in range(2_000)) + "</article>"
+    df = spark.createDataFrame([(1, "http://a", deep), (2, "http://a", long)], "page_id long, url string, html string")
+    got = {x["page_id"]: x["text"] for x in styletree.main_text(df).collect()}
+    assert got == {1: "far down", 2: " ".join(prose(k, 50) for k in range(2_000))}
+
+
 def test_blocks_survive_broken_html():
     r = random.Random(6)
     bits = ["<p>", "</p>", "<b>", "</div>", "<div class=x>", "<!--", "-->", "<", ">", "text", "&amp;", "<script>", "</script>",
