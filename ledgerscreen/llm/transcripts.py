@@ -6,7 +6,9 @@ states are role x (first line of a turn, later line).  A line shows a marker
 class, whether a blank line stands before it, whether it ends in a question mark
 and a length class; the emission is their product.  Transitions and emissions are
 counted, with add-one smoothing, on lines whose role is known.  Viterbi finds the
-states, and a new turn begins wherever a first-line state stands.
+states, and a new turn begins wherever a first-line state stands.  Only then is a
+marker cut, and only where it fits the role found: inside a turn every character
+stays, blank lines, indentation and lines that look like a marker too.
 
 Long transcripts come in parts (rows of ``id, part, text``).  Viterbi stays exact
 over parts: each part gives its matrix of best scores between an entry and an exit
@@ -16,7 +18,10 @@ whole.
 
 Defined cases: null or empty text has no turn; a null id is ignored; lines before
 any marker belong to the role the model prefers there; markers alone on a line
-belong to the next line with text; empty tables give an empty result.
+belong to the next line with text; blank lines between two turns, markers and the
+blanks around them belong to no turn; rows of one (id, part) are one part, in the
+order of their text, and a null part is part 0; turns of other roles are not
+learned from; further columns are ignored; empty tables give an empty result.
 """
 
 from __future__ import annotations
@@ -68,21 +73,40 @@ def marker_of(line: str) -> tuple[int, str]:
     return (OTHER, line[m.end():]) if speaker else (NONE, line)
 
 
-def observed(text: str) -> tuple[np.ndarray, list[str]]:
-    """Feature values (lines x features) and texts of the lines with text."""
-    rows, kept, blank, waiting = [], [], 0, NONE
+@dataclass
+class Line:
+    """A line with text."""
+    before: list[str]       # raw lines since the line with text before it: blanks and markers alone
+    raw: str
+    own: int                # class of the marker on the line itself
+    rest: str               # what stands behind that marker
+
+    def opening(self, role: int) -> str:
+        """The beginning of a turn of ``role``: markers that fit it are cut."""
+        if self.own != NONE:
+            return self.rest if self.own in (role, OTHER) else self.raw
+        for k in range(len(self.before) - 1, -1, -1):
+            kind, _ = marker_of(self.before[k])
+            if kind != NONE:
+                return self.raw if kind in (role, OTHER) else "\n".join([*self.before[k:], self.raw])
+        return self.raw
+
+
+def observed(text: str) -> tuple[np.ndarray, list[Line], list[str]]:
+    """Feature values (lines x features), the lines with text, the raw lines behind the last of them."""
+    rows, kept, before, blank, waiting = [], [], [], 0, NONE
     for line in text.split("\n"):
         kind, rest = marker_of(line)
         if not rest.strip():
+            before.append(line)
             blank, waiting = (blank or kind == NONE) * 1, kind if kind != NONE else waiting
             continue
-        if kind == NONE:
-            kind, rest = waiting, rest if waiting != NONE else line
+        kept.append(Line(before, line, kind, rest))
         n = len(rest)
-        rows.append((kind, blank, int(rest.rstrip().endswith("?")), 0 if n < 60 else 1 if n < 200 else 2 if n < 600 else 3))
-        kept.append(rest.strip())
-        blank, waiting = 0, NONE
-    return np.array(rows, np.int64).reshape(-1, len(CHOICES)), kept
+        rows.append((waiting if kind == NONE else kind, blank, int(rest.rstrip().endswith("?")),
+                     0 if n < 60 else 1 if n < 200 else 2 if n < 600 else 3))
+        before, blank, waiting = [], 0, NONE
+    return np.array(rows, np.int64).reshape(-1, len(CHOICES)), kept, before
 
 
 def emissions(m: Hmm, seen: np.ndarray) -> np.ndarray:
@@ -121,7 +145,7 @@ def learn(turns: DataFrame) -> Hmm:
         more = np.zeros(2 * len(ROLES))                  # later lines that follow, turns
         for b in batches:
             for role, text in zip(b.column("role").to_pylist(), b.column("text").to_pylist()):
-                seen, _ = observed(text or "")
+                seen, _, _ = observed(text or "")
                 r = ROLES.index(role)
                 more[2 * r] += max(len(seen) - 1, 0)
                 more[2 * r + 1] += len(seen) > 0
@@ -168,7 +192,7 @@ def boundaries(m: Hmm, parts: DataFrame) -> DataFrame:
         for b in batches:
             ids, at, out = [], [], []
             for k, text in enumerate(b.column("text").to_pylist()):
-                seen, _ = observed(text or "")
+                seen, _, _ = observed(text or "")
                 if len(seen):
                     ids.append(k)
                     out.append(part_matrix(m, seen).ravel())
@@ -206,7 +230,10 @@ def boundaries(m: Hmm, parts: DataFrame) -> DataFrame:
 
 def turns(parts: DataFrame, m: Hmm) -> DataFrame:
     """(id, turn, role, text, n_lines) from (id, part, text)."""
-    parts = parts.where(F.col("id").isNotNull())
+    parts = parts.where(parts["id"].isNotNull()).select(
+        "id", F.coalesce(parts["part"].cast("long"), F.lit(0)).alias("part"), parts["text"].cast("string").alias("text"))
+    parts = parts.groupBy("id", "part").agg(F.array_join(F.array_sort(F.collect_list("text")), "\n").alias("text"),
+                                            F.count("text").alias("n")).where("n > 0").drop("n")
     kind = parts.schema["id"].dataType.simpleString()
     fixed = parts.join(boundaries(m, parts), ["id", "part"], "left")
 
@@ -215,31 +242,42 @@ def turns(parts: DataFrame, m: Hmm) -> DataFrame:
             rows = []
             for id_, part, text, entry, exit in zip(*(b.column(c).to_pylist() for c in
                                                       ("id", "part", "text", "entry", "exit"))):
-                seen, lines = observed(text or "")
-                if not lines:
+                seen, lines, tail = observed(text or "")
+                if not lines:                  # blanks inside a turn, if it goes on
+                    rows.append((id_, part, 0, False, None, None, text, 0))
                     continue
                 states = decode(m, seen, None if entry in (None, -1) else entry, exit)
                 local, begin = 0, 0
                 for k in range(1, len(lines) + 1):
                     if k == len(lines) or states[k] % 2 == 0:
-                        opens = bool(states[begin] % 2 == 0)
+                        opens, role = bool(states[begin] % 2 == 0), int(states[begin] // 2)
                         local += opens
-                        rows.append((id_, part, local, opens, ROLES[states[begin] // 2], "\n".join(lines[begin:k]), k - begin))
+                        first = lines[begin]
+                        body = [first.opening(role)] if opens else [*first.before, first.raw]
+                        for x in lines[begin + 1:k]:
+                            body += [*x.before, x.raw]
+                        rows.append((id_, part, local, opens, ROLES[role], "\n".join(body),
+                                     "\n".join(tail) if tail and k == len(lines) else None, k - begin))
                         begin = k
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[k] for r in rows], t) for k, t in enumerate(
-                    (b.column("id").type, pa.int64(), pa.int64(), pa.bool_(), pa.string(), pa.string(), pa.int64()))],
-                names=["id", "part", "local", "opens", "role", "text", "n_lines"])
+                    (b.column("id").type, pa.int64(), pa.int64(), pa.bool_(), pa.string(), pa.string(), pa.string(), pa.int64()))],
+                names=["id", "part", "local", "opens", "role", "text", "tail", "n_lines"])
 
     pieces = written(fixed.select("id", "part", "text", "entry", "exit").mapInArrow(
-        run, f"id {kind}, part long, local long, opens boolean, role string, text string, n_lines long"), "turns")
+        run, f"id {kind}, part long, local long, opens boolean, role string, text string, tail string, n_lines long"), "turns")
     opened = pieces.groupBy("id", "part").agg(F.sum(F.col("opens").cast("long")).alias("n"))
     ahead = Window.partitionBy("id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)   # a row per part
     base = opened.select("id", "part", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("base"))
     placed = pieces.join(base, ["id", "part"]).withColumn("turn", F.col("base") + F.col("local") - 1)
-    body = F.array_sort(F.collect_list(F.struct("part", "local", "text")))
-    return placed.groupBy("id", "turn", "role").agg(
-        F.array_join(F.transform(body, lambda x: x["text"]), "\n").alias("text"), F.sum("n_lines").alias("n_lines"))
+    # a turn's pieces in order; what stands behind the last one with text is no part of it
+    body = F.expr("array_sort(collect_list(struct(part, text, tail)))")
+    turns = placed.where("turn >= 0").groupBy("id", "turn").agg(F.max("role").alias("role"), body.alias("body"),
+                                                                F.sum("n_lines").alias("n_lines"))
+    last = F.expr("array_max(transform(body, (x, k) -> if(x.text IS NULL, -1, k)))")
+    kept = F.expr("flatten(transform(slice(body, 1, last + 1), (x, k) -> "
+                  "array_compact(array(x.text, if(k < last, x.tail, null)))))")
+    return turns.withColumn("last", last).select("id", "turn", "role", F.array_join(kept, "\n").alias("text"), "n_lines")
 
 
 def canonical(role, text):

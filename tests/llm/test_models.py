@@ -1,5 +1,6 @@
 """Language identification, language model, page text and transcripts."""
 
+import itertools
 import math
 import random
 import re
@@ -243,6 +244,95 @@ def test_viterbi_over_parts_is_exact(spark):
     assert view[1] == view[2] and not view[3] and len(view[1]) > 5
 
 
+@pytest.fixture(scope="module")
+def hmm(spark):
+    return transcripts.learn(queries.raw_turns(spark.read.parquet(f"{SF}/conversations.parquet")))
+
+
+def test_viterbi_against_every_path(hmm):
+    r = random.Random(5)
+    for _ in range(12):
+        text = "\n".join(r.choice(["User: ", "AI: ", "System: ", "", "", "Speaker 1: ", "\n", "Q:\n"]) + prose(r.randrange(99), r.randrange(1, 60))
+                         + r.choice(["?", ""]) for _ in range(r.randrange(1, 5)))
+        seen, _, _ = transcripts.observed(text)
+        e = transcripts.emissions(hmm, seen)
+
+        def worth(path):
+            return hmm.start[path[0]] + sum(hmm.move[a, b] for a, b in zip(path, path[1:])) + sum(e[k, s] for k, s in enumerate(path))
+        best = max(map(worth, itertools.product(range(transcripts.STATES), repeat=len(seen))))
+        assert math.isclose(worth(transcripts.decode(hmm, seen, None, None)), best, rel_tol=1e-12)
+
+
+def only_markers(gap):
+    return all(not transcripts.marker_of(x)[1].strip() for x in gap.split("\n"))
+
+
+def test_no_text_is_lost(spark, hmm):
+    """Turns, and between them markers and blanks alone, make up each transcript, whole or in parts."""
+    r = random.Random(3)
+    bits = ["User: ", "Assistant: ", "", "", "    ", "\t", "Note: ", "Question: ", "### Response\n", "\n", "\n\n  ", "[User] ", "Speaker 2: "]
+    rows, whole = [], {}
+    for i in range(40):
+        lines = [r.choice(bits) + r.choice(["def f(x):", "    return x  ", "why?", prose(r.randrange(99), r.randrange(1, 30)), "", "Note: do x"])
+                 for _ in range(r.randrange(1, 14))]
+        rows.append((i, 0, "\n".join(lines)))
+        whole[i] = whole[100 + i] = rows[-1][2]
+        cuts = sorted(r.sample(range(len(lines) + 1), min(2, len(lines))))
+        rows += [(100 + i, k, "\n".join(lines[a:b])) for k, (a, b) in enumerate(zip([0, *cuts], [*cuts, len(lines)])) if a < b]
+    got = transcripts.turns(spark.createDataFrame(rows, "id long, part long, text string"), hmm).collect()
+    cut = marked = 0
+    for i, text in whole.items():
+        at = 0
+        for t in sorted((x["turn"], x["text"]) for x in got if x["id"] == i):
+            found = text.index(t[1], at)
+            while not only_markers(text[at:found]):
+                pytest.fail(f"{text!r}: lost {text[at:found]!r}")
+            at = found + len(t[1])
+            cut += found > 0
+            marked += any(transcripts.marker_of(x)[0] != transcripts.NONE for x in t[1].split("\n"))
+        assert only_markers(text[at:]), text
+    assert cut > 50 and marked > 5
+
+
+def test_lines_that_look_like_markers_stay(spark, hmm):
+    """With a model that opens turns at "User:" and "Assistant:" alone, turns are the slices between."""
+    show = [np.log(np.full((transcripts.STATES, n), 1 / n)) for n in transcripts.CHOICES]
+    show[0][:] = -50
+    for role in range(3):
+        show[0][2 * role, role] = 0
+        show[0][2 * role + 1, [0, transcripts.NONE]] = 0
+    show[0][0] = -50
+    fixed = transcripts.Hmm(hmm.start, hmm.move, show)
+    code = "Here it is:\n\n    def f(x):\n        return x  \n\n\nNote: do x\nSystem:\n\n\tdone  "
+    text = f"User: why \n so?\n\nAssistant: {code}\n \nUser:\n  - item\n  - more\n"
+    df = spark.createDataFrame([(1, 0, text, "clash", 5)], "id long, part long, text string, role string, turn int")
+    cut = spark.createDataFrame([(1, k, t) for k, t in enumerate(text.split("\n"))], "id long, part long, text string")
+    at = text.index("\n\n    def") + 1
+    halves = spark.createDataFrame([(1, 0, text[:at]), (1, 7, text[at + 1:])], "id long, part long, text string")
+    for parts in (df, halves):
+        got = sorted((x["turn"], x["role"], x["text"]) for x in transcripts.turns(parts, fixed).collect())
+        assert got == [(0, "user", "why \n so?"), (1, "assistant", code), (2, "user", "  - item\n  - more")]
+    # a part for each line, some of them blank
+    first = [x["text"] for x in sorted(transcripts.turns(cut.where("part < 9"), fixed).collect(), key=lambda x: x["turn"])]
+    assert first == ["why \n so?", "Here it is:\n\n    def f(x):\n        return x  "]
+
+
+def test_transcript_edge_cases(spark, hmm):
+    long = "\n".join(["User: start?", *(prose(k, 9) for k in range(20_000))])
+    df = spark.createDataFrame([(1, 0, None), (2, 0, " \n\t"), (3, 0, "User:"), (4, 0, "just text"), (5, 0, long), (6, 1, "b?"), (6, 1, "b?"),
+                                (7, None, "User: a?"), (7, 0, None)], "id long, part long, text string")
+    got = {}
+    for x in transcripts.turns(df, hmm).collect():
+        got.setdefault(x["id"], []).append(x)
+    assert set(got) == {4, 5, 6, 7} and got[4][0]["text"] == "just text" and got[7][0]["text"] == "a?"
+    assert sum(x["n_lines"] for x in got[5]) == 20_001 and sum(x["n_lines"] for x in got[6]) == 2
+    assert sum(len(x["text"].split()) for x in got[5]) == 1 + sum(len(prose(k, 9).split()) for k in range(20_000))
+    assert transcripts.turns(df.limit(0), hmm).count() == 0
+    strange = spark.createDataFrame([(1, 0, "tool", "x"), (1, 1, None, "y"), (1, 2, "user", None)], "id long, seq long, role string, text string")
+    assert transcripts.turns(df.where("id = 4"), transcripts.learn(strange)).count() == 1
+    assert transcripts.learn(strange.limit(0)).move.shape == hmm.move.shape
+
+
 @pytest.mark.parametrize("line,want", [("User: hi", (1, "hi")), ("### Response", (2, "")), ("[SYS] x", (0, "x")),
                                        ("<|assistant|>", (2, "")), ("Speaker 2: a", (4, "a")), ("http://x", (3, "http://x")),
                                        ("Note that: x", (3, "Note that: x"))])
