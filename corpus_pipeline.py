@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerscreen.llm import lines, minhash, packing, repetition, templates
-from ledgerscreen.llm.common import small_batches, written
+from ledgerscreen.llm.common import deleted, scratch, small_batches, written
 from ledgerscreen.llm.queries import table, vocabulary
 
 
@@ -63,6 +63,12 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(os.path.join(sf_dir, "documents.parquet"))
+    last = None
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), name)
+        with scratch(spark) as tables:          # a stage's own tables go once its result is written
+            docs = written(stage(spark, docs, sf_dir), name)
+            result = tables.pop()
+        if last:
+            deleted(spark, last)                # so does the result before it
+        last = result
     return STAGES[-1][1](spark, docs, sf_dir)

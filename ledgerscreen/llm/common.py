@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -68,11 +69,36 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return scratch_path(spark, f"llm-{name}-{uuid.uuid4().hex}")
 
 
+_watched: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Gives the list of the tables written inside; those still in it at the end are
+    deleted.  Results that outlive the block are written and their folder taken off the list."""
+    paths: list[str] = []
+    _watched.append(paths)
+    try:
+        yield paths
+    finally:
+        _watched.remove(paths)
+        for path in paths:
+            deleted(spark, path)
+
+
+def deleted(spark: SparkSession, path: str) -> None:
+    """Remove a written table by Hadoop's file system, which knows the shared folder's scheme."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write to the shared folder and read back: cuts the lineage and survives
     the loss of executors."""
     spark = df.sparkSession
     path = fresh_path(spark, name)
+    for paths in _watched:
+        paths.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -78,3 +78,16 @@ def test_stages_on_edge_cases(spark, edge_docs, no_docs):
 
 def test_stage_order():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "line_dedup", "near_dedup", "decontamination", "pack"]
+
+
+def test_scratch_tables_go_with_their_block(spark):
+    import os
+
+    from ledgerscreen.llm import common
+    with common.scratch(spark) as tables:
+        gone, kept = common.written(spark.range(3), "a"), common.written(spark.range(4), "b")
+        assert gone.count() == 3
+        paths = list(tables)
+        tables.pop()
+    there = [os.path.exists(x.removeprefix("file:")) for x in paths]
+    assert there == [False, True] and kept.count() == 4 and not common._watched
