@@ -10,8 +10,8 @@ New raw ledger files arriving in a folder are typed and screened as they land:
   threshold.  A streamed row therefore gets exactly the score it would get
   in the batch run that built the reference.
 
-Rules that compare a row with the whole ledger (duplicates, concentration,
-IQR outliers) need the full table and stay in the batch pipeline.
+Duplicates and concentration have stateful forms in ``whole_ledger``; IQR outliers
+need the full table and stay in the batch pipeline.
 """
 
 from __future__ import annotations
