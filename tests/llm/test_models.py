@@ -36,24 +36,46 @@ def test_langid_edge_cases(spark, edge_docs, no_docs):
     assert langid.predict(no_docs, model).count() == 0
 
 
-def test_seating_keeps_customers_and_is_repeatable():
-    n = np.array([0, 1, 2, 3, 50, 4000])
-    keys = np.arange(6, dtype=np.uint64)
-    w = np.full(6, 0.5)
-    runs = []
-    for _ in range(2):
-        s = seating.Seating(n, w, keys, 0.7)
-        for k in range(30):
-            s.step(w, k)
-        sums = np.add.reduceat(s.size, s.first[:-1])
-        assert sums.tolist() == [2, 3, 50, 4000] and (s.size >= 0).all()
-        runs.append(s.tables().tolist())
-    assert runs[0] == runs[1] and runs[0][:2] == [0, 1]
-    pairs = seating.Seating(np.full(20_000, 2), np.full(20_000, 0.6), np.arange(20_000, dtype=np.uint64), 0.7)
-    for k in range(5):
-        pairs.step(np.full(20_000, 0.6), k)
+def test_table_counts_are_bounded_and_repeatable():
+    n = np.array([0, 1, 2, 3, 50, 4000, 3_000_000])
+    keys = np.arange(7, dtype=np.uint64)
+    for weight in (1e-12, 0.5, 1e9):
+        runs = [seating.tables(n, np.full(7, weight), keys, 0.7, 5).tolist() for _ in range(2)]
+        assert runs[0] == runs[1] and runs[0][:2] == [0, 1]
+        assert all(1 <= k <= m for k, m in zip(runs[0][1:], n[1:]))
+    # a dish's draw doesn't hang on the dishes around it
+    assert seating.tables(n[::-1], np.full(7, 0.5), keys[::-1], 0.7, 5)[::-1].tolist() == \
+        seating.tables(n, np.full(7, 0.5), keys, 0.7, 5).tolist()
     # two customers of a dish: a second table has weight 0.6 against 1 - 0.7
-    assert abs((pairs.tables() == 2).mean() - 0.6 / 0.9) < 0.02
+    pairs = seating.tables(np.full(20_000, 2), np.full(20_000, 0.6), np.arange(20_000, dtype=np.uint64), 0.7, 1)
+    assert abs((pairs == 2).mean() - 0.6 / 0.9) < 0.02
+    assert seating.tables(np.empty(0, np.int64), np.empty(0), np.empty(0, np.uint64), 0.5, 0).tolist() == []
+
+
+def table_moments(n, weight, d, most):
+    """Mean and spread of k under weight^k S(n, k), by the plain recursion over customers."""
+    row, k = np.full(most + 1, -np.inf), np.arange(1, most + 1)
+    row[0] = 0.0
+    for m in range(n):
+        stay = np.where(m - d * k > 0, np.log(np.maximum(m - d * k, 1e-300)), -np.inf) + row[1:]
+        row = np.concatenate([[-np.inf], np.logaddexp(row[:-1], stay)])
+    x = row[1:] + k * math.log(weight)
+    x = np.exp(x - x.max())
+    x /= x.sum()
+    assert x[-1] < 1e-6 or most >= n
+    mean = (x * k).sum()
+    return mean, math.sqrt((x * k * k).sum() - mean ** 2)
+
+
+@pytest.mark.parametrize("n, weight, most", [(10, 1.0, 10), (100, 2.0, 100), (256, 300.0, 256), (257, 40.0, 257), (300, 60.0, 300),
+                                             (1_000, 5.0, 200), (1_000, 200.0, 1_000), (10_000, 5.0, 200),
+                                             (10_000, 300.0, 1_500), (10_000, 1_000.0, 2_500), (100_000, 20.0, 200)])
+@pytest.mark.parametrize("discount", [0.5, 0.8])
+def test_table_counts_follow_their_law(n, weight, most, discount):
+    mean, spread = table_moments(n, weight, discount, most)
+    got = seating.tables(np.full(10_000, n), np.full(10_000, weight), np.arange(10_000, dtype=np.uint64), discount, 2)
+    assert abs(got.mean() / mean - 1) < 0.04
+    assert abs(got.std() / spread - 1) < 0.06
 
 
 def test_language_model_contract_and_sum(spark):
