@@ -54,6 +54,13 @@ def group_quantiles(df: DataFrame, keys: list[str], value: str, probs: dict[str,
 
 def _by_selection(data: DataFrame, sizes: DataFrame, keys: list[str],
                   probs: dict[str, float]) -> DataFrame:
+    targets = rank_targets(sizes, keys, probs)
+    stats = select_ranks(data, targets.select(*keys, "_name", "_k"), keys, probs)
+    return interpolated(stats, targets, keys, probs)
+
+
+def rank_targets(sizes: DataFrame, keys: list[str], probs: dict[str, float]) -> DataFrame:
+    """keys, n, _name, _pos and the one or two ranks _k around each position, from keys + ``n``."""
     targets = None
     for name, q in probs.items():
         pos = (F.col("n") - 1).cast("double") * F.lit(float(q))
@@ -61,8 +68,11 @@ def _by_selection(data: DataFrame, sizes: DataFrame, keys: list[str],
         t = t.select(*keys, "n", "_name", "_pos",
                      F.explode(F.array(F.floor("_pos").cast("long"), F.ceil("_pos").cast("long"))).alias("_k"))
         targets = t if targets is None else targets.unionByName(t)
-    targets = targets.dropDuplicates([*keys, "_name", "_k"])
-    stats = select_ranks(data, targets.select(*keys, "_name", "_k"), keys, probs)
+    return targets.dropDuplicates([*keys, "_name", "_k"])
+
+
+def interpolated(stats: DataFrame, targets: DataFrame, keys: list[str], probs: dict[str, float]) -> DataFrame:
+    """keys, n and one column per name, from the values _v at the ranks of ``targets``."""
     base = targets.select(*keys, "n", "_name", "_pos").dropDuplicates([*keys, "_name"])
     lo = stats.select(*keys, "_name", F.col("_k").alias("_klo"), F.col("_v").alias("_vlo"))
     hi = stats.select(*keys, "_name", F.col("_k").alias("_khi"), F.col("_v").alias("_vhi"))
@@ -137,8 +147,15 @@ def select_ranks(data: DataFrame, targets: DataFrame, keys: list[str], near: dic
     state = state.select(*keys, "_name", "_k", "_lo", "_hi", "_below", "_c",
                          F.when(F.col("_in") & (F.col("_lo") == F.col("_hi")), F.col("_lo")).alias("_v"),
                          (~F.col("_in") | (F.col("_lo") == F.col("_hi"))).alias("_closed"))
+    return narrowed(data, state, keys)
+
+
+def narrowed(data: DataFrame, state: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, _name, _k, _v once every bracket of ``state`` is closed: keys, _name, _k, _lo, _hi (the
+    bracket's ends), _below (rows under it), _c (rows in it), _v (the value once _closed)."""
     state = _saved(state)
     tk = [*keys, "_name", "_k"]
+
     def rows_in(brackets: DataFrame) -> DataFrame:
         """(keys, _x, target, bracket) for every open target whose bracket holds the row."""
         rest = [c for c in brackets.columns if c not in keys]

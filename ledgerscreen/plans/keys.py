@@ -13,7 +13,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from ledgerscreen.functions import quantile_state
 from ledgerscreen.operators import benford, clean as cl, features as ft, reports, risk as rk
 from ledgerscreen.operators import asof, cube, near, reconcile, rules, validate, volume
 from ledgerscreen.params import DEFAULT_PARAMS
@@ -305,6 +307,18 @@ def _reconcile_sum(spark, sf):
     return reconcile.summary(reconcile.differences(*_two_loads(spark, sf)))
 
 
+@key("account_quantiles_by_load")
+def _quantiles_by_load(spark, sf):
+    """The ledger as two loads, split in time; each leaves its state, the quantiles come from the merged one."""
+    je, by = _main(spark, sf).clean, ["account"]
+    late = F.coalesce(F.col("date") >= F.lit("1996-01-01").cast("date"), F.lit(False))
+    path = scratch_path(spark, f"quantile-state-{uuid.uuid4().hex}")
+    for load, rows in (("early", je.where(~late)), ("late", je.where(late))):
+        quantile_state.store(quantile_state.state_of(rows, by, "amount"), path, load)
+    state = quantile_state.stored(spark, path, StructType([je.schema["account"]]))
+    return quantile_state.quantiles(state, je, by, "amount", {"q1": DEFAULT_PARAMS.q_low, "median": 0.5, "q3": DEFAULT_PARAMS.q_high})
+
+
 # ------------------------------------------------------------------ features / model
 @key("features")
 def _features(spark, sf):
