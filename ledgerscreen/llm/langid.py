@@ -4,7 +4,7 @@ Texts are lower-cased, everything but letters becomes a word boundary, and
 n-grams of one to three characters are hashed into ``features`` columns.  Document
 frequencies are counted over every training row.  The weights are learned with
 follow-the-regularised-leader (per-coordinate steps, L1 and L2 penalties, so most
-weights stay zero) on a sample of at most ``sample`` labelled rows, the same
+weights stay zero) on a sample of at most ``sample`` different labelled texts, the same
 number for each label, drawn by hash; a fifth of it fits the softmax temperature.
 
 Defined cases: null text or text without a letter is ``und`` with score 0; ties
@@ -28,12 +28,13 @@ from ledgerscreen.llm.common import array, sliced, written
 from ledgerscreen.llm.shingles import mixed
 
 UNKNOWN = "und"
+MOST_LABELS = 10_000        # more are joined without a broadcast
 
 
 @dataclass(frozen=True)
 class Settings:
     features: int = 1 << 14
-    sample: int = 6000          # labelled rows that the weights are learned from, at most
+    sample: int = 6000          # different labelled texts that the weights are learned from, at most
     calibrate_every: int = 5    # of the sample, every fifth row fits the temperature only
     epochs: int = 2
     alpha: float = 1.0
@@ -166,23 +167,34 @@ def document_frequencies(rows: DataFrame, s: Settings) -> tuple[np.ndarray, int]
     return out[:-1], int(out[-1])
 
 
+def texts_per_label(rows: DataFrame) -> DataFrame:
+    """(label, c): about how many different texts each label has."""
+    return written(rows.groupBy("label").agg(F.approx_count_distinct(F.xxhash64("text")).alias("c")), "labels")
+
+
+def drawn(rows: DataFrame, per_label: DataFrame, quota: int) -> DataFrame:
+    """(label, u, text): at most ``quota`` different texts of each label, by hash.
+
+    A threshold leaves about twice the quota of each label; copies of a text fall together
+    in every task before anything is shuffled, and the rank then cuts exactly."""
+    u = F.pmod(F.xxhash64("text", "label"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    near = rows.join(F.broadcast(per_label), "label") if per_label.count() <= MOST_LABELS else rows.join(per_label, "label")
+    near = near.withColumn("u", u).where(F.col("u") * F.col("c") < 2 * quota).select("label", "u", "text").distinct()
+    rank = F.row_number().over(Window.partitionBy("label").orderBy("u", "text"))
+    return near.withColumn("r", rank).where(F.col("r") <= quota).select("label", "u", "text")
+
+
 def train(docs: DataFrame, label_col: str = "lang", text_col: str = "text", s: Settings = Settings()) -> Model:
     """Learn from the labelled rows of ``docs``."""
     rows = docs.where(docs[label_col].isNotNull() & docs[text_col].isNotNull()).select(
         docs[label_col].cast("string").alias("label"), docs[text_col].cast("string").alias("text"))
     df, n = document_frequencies(rows, s)
     idf = np.log((1 + n) / (1 + df)) + 1
-    per_label = rows.groupBy("label").agg(F.count("*").alias("c"))
-    per_label = written(per_label, "labels")
+    per_label = texts_per_label(rows)
     labels = per_label.count()
     if not labels:
         return Model([], idf, np.zeros((s.features + 1, 0)), 1.0)
-    quota = max(1, s.sample // labels)
-    # a hash threshold leaves about twice the quota of each label; the rank then cuts exactly
-    u = F.pmod(F.xxhash64("text", "label"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    near = rows.join(per_label, "label").withColumn("u", u).where(F.col("u") * F.col("c") < 2 * quota)
-    rank = F.row_number().over(Window.partitionBy("label").orderBy("u", "text"))
-    chosen = near.withColumn("r", rank).where(F.col("r") <= quota).select("label", "u", "text")
+    chosen = drawn(rows, per_label, max(1, s.sample // labels))
 
     def sparse(batches):
         for b in sliced(batches, "text", s.slice_bytes):

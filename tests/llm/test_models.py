@@ -36,6 +36,43 @@ def test_langid_edge_cases(spark, edge_docs, no_docs):
     assert langid.predict(no_docs, model).count() == 0
 
 
+def test_langid_draws_different_texts(spark):
+    rows = spark.createDataFrame([("en", "the same text")] * 3000 + [("en", f"text {k}") for k in range(1000)]
+                                 + [("fr", "un texte")] * 50, "label string, text string")
+    per = langid.texts_per_label(rows)
+    got = langid.drawn(rows, per, 40).collect()
+    assert len({(r["label"], r["text"]) for r in got}) == len(got) == 41
+    assert sorted(map(tuple, got)) == sorted(map(tuple, langid.drawn(rows.repartition(7), per, 40).collect()))
+    assert {r["text"] for r in got if r["label"] == "fr"} == {"un texte"}
+
+
+def test_ftrl_against_plain_python():
+    """The weights of two labels, coordinate by coordinate."""
+    s = langid.Settings(features=6, epochs=3, alpha=0.7, beta=0.9, l1=0.05, l2=0.1, calibrate_every=10 ** 9)
+    r = random.Random(4)
+    rows = [(sorted(r.sample(range(6), 3)), [r.uniform(-1, 1) for _ in range(3)], r.randrange(2)) for _ in range(40)]
+    w, t = langid.learn([(np.array(f), np.array(v), y) for f, v, y in rows], 2, s)
+    z, n = [[0.0, 0.0] for _ in range(7)], [[0.0, 0.0] for _ in range(7)]
+
+    def weight(i, y):
+        l1 = 0 if i == 6 else s.l1
+        if abs(z[i][y]) <= l1:
+            return 0.0
+        return -(z[i][y] - math.copysign(l1, z[i][y])) / ((s.beta + math.sqrt(n[i][y])) / s.alpha + s.l2)
+
+    for _ in range(s.epochs):
+        for f, v, y in rows:
+            f, v = [*f, 6], [*v, 1.0]
+            before = [[weight(i, c) for c in (0, 1)] for i in f]
+            e = [math.exp(sum(x * b[c] for x, b in zip(v, before))) for c in (0, 1)]
+            for c in (0, 1):
+                for i, x, b in zip(f, v, before):
+                    g = x * (e[c] / sum(e) - (c == y))
+                    z[i][c] += g - (math.sqrt(n[i][c] + g * g) - math.sqrt(n[i][c])) / s.alpha * b[c]
+                    n[i][c] += g * g
+    assert t == 1.0 and np.allclose(w, [[weight(i, c) for c in (0, 1)] for i in range(7)], atol=1e-12)
+
+
 def test_table_counts_are_bounded_and_repeatable():
     n = np.array([0, 1, 2, 3, 50, 4000, 3_000_000])
     keys = np.arange(7, dtype=np.uint64)
