@@ -8,8 +8,8 @@ keys).  Documents are dealt by key ranges, sorted within, and laid end to end al
 the whole curve; the stream is cut every ``length`` tokens.  So neighbours on the
 curve share sequences, and only the last sequence is shorter than the rest.
 
-Scale: the encoded table is written once; the ranges come from approximate
-quantiles of the key, so a group of equal documents is spread like any other;
+Scale: the encoded table is written once; there are as many tasks and ranges as its
+tokens ask for; the ranges come from approximate quantiles of the key, so a group of equal documents is spread like any other;
 global token offsets need one sum per range, nothing else crosses tasks.
 
 Defined cases: null text is the end id alone; a null id is kept as it is; equal
@@ -42,6 +42,8 @@ class Layout:
     tie_bits: int = 20        # of the hashed id
     seed: int = 7
     slice_bytes: int = 4_000_000
+    task_tokens: int = 16_000_000     # about what one task lays out
+    ranges: int = 4           # of the key, for each task
 
 
 def coordinates(flat: np.ndarray, counts: np.ndarray, lay: Layout) -> np.ndarray:
@@ -92,7 +94,8 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
     spark = docs.sparkSession
     axes = [f"c{k}" for k in range(lay.dims)]
     rows = written(encoded(docs, tokenizer, id_col, text_col, lay), "encoded")
-    stats = rows.agg(*(f(c) for c in axes for f in (F.avg, F.stddev_pop))).first()
+    stats = rows.agg(*(f(c) for c in axes for f in (F.avg, F.stddev_pop)), F.sum("n_tokens").alias("total")).first()
+    tasks = max(partitions(spark), -(-(stats["total"] or 0) // lay.task_tokens))
     mean = np.array([stats[2 * k] or 0.0 for k in range(lay.dims)])
     spread = np.array([stats[2 * k + 1] or 1.0 for k in range(lay.dims)])
 
@@ -106,8 +109,8 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
 
     tie = F.pmod(F.xxhash64("id"), F.lit(1 << lay.tie_bits))
     keyed = rows.withColumn("key", place(tie, *axes)).drop(*axes)
-    n = 4 * partitions(spark)
-    cuts = keyed.agg(F.percentile_approx("key", [k / n for k in range(1, n)], 100 * n).alias("q")).first()["q"] or []
+    n = lay.ranges * tasks
+    cuts = keyed.agg(F.percentile_approx("key", [k / n for k in range(1, n)], 20 * n).alias("q")).first()["q"] or []
     bounds = np.array(cuts, np.int64)
 
     @F.pandas_udf("int")
@@ -120,6 +123,7 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
     base = totals.select("part", F.coalesce(F.sum("total").over(ahead), F.lit(0)).alias("base"))
     along = (Window.partitionBy("part").orderBy("key", F.col("id").asc_nulls_first(), F.xxhash64("ids"))
              .rowsBetween(Window.unboundedPreceding, -1))              # rows, as equal rows lie one after another
+    ranged = ranged.repartition(tasks, "part")
     laid = ranged.withColumn("before", F.coalesce(F.sum("n_tokens").over(along), F.lit(0)))
     laid = laid.join(F.broadcast(base), "part").select(
         "id", "n_tokens", "width", "ids", (F.col("base") + F.col("before")).alias("at"))

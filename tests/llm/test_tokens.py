@@ -104,3 +104,6 @@ def test_packing_round_trip(spark, edge_docs, no_docs):
     lay = packing.Layout(length=256)
     check_pieces(packing.pack(edge_docs, WORD, lay=lay).collect(), truth(WORD, 1, rows), 256)
     assert packing.pack(no_docs, WORD).count() == 0
+    # more tasks than shuffle partitions, as the tokens ask for
+    many = packing.pack(edge_docs, WORD, lay=packing.Layout(length=256, task_tokens=500))
+    check_pieces(many.collect(), truth(WORD, 1, rows), 256)
