@@ -28,15 +28,16 @@ def asof_join(left: DataFrame, right: DataFrame, by: str, on: str, take: list[st
     spark = left.sparkSession
     n = ranges or max(int(spark.conf.get("spark.sql.shuffle.partitions")), left.rdd.getNumPartitions())
     late, early = (1, 0) if strict else (0, 1)
-    rights = (right.where(F.col(by).isNotNull() & F.col(on).isNotNull()).groupBy(F.col(by).alias("_by"), F.col(on).alias("_on"))
-              .agg(F.max(F.struct(*take)).alias("_r")))
+    # right rows of the same key and time are sorted by their ``take`` columns, so the last one counts
+    rights = right.where(F.col(by).isNotNull() & F.col(on).isNotNull()).select(
+        F.col(by).alias("_by"), F.col(on).alias("_on"), F.struct(*take).alias("_r"))
     l_type = T.StructType(left.schema.fields)
     r_type = rights.schema["_r"].dataType
     rows = left.select(F.col(by).alias("_by"), F.col(on).alias("_on"), F.lit(early).alias("_side"), F.xxhash64(*left.columns).alias("_spread"),
                        F.struct(*left.columns).alias("_l"), F.lit(None).cast(r_type).alias("_r"))
     rows = rows.unionByName(rights.select("_by", "_on", F.lit(late).alias("_side"), F.lit(0).cast("long").alias("_spread"),
                                           F.lit(None).cast(l_type).alias("_l"), "_r"))
-    order = ["_by", "_on", "_side", "_spread"]
+    order = ["_by", "_on", "_side", "_r", "_spread"]
     dealt = rows.repartitionByRange(n, *order).sortWithinPartitions(*order).select(
         "_by", "_l", "_r", F.spark_partition_id().alias("_range"))
 
