@@ -159,6 +159,19 @@ def test_predictive_probabilities_sum_to_one(spark):
     assert abs(total - 1) < 1e-9
 
 
+def test_every_context_has_its_own_restaurant(spark):
+    """Also words whose hashes agree modulo some tens of thousands, and with buckets that hold no training tokens."""
+    words = [f"w{k}" for k in range(2_000)]
+    docs = spark.createDataFrame([(k, f"{w} x {w} y{k % 7}", k % 5 == 4) for k, w in enumerate(words)], "id long, text string, held boolean")
+    s = hpylm.Settings()
+    freq, _ = hpylm.frequent_words(docs, s)
+    g = hpylm.totals(hpylm.dealt(docs, freq, 64, s, True), freq, 64, s)
+    customers, tables = g.seats(np.array([context(freq, s, w) for w in words]))
+    assert customers.tolist() == [0 if k % 5 == 4 else 2 for k in range(2_000)]
+    assert (tables <= customers).all() and (tables >= np.minimum(customers, 1)).all()
+    assert g.seats(np.array([context(freq, s, "x")]))[0].tolist() == [1_600]
+
+
 def context(freq, s, word):
     h = hpylm.hashes([word])
     return freq[word] if word in freq else len(freq) + int(h[0] % np.uint64(s.classes - len(freq)))
