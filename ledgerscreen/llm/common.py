@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import os
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -14,6 +16,9 @@ from pyspark.sql import functions as F
 
 from ledgerscreen.session import scratch_path
 
+#: A side of a join that is a table of keys is broadcast only while it is counted to have no more rows.
+BROADCAST_ROWS = 500_000
+
 #: Java form of one run of the six ASCII white-space characters.
 SPACES = r"[\x20\x09-\x0D]+"
 
@@ -43,6 +48,15 @@ def starts_of(counts: np.ndarray) -> np.ndarray:
     return np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
 
 
+def released() -> None:
+    """Give the memory of freed arrays back to the system.  A Python worker outlives its task,
+    and there are several for each core; idle ones would hold what their largest slice took."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None) if os.name == "posix" else None
+    if trim:
+        trim(0)
+
+
 def sliced(batches: Iterator[pa.RecordBatch], column: str, most: int, rows: int = 50_000) -> Iterator[pa.RecordBatch]:
     """The rows again in slices of at most ``most`` bytes of ``column`` (one row
     at least) and ``rows`` rows, so that the arrays made from a slice stay bounded."""
@@ -57,6 +71,7 @@ def sliced(batches: Iterator[pa.RecordBatch], column: str, most: int, rows: int
             hi = min(hi, lo + rows)
             yield b.slice(lo, hi - lo)
             lo = hi
+    released()
 
 
 def array(x) -> pa.Array:
@@ -103,6 +118,20 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def counted(df: DataFrame, name: str) -> DataFrame:
+    """A table of keys, written and counted.  The planner takes such a side of a join to be as
+    large as the tables it is made from and shuffles the texts on the other side; counted,
+    one of few rows is broadcast and the texts stay where they are."""
+    side = written(df, name)
+    return F.broadcast(side) if side.count() <= BROADCAST_ROWS else side
+
+
+def swept(spark: SparkSession) -> None:
+    """The shuffle files of finished jobs go now: Spark deletes them when the driver's garbage,
+    of which there is little here, is next collected."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

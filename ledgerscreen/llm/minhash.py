@@ -23,6 +23,10 @@
    ``miss``.  Survivors are verified on their full shingle sets.
 5. The links' connected components give the result.
 
+Texts are shuffled once at most, for the shingle sets of the classes that share a bucket, and once
+more to drop rows; neither while the ids in question are few enough to be broadcast.  Tables
+are deleted as soon as the next is written.
+
 Defined cases: texts without words are linked with nothing; rows that share an
 id and differ in text are separate documents; a row without an id takes part and
 is never dropped; an empty table gives an empty table.
@@ -39,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ledgerscreen.llm.common import array, sliced, starts_of, written
+from ledgerscreen.llm.common import array, counted, deleted, scratch, sliced, starts_of, swept, written
 from ledgerscreen.llm.components import components
 from ledgerscreen.llm.shingles import mixed, shingle_sets
 
@@ -226,16 +230,21 @@ def block_links(members: DataFrame, sets: DataFrame, scheme: Scheme) -> DataFram
     return rows.mapInArrow(run, "a long, b long").distinct()
 
 
-def links(sigs: DataFrame, texts: DataFrame, scheme: Scheme) -> DataFrame:
-    """Links (a, b) that connect all classes of similarity ``percent`` or more."""
+def links(sigs: DataFrame, keyed: DataFrame, first: DataFrame, scheme: Scheme) -> DataFrame:
+    """Links (a, b) that connect all classes of similarity ``percent`` or more; ``keyed`` has
+    the texts (id, text) and ``first`` the id (s, id) whose text stands for a class."""
     step = 4 * scheme.rows
     parts = sigs.select("s", "sig", F.explode(F.sequence(F.lit(0), F.lit(scheme.bands - 1))).alias("band"))
     bucket = F.xxhash64("band", F.expr(f"substring(sig, band * {step} + 1, {step})")).alias("b")
     every = parts.select("s", bucket)
     shared = every.groupBy("b").agg(F.count("*").alias("c")).where("c > 1")
     members = written(every.join(shared, "b").select("b", "s", "c"), "members")
-    needed = written(members.select("s").distinct(), "needed")
-    wanted = texts.join(needed, "s", "left_semi").unionByName(texts.where("s IS NULL"))
+    swept(sigs.sparkSession)
+    needed = counted(members.select("s").distinct(), "needed")
+    of_id = counted(first.join(needed, "s", "left_semi"), "needed-ids")
+    # texts without an id are found by their own fingerprint
+    wanted = keyed.join(of_id, "id").select("s", "text").unionByName(
+        keyed.where("id IS NULL").select(F.lit(None).cast("long").alias("s"), "text"))
     sets = written(shingle_table(wanted, scheme).join(needed, "s", "left_semi"), "sets")
     sigs = written(sigs.join(needed, "s", "left_semi"), "signatures")
     linked = 100 * F.col("both") >= scheme.percent * (F.col("nh") + F.col("nm") - F.col("both"))
@@ -272,6 +281,7 @@ def links(sigs: DataFrame, texts: DataFrame, scheme: Scheme) -> DataFrame:
         need = F.ceil(scheme.percent * F.col("nm") / 100) - F.col("both")
         least = group.where("NOT linked").groupBy("h").agg(F.min(need).alias("k_open"))
         rest = (rows.join(least, "h").withColumn("k", F.greatest(need, F.lit(1), F.when(F.col("linked"), F.col("k_open"))))
+                .where(F.size("rest") >= F.col("k"))            # with fewer it holds nothing that "at" lets through below
                 .select("h", "m", "k", (~F.col("linked")).alias("open"), F.explode("rest").alias("g")))
         common = rest.groupBy("h", "g").agg(F.count("*").alias("c")).where("c > 1")
         own = Window.partitionBy("h", "m")                                      # the shingles of one document
@@ -309,23 +319,25 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     scheme: Scheme = Scheme()) -> DataFrame:
     """One row per input row: id, n_shingles, component_id (the smallest id that
     links reach) and kept (the row has that id)."""
-    rows = written(described(docs, id_col, text_col, scheme), "shingled")
-    classes = rows.where("n > 0").groupBy("s", "s2", "n").agg(F.min("id").alias("least"))
-    classes = written(classes, "classes")
-    # one signature and one text per class, those of its smallest id
-    first = classes.select("s", F.col("least").alias("id"))
-    own = first.select(F.col("s").alias("_s"), F.col("id").alias("_id"))
-    sigs = written(rows.where("n > 0").join(own, (F.col("s") == F.col("_s")) & F.col("id").eqNullSafe(F.col("_id")), "left_semi")
-                   .select("s", "n", "sig").dropDuplicates(["s"]), "signatures")
-    keyed = docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text"))
-    # texts without an id are found by their own fingerprint
-    texts = keyed.join(first, "id").select("s", "text").unionByName(
-        keyed.where("id IS NULL").select(F.lit(None).cast("long").alias("s"), "text"))
-    labels = components(links(sigs, texts, scheme)).withColumnRenamed("node", "s")
-    labelled = classes.select("s", "least").join(labels, "s", "left").select(
-        "s", "least", F.coalesce("label", "s").alias("label"))
-    least = labelled.groupBy("label").agg(F.min("least").alias("component_id"))
-    reach = written(labelled.join(least, "label").select("s", "component_id"), "reach")
+    spark = docs.sparkSession
+    with scratch(spark) as tables:
+        shingled = written(described(docs, id_col, text_col, scheme), "shingled")
+        rows = written(shingled.select("id", "n", "s"), "rows")
+        tables.pop()
+        # one signature per class (equal sets have equal ones), and the text of its smallest id
+        classes = written(shingled.where("n > 0").groupBy("s", "s2", "n").agg(
+            F.min("id").alias("least"), F.first("sig").alias("sig")), "classes")
+        deleted(spark, tables.pop(0))
+        swept(spark)
+        keyed = docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text"))
+        found = links(classes.select("s", "n", "sig"), keyed, classes.select("s", F.col("least").alias("id")), scheme)
+        labels = components(found).withColumnRenamed("node", "s")
+        labelled = classes.select("s", "least").join(labels, "s", "left").select(
+            "s", "least", F.coalesce("label", "s").alias("label"))
+        least = labelled.groupBy("label").agg(F.min("least").alias("component_id"))
+        reach = written(labelled.join(least, "label").select("s", "component_id"), "reach")
+        tables.pop()
+    swept(spark)
     out = rows.select("id", "n", "s").join(reach, "s", "left")
     component = F.coalesce("component_id", "id")
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"),
@@ -334,10 +346,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scheme: Scheme = Scheme()) -> DataFrame:
     """The rows that are kept, with all their columns; equal rows are one."""
-    verdict = near_duplicates(docs, id_col, text_col, scheme).where(F.col(id_col).isNotNull())
-    per_id = written(verdict.groupBy(F.col(id_col).alias("__id")).agg(
-        F.max("kept").alias("__kept"), F.count("*").alias("__rows")), "verdict")
-    marked = docs.join(per_id, docs[id_col] == per_id["__id"], "left")
-    once = marked.where(F.col("__id").isNull() | (F.col("__kept") & (F.col("__rows") == 1))).select(docs.columns)
-    more = marked.where(F.col("__kept") & (F.col("__rows") > 1)).select(docs.columns).dropDuplicates([id_col, text_col])
+    with scratch(docs.sparkSession) as tables:
+        verdict = near_duplicates(docs, id_col, text_col, scheme).where(F.col(id_col).isNotNull())
+        per_id = verdict.groupBy(F.col(id_col).alias("__id")).agg(F.max("kept").alias("__kept"), F.count("*").alias("__rows"))
+        # the ids whose rows are not simply kept; every id has a verdict
+        other = counted(per_id.where(~F.col("__kept") | (F.col("__rows") > 1)), "verdict")
+        tables.pop()
+    same = docs[id_col] == other["__id"]
+    once = docs.join(other, same, "left_anti")
+    more = docs.join(other.where("__kept"), same, "left_semi").dropDuplicates([id_col, text_col])
     return once.unionByName(more)

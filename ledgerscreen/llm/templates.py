@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerscreen.llm.common import SPACES, lower_ascii, written
+from ledgerscreen.llm.common import SPACES, counted, lower_ascii, written
 
 WIDTH = 8
 LEAST_WORDS = 13
@@ -137,5 +137,5 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
 
 def clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows whose document leaks no item, with all their columns."""
-    found = leaks(docs, items, id_col, text_col).select(F.col(id_col).alias("__id")).distinct()
+    found = counted(leaks(docs, items, id_col, text_col).select(F.col(id_col).alias("__id")).distinct(), "leaked")
     return docs.join(found, docs[id_col] == found["__id"], "left_anti")

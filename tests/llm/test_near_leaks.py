@@ -1,10 +1,13 @@
 """MinHash near-dedup and template decontamination."""
 
+import os
+
 import numpy as np
 import pyarrow as pa
 import pytest
 
 from ledgerscreen.llm import minhash, templates
+from ledgerscreen.llm.common import scratch
 from ledgerscreen.llm.components import components
 from ledgerscreen.llm.shingles import shingle_sets
 from tests.llm.conftest import prose
@@ -222,3 +225,23 @@ def test_families_without_a_centre(spark, scheme):
     got = {r.doc_id: r.component_id for r in minhash.near_duplicates(df, scheme=scheme).collect()}
     assert got == {d: least.get(root(k)) for k, (d, _) in enumerate(rows)}
     assert got[None] is not None
+
+
+def test_near_dedup_leaves_one_table_and_no_shuffled_texts(spark):
+    """Ids of dropped rows are broadcast; before, the texts were shuffled and all tables stayed."""
+    docs = spark.createDataFrame([(k, prose(k // 2, 60), "x") for k in range(30)], "doc_id long, text string, lang string")
+    items = spark.createDataFrame([(1, prose(0, 40))], "item_id long, text string")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with scratch(spark) as tables:
+            kept = minhash.keep_one(docs)
+            there = [p for p in tables if os.path.exists(p.removeprefix("file:"))]
+            assert len(there) == 1 and "-verdict-" in there[0]
+            assert "SortMergeJoin" not in kept._jdf.queryExecution().executedPlan().toString()
+            assert sorted(r["doc_id"] for r in kept.collect()) == list(range(0, 30, 2))
+        clean = templates.clean(docs, items)
+        assert "SortMergeJoin" not in clean._jdf.queryExecution().executedPlan().toString()
+        assert sorted(r["doc_id"] for r in clean.collect()) == list(range(2, 30))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
