@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerscreen.llm.common import array, sliced, split_words, starts_of, written
+from ledgerscreen.llm.common import array, sliced, split_words, starts_of, swept, written
 from ledgerscreen.llm.seating import tables as drawn
 from ledgerscreen.llm.shingles import mixed
 
@@ -81,7 +81,7 @@ def frequent_words(texts: DataFrame, s: Settings) -> tuple[dict[str, int], int]:
             yield pa.RecordBatch.from_arrays([pa.array([words[k] for k in at] + [None], pa.string()),
                                               pa.array(np.append(n[at], len(flat)))], names=["w", "n"])
 
-    got = texts.select("text").mapInArrow(run, "w string, n long").groupBy("w").agg(F.sum("n").alias("n"))
+    got = written(texts.select("text").mapInArrow(run, "w string, n long").groupBy("w").agg(F.sum("n").alias("n")), "frequent")
     total = got.where("w IS NULL").first()
     if total is None:
         return {}, 0
@@ -93,13 +93,12 @@ def squeezed(*columns: np.ndarray) -> bytes:
     return zstandard.ZstdCompressor(level=1).compress(b"".join(c.tobytes() for c in columns))
 
 
-def packed(names: list[str], counts, classes, docs) -> bytes:
+def packed(names: list[str], counts, own, place, docs) -> bytes:
     """Tokens of one bucket of one slice, by word: compressed columns.  Restaurants are
-    listed once and named by their place in the list."""
+    listed once, in ``own``, and named by their place in the list."""
     text = "\n".join(names).encode("utf-8", "surrogatepass")
-    own, place = np.unique(classes, return_inverse=True)
     step = np.diff(docs, prepend=0).astype(np.uint16) if docs is not None else np.empty(0, np.uint16)
-    head = struct.pack("<IIIII", len(names), len(own), len(classes), len(text), len(step))
+    head = struct.pack("<IIIII", len(names), len(own), len(place), len(text), len(step))
     return squeezed(np.frombuffer(head, np.uint8), own.astype("<i8"), counts.astype("<u4"), place.astype("<i4"), step,
                     np.frombuffer(text, np.uint8))
 
@@ -117,6 +116,24 @@ def unpacked(blob: bytes):
     return raw[at + 2 * n_docs:].decode("utf-8", "surrogatepass").split("\n"), counts, own, place, docs
 
 
+def in_order(*columns: tuple[np.ndarray, int]) -> list[np.ndarray]:
+    """The rows of (codes, bound of the codes) columns, sorted by all of them.  Codes that fit
+    in 63 bits together are sorted as one number."""
+    bits = [int(bound).bit_length() for _, bound in columns]
+    if sum(bits) > 63:
+        order = np.lexsort([c for c, _ in reversed(columns)])
+        return [c[order] for c, _ in columns]
+    key = np.zeros(len(columns[0][0]), np.int64)
+    for (codes, _), b in zip(columns, bits):
+        key = (key << b) | codes
+    key.sort()
+    out = []
+    for b in reversed(bits):
+        out.append(key & ((1 << b) - 1))
+        key >>= b
+    return out[::-1]
+
+
 def dealt(docs: DataFrame, frequent: dict[str, int], buckets: int, s: Settings, train_only: bool) -> DataFrame:
     """(bucket, slice, held, blob, ids, n_tokens, held_rows) from (id, text, held).
 
@@ -132,27 +149,37 @@ def dealt(docs: DataFrame, frequent: dict[str, int], buckets: int, s: Settings,
             h = hashes(words)
             hot = np.array([frequent.get(w, -1) for w in words])
             own = np.where(hot >= 0, hot, len(frequent) + (h % np.uint64(s.classes - len(frequent))).astype(np.int64))
-            before = np.empty_like(flat)
-            before[1:] = flat[:-1]
-            before[0] = 0
-            cls = own[before]                       # a text's first word stands behind an end
-            bucket = h[flat] + np.where(hot[flat] >= 0, mixed(cls.astype(np.uint64)), np.uint64(0))
+            classes, rank = np.unique(own, return_inverse=True)
+            cls = np.empty_like(flat)               # rank of the restaurant; a text's first word stands behind an end
+            cls[1:] = rank[flat[:-1]]
+            cls[0] = rank[0]
+            bucket = h[flat]
+            some = np.flatnonzero(hot[flat] >= 0)
+            bucket[some] += mixed(classes.astype(np.uint64))[cls[some]]
             bucket = (mixed(bucket) % np.uint64(buckets)).astype(np.int64)
             row = np.repeat(np.arange(len(counts)), counts)
             held = b.column("held").to_numpy(zero_copy_only=False)[row]
             group = 2 * bucket + held
-            order = np.lexsort((cls, flat, group)) if train_only else np.lexsort((flat, group))
-            group, flat, cls, row = group[order], flat[order], cls[order], row[order]
+            if train_only:
+                group, flat, cls = in_order((group, 2 * buckets), (flat, len(words)), (cls, len(classes)))
+            else:
+                group, flat, at = in_order((group, 2 * buckets), (flat, len(words)), (np.arange(len(flat)), len(flat)))
+                cls, row = cls[at], row[at]
             cut = np.flatnonzero(np.diff(group, prepend=-1))
             out = []
+            place, there = np.empty(len(classes), np.int32), np.zeros(len(classes), bool)
             for lo, hi in zip(cut, np.append(cut[1:], len(group))):
+                c = cls[lo:hi]
+                there[c] = True
+                asked = np.flatnonzero(there)
+                there[asked], place[asked] = False, np.arange(len(asked))
                 if train_only and group[lo] % 2:
-                    asked = np.unique(cls[lo:hi])
-                    out.append((int(group[lo]) // 2, True, packed([END], np.array([len(asked)]), asked, None)))
+                    out.append((int(group[lo]) // 2, True,
+                                packed([END], np.array([len(asked)]), classes[asked], np.arange(len(asked)), None)))
                     continue
                 w = flat[lo:hi]
                 first = np.flatnonzero(np.diff(w, prepend=-1))
-                blob = packed([words[k] for k in w[first]], np.diff(np.append(first, hi - lo)), cls[lo:hi],
+                blob = packed([words[k] for k in w[first]], np.diff(np.append(first, hi - lo)), classes[asked], place[c],
                               None if train_only else row[lo:hi])
                 out.append((int(group[lo]) // 2, bool(group[lo] % 2), blob))
             ids = None if train_only else array(b.column("id"))
@@ -370,6 +397,7 @@ def score(docs: DataFrame, held, id_col: str = "doc_id", text_col: str = "text",
     frequent, n = frequent_words(src, s)
     buckets = max(s.least_buckets, -(-n // s.bucket_tokens))
     g = totals(dealt(src, frequent, buckets, s, True), frequent, buckets, s)
+    swept(docs.sparkSession)         # pass 1's tokens; pass 2 deals them again
     hot_keys = hashes(sorted(frequent, key=frequent.get))
     hot_root = np.array([root_tables(g.hot_customers[k], hot_keys, s.discount[0], k, s) for k in range(s.samples)])
     shared = docs.sparkSession.sparkContext.broadcast((replace(g, asked=None), hot_root))

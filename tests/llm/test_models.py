@@ -159,6 +159,28 @@ def test_predictive_probabilities_sum_to_one(spark):
     assert abs(total - 1) < 1e-9
 
 
+def test_frequent_words_read_the_texts_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def passed(x):
+        seen.add(1)
+        return x
+
+    docs = spark.createDataFrame([(k, f"the w{k}") for k in range(40)], "id long, text string")
+    freq, n = hpylm.frequent_words(docs.select("id", passed("text").alias("text")), hpylm.Settings(frequent=4))
+    assert (freq, n, seen.value) == ({"": 0, "the": 1}, 120, 40)
+
+
+def test_tokens_in_order():
+    r = np.random.default_rng(1)
+    for bounds in ((6, 50, 1000), (1 << 20, 1 << 30, 1 << 40)):          # one number, and too large for one
+        columns = [(r.integers(0, min(b, 40), 500), b) for b in bounds]
+        order = np.lexsort([c for c, _ in reversed(columns)])
+        for got, (c, _) in zip(hpylm.in_order(*columns), columns):
+            assert (got == c[order]).all()
+
+
 def test_every_context_has_its_own_restaurant(spark):
     """Also words whose hashes agree modulo some tens of thousands, and with buckets that hold no training tokens."""
     words = [f"w{k}" for k in range(2_000)]
