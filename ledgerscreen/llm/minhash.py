@@ -281,7 +281,6 @@ def links(sigs: DataFrame, keyed: DataFrame, first: DataFrame, scheme: Scheme) -
         need = F.ceil(scheme.percent * F.col("nm") / 100) - F.col("both")
         least = group.where("NOT linked").groupBy("h").agg(F.min(need).alias("k_open"))
         rest = (rows.join(least, "h").withColumn("k", F.greatest(need, F.lit(1), F.when(F.col("linked"), F.col("k_open"))))
-                .where(F.size("rest") >= F.col("k"))            # with fewer it holds nothing that "at" lets through below
                 .select("h", "m", "k", (~F.col("linked")).alias("open"), F.explode("rest").alias("g")))
         common = rest.groupBy("h", "g").agg(F.count("*").alias("c")).where("c > 1")
         own = Window.partitionBy("h", "m")                                      # the shingles of one document
